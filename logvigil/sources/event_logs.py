@@ -3,6 +3,9 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_EVENT_SCHEMA = (
+    "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
+)
 _TIME_OF_LINE = """
   CASE WHEN event_id % 101 = 0 THEN 'not-a-time'
        WHEN event_id % 97 = 0 THEN NULL
@@ -51,7 +54,7 @@ _LOG_COLUMNS = {
 
 
 def _logs(spark: SparkSession, sf_dir: str, clock: str) -> DataFrame:
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    events = spark.read.schema(_EVENT_SCHEMA).parquet(f"{sf_dir}/events.parquet")
     columns = {"timestamp": _TIME_OF_LINE.format(clock=clock)} | _LOG_COLUMNS
     return events.select(*[F.expr(text).alias(name) for name, text in columns.items()])
 

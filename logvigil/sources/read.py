@@ -30,40 +30,52 @@ def read_logs(
 
 
 def read_raw_csv(
-    spark: SparkSession, path: str, quoted_newlines: bool | None = None
+    spark: SparkSession,
+    path: str,
+    quoted_newlines: bool | None = None,
+    line_end: str | None = None,
 ) -> DataFrame:
     """Raw CSV with a header; all columns are text, in the header's order.
 
     A newline inside quotes keeps a file from being split. Unless the caller
     knows, one pass over the text tells which files have such newlines, and only
-    those are read whole.
+    those are read whole. Giving the ``line_end`` of such files keeps the same
+    characters inside quotes as they are; otherwise they are read as one newline.
     """
     reader = spark.read.options(**CSV_OPTIONS)
+    whole_reader = spark.read.options(**CSV_OPTIONS, multiLine=True)
+    if line_end is not None:
+        whole_reader = whole_reader.option("lineSep", line_end)
     if quoted_newlines is not None:
-        return reader.option("multiLine", quoted_newlines).csv(path)
-    unsplittable = _files_with_quoted_newlines(spark, path)
+        return (whole_reader if quoted_newlines else reader).csv(path)
+    has_newlines = _quoted_newlines_by_file(spark, path)
+    unsplittable = [file for file, found in has_newlines.items() if found]
     if not unsplittable:
         return reader.csv(path)
-    whole = reader.option("multiLine", True)
-    splittable = sorted(set(spark.read.text(path).inputFiles()) - set(unsplittable))
-    lines = whole.csv(unsplittable)
-    return lines.unionByName(reader.csv(splittable)) if splittable else lines
+    if len(unsplittable) == len(has_newlines):
+        return whole_reader.csv(path)
+    # Spark checks the file name before it opens a file.
+    is_unsplittable = F.col("_metadata.file_path").isin(unsplittable)
+    return (
+        whole_reader.csv(path)
+        .filter(is_unsplittable)
+        .unionByName(reader.csv(path).filter(~is_unsplittable))
+    )
 
 
-def _files_with_quoted_newlines(spark: SparkSession, path: str) -> list[str]:
-    """Files with a line that opens more quotes than it closes.
+def _quoted_newlines_by_file(spark: SparkSession, path: str) -> dict[str, bool]:
+    """For each file, whether one of its lines has an odd number of quotes.
 
-    If every line has an even number of quotes, each one ends outside quotes.
-    The list is part of the file listing that the driver holds anyway.
+    If every line has an even number, each one ends outside quotes. The result
+    is as long as the file listing, which the driver holds anyway.
     """
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"')))
     files = (
         spark.read.text(path)
-        .filter(quotes % 2 == 1)
-        .select(F.col("_metadata.file_path").alias("file"))
-        .distinct()
+        .groupBy(F.col("_metadata.file_path").alias("file"))
+        .agg(F.bool_or(quotes % 2 == 1).alias("found"))
     )
-    return sorted(row["file"] for row in files.collect())
+    return {row["file"]: row["found"] for row in files.collect()}
 
 
 def read_result(spark: SparkSession, path: str) -> DataFrame:

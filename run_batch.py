@@ -1,0 +1,61 @@
+"""Command line of the batch jobs, for spark-submit.
+
+    spark-submit run_batch.py ingest --raw RAW --logs LOGS
+    spark-submit run_batch.py reputation|volume|attacks|scans|timeline|all --logs LOGS --batch BATCH
+    spark-submit run_batch.py serving --batch BATCH --serving SERVING [--previous EARLIER]
+"""
+
+import argparse
+
+from pyspark.sql import SparkSession
+
+from logvigil.plans.jobs import ANALYSES, ingest, load_serving
+from logvigil.sources import read_logs
+
+
+def _arguments():
+    parser = argparse.ArgumentParser(description="Batch jobs over security logs")
+    jobs = parser.add_subparsers(dest="job", required=True)
+    job = jobs.add_parser("ingest", help="split raw CSV by date")
+    job.add_argument("--raw", required=True)
+    job.add_argument("--logs", required=True)
+    job.add_argument("--format", choices=("csv", "parquet"), default="csv")
+    for name in (*ANALYSES, "all"):
+        job = jobs.add_parser(name)
+        job.add_argument("--logs", required=True)
+        job.add_argument("--batch", required=True)
+        job.add_argument("--format", choices=("csv", "parquet"), default="csv")
+    job = jobs.add_parser("serving", help="load the serving tables")
+    job.add_argument("--batch", required=True)
+    job.add_argument("--serving", required=True)
+    job.add_argument("--previous")
+    return parser.parse_args()
+
+
+def _show(name, result):
+    print(f"{name}: {result.rows}")
+    if result.advice:
+        print(f"{name}: {result.advice}")
+    for title, table in result.tables.items():
+        print(title)
+        table.show(50, truncate=False)
+
+
+def main():
+    arguments = _arguments()
+    spark = SparkSession.builder.appName(f"logvigil {arguments.job}").getOrCreate()
+    if arguments.job == "ingest":
+        _show("ingest", ingest(spark, arguments.raw, arguments.logs, arguments.format))
+    elif arguments.job == "serving":
+        result = load_serving(spark, arguments.batch, arguments.serving, arguments.previous)
+        _show("serving", result)
+    else:
+        logs = read_logs(spark, arguments.logs, arguments.format)
+        names = ANALYSES if arguments.job == "all" else [arguments.job]
+        for name in names:
+            _show(name, ANALYSES[name](spark, logs, arguments.batch))
+    spark.stop()
+
+
+if __name__ == "__main__":
+    main()

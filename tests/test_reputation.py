@@ -1,0 +1,82 @@
+from collections import Counter, defaultdict
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from logvigil.operators.reputation import score_range, source_scores, top_sources
+from tests.lines import log_lines, rows_of
+
+
+def test_score_counts_and_weights(spark):
+    lines = log_lines(
+        spark,
+        [
+            {"threat_label": "malicious", "timestamp": "2024-05-01 23:00:00"},
+            {"threat_label": "malicious", "timestamp": "2024-05-01T00:00:00", "protocol": "UDP"},
+            {"threat_label": "suspicious", "timestamp": "bad", "protocol": None},
+            {"threat_label": "benign"},
+            {"threat_label": "Malicious"},
+            {"threat_label": None},
+        ],
+    )
+    assert rows_of(source_scores(lines)) == [
+        ("10.0.0.1", 3, 2, 1, "2024-05-01 23:00:00", "TCP", "ids", 5)
+    ]
+    assert source_scores(lines, malicious_weight=10).first()["threat_score"] == 21
+
+
+def test_values_that_are_all_missing(spark):
+    lines = log_lines(
+        spark,
+        [{"threat_label": "malicious", "source_ip": None, "protocol": None, "timestamp": None}],
+    )
+    assert rows_of(source_scores(lines)) == [(None, 1, 1, 0, None, None, "ids", 2)]
+
+
+@settings(max_examples=8, deadline=None)
+@given(
+    st.lists(
+        st.tuples(
+            st.sampled_from(["a", "b", None]),
+            st.sampled_from(["TCP", "UDP", "ICMP", None]),
+            st.sampled_from(["ids", "firewall", None]),
+            st.sampled_from(["malicious", "suspicious", "benign"]),
+        ),
+        min_size=1,
+        max_size=60,
+    )
+)
+def test_most_frequent_values(spark, rows):
+    names = ("source_ip", "protocol", "log_type", "threat_label")
+    lines = log_lines(spark, [dict(zip(names, row, strict=True)) for row in rows])
+    protocols, log_types = defaultdict(Counter), defaultdict(Counter)
+    for source, protocol, log_type, label in rows:
+        if label != "benign":
+            protocols[source][protocol] += 1
+            log_types[source][log_type] += 1
+
+    def usual(counts):
+        counts = {value: count for value, count in counts.items() if value is not None}
+        return min(counts, key=lambda value: (-counts[value], value)) if counts else None
+
+    expected = {source: (usual(protocols[source]), usual(log_types[source])) for source in protocols}
+    got = {
+        row["source_ip"]: (row["main_protocol"], row["log_source"])
+        for row in source_scores(lines).collect()
+    }
+    assert got == expected
+
+
+def test_ties_at_the_cut(spark):
+    sources = [f"10.0.0.{n}" for n in range(12)] + [None]
+    scores = source_scores(
+        log_lines(spark, [{"source_ip": ip, "threat_label": "malicious"} for ip in sources])
+    )
+    assert [row["source_ip"] for row in top_sources(scores).collect()] == sorted(sources[:12])[:10]
+    assert rows_of(score_range(top_sources(scores))) == [(2, 2)]
+
+
+def test_no_threats(spark):
+    scores = source_scores(log_lines(spark, [{}]))
+    assert rows_of(top_sources(scores)) == []
+    assert rows_of(score_range(scores)) == [(None, None)]

@@ -1,0 +1,101 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from logvigil.operators.scans import (
+    connection_windows,
+    most_targets,
+    port_scans,
+    protocol_distribution,
+    scanner_summary,
+    timed,
+)
+from logvigil.operators.timeline import hourly_timeline
+from tests.lines import log_lines, rows_of
+
+
+def _connections(targets, source="10.0.0.1", time="2024-05-01 00:01:00", **more):
+    return [
+        {"source_ip": source, "dest_ip": f"t{n}", "timestamp": time} | more for n in range(targets)
+    ]
+
+
+@pytest.mark.parametrize(("targets", "found"), [(4, 0), (5, 1), (6, 1)])
+def test_threshold(spark, targets, found):
+    windows = connection_windows(log_lines(spark, _connections(targets)))
+    assert port_scans(windows).count() == found
+    assert most_targets(windows).first()[0] == targets
+
+
+def test_what_counts_as_a_target(spark):
+    changes = _connections(5) + _connections(5)
+    changes += [{"dest_ip": None}]
+    changes += _connections(9, protocol="tcp") + _connections(9, protocol=None)
+    changes += _connections(9, time="bad")
+    changes += _connections(6, source=None)
+    start, end = dt.datetime(2024, 5, 1), dt.datetime(2024, 5, 1, 0, 5)
+    assert rows_of(port_scans(connection_windows(log_lines(spark, changes)))) == [
+        ("10.0.0.1", 5, 11, start, end),
+        (None, 6, 6, start, end),
+    ]
+
+
+def test_window_edges(spark):
+    times = ["00:04:59", "00:05:00", "00:07:30", "00:09:59", "00:10:00"]
+    windows = connection_windows(
+        log_lines(spark, [{"timestamp": f"2024-05-01 {time}"} for time in times])
+    )
+    starts = windows.select(F.col("window_start").cast("string"), "total_connections")
+    assert rows_of(starts) == [
+        ("2024-05-01 00:00:00", 1),
+        ("2024-05-01 00:05:00", 3),
+        ("2024-05-01 00:10:00", 1),
+    ]
+
+
+def test_summary(spark):
+    changes = _connections(5) + _connections(7, time="2024-05-01T01:00:00")
+    changes += _connections(6, source="10.0.0.2")
+    scans = port_scans(connection_windows(log_lines(spark, changes)))
+    assert rows_of(scanner_summary(scans)) == [
+        ("10.0.0.1", 2, 12, dt.datetime(2024, 5, 1, 1, 5)),
+        ("10.0.0.2", 1, 6, dt.datetime(2024, 5, 1, 0, 5)),
+    ]
+
+
+def test_protocols(spark):
+    lines = log_lines(spark, [{}, {}, {"protocol": None}, {"timestamp": "bad"}])
+    assert rows_of(protocol_distribution(timed(lines))) == [("TCP", 2), (None, 1)]
+
+
+def test_timeline(spark):
+    labels = ["benign", "benign", "malicious", "suspicious", "other", None]
+    changes = [{"threat_label": label, "timestamp": "2024-05-01T23:59:59"} for label in labels]
+    changes += [{"timestamp": "2024-05-02 00:00:00"}, {"timestamp": "bad"}, {"timestamp": None}]
+    timeline = hourly_timeline(log_lines(spark, changes))
+    assert timeline.columns == ["hour_bucket", "malicious", "suspicious", "benign", "total"]
+    assert rows_of(timeline) == [
+        ("2024-05-01-23", 1, 1, 2, 6),
+        ("2024-05-02-00", 0, 0, 1, 1),
+    ]
+
+
+def test_timeline_total_is_all_timed_lines(spark, data_root):
+    from logvigil.sources.event_logs import event_logs
+
+    logs = event_logs(spark, f"{data_root}/sf0.01")
+    assert hourly_timeline(logs).agg(F.sum("total")).first()[0] == timed(logs).count() == 9798
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Europe/Berlin"])
+def test_windows_do_not_depend_on_the_zone(spark, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        lines = log_lines(spark, _connections(5, time="2024-03-31 02:31:00"))
+        starts = connection_windows(lines).select(F.col("window_start").cast("string"))
+        assert rows_of(starts) == [("2024-03-31 02:30:00",)]
+        assert hourly_timeline(lines).first()["hour_bucket"] == "2024-03-31-02"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)

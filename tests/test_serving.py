@@ -1,0 +1,52 @@
+from logvigil.operators.serving import merge_cells, peek, to_cells, unkeyed_rows
+from tests.lines import rows_of
+
+HOUR_COLUMNS = "hour_bucket string, malicious long, suspicious long, benign long, total long"
+CELL_COLUMNS = "row_key string, family string, qualifier string, value string"
+
+
+def test_cells_of_hours(spark):
+    hours = spark.createDataFrame(
+        [("2024-05-01-00", 1, None, 0, 3), (None, 9, 9, 9, 27)], HOUR_COLUMNS
+    )
+    cells = to_cells(hours, "threat_timeline")
+    assert cells.columns == ["row_key", "family", "qualifier", "value"]
+    assert rows_of(cells) == [
+        ("2024-05-01-00", "cf", "benign", "0"),
+        ("2024-05-01-00", "cf", "malicious", "1"),
+        ("2024-05-01-00", "cf", "suspicious", ""),
+        ("2024-05-01-00", "cf", "total", "3"),
+    ]
+    assert rows_of(unkeyed_rows(hours, "threat_timeline")) == [(1,)]
+
+
+def test_keys_of_attacks(spark):
+    hits = spark.createDataFrame(
+        [("SQLi", "10.0.0.5", 2, "x"), ("SQLi", None, 1, "y"), (None, "10.0.0.5", 1, "z")],
+        "attack_type string, source_ip string, hit_count long, last_seen string",
+    )
+    cells = to_cells(hits, "attack_patterns")
+    assert rows_of(cells.select("row_key").distinct()) == [("SQLi#10.0.0.5",)]
+    assert cells.count() == 4
+    assert rows_of(unkeyed_rows(hits, "attack_patterns")) == [(2,)]
+
+
+def test_merge_replaces_single_cells(spark):
+    old = spark.createDataFrame(
+        [("a", "cf", "x", "1"), ("a", "cf", "y", "2"), ("b", "cf", "x", "3")], CELL_COLUMNS
+    )
+    new = spark.createDataFrame([("a", "cf", "x", "9"), ("c", "cf", "x", "4")], CELL_COLUMNS)
+    assert rows_of(merge_cells(old, new)) == [
+        ("a", "cf", "x", "9"),
+        ("a", "cf", "y", "2"),
+        ("b", "cf", "x", "3"),
+        ("c", "cf", "x", "4"),
+    ]
+    assert rows_of(merge_cells(old, new.limit(0))) == rows_of(old)
+
+
+def test_peek(spark):
+    cells = spark.createDataFrame(
+        [(key, "cf", qualifier, "") for key in "dbac" for qualifier in ("x", "y")], CELL_COLUMNS
+    )
+    assert [tuple(row) for row in peek(cells).collect()] == [("a", 2), ("b", 2), ("c", 2)]
