@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logvigil.functions import date_key, with_value
-from logvigil.schema import DAY_COLUMNS
+from logvigil.schema import DAY_COLUMNS, LOG_SCHEMA
 
 
 def _with_date(raw: DataFrame) -> DataFrame:
@@ -25,6 +25,17 @@ def rejected(raw: DataFrame) -> DataFrame:
     return _with_date(raw).filter(F.col("_date") == "").select(*raw.columns)
 
 
+def typed(lines: DataFrame) -> DataFrame:
+    """Text columns of the log schema in their types, as a columnar format stores them.
+
+    A text that is no value of its type becomes NULL, as it does when read from CSV.
+    """
+    kinds = {field.name: field.dataType for field in LOG_SCHEMA}
+    return lines.withColumns(
+        {name: F.col(name).try_cast(kinds[name]) for name in lines.columns if name in kinds}
+    )
+
+
 def day_inventory(dated_lines: DataFrame) -> DataFrame:
     """Lines per day."""
     return dated_lines.groupBy(*DAY_COLUMNS).agg(F.count("*").alias("row_count"))

@@ -18,7 +18,7 @@ from logvigil.operators.attacks import (
     top_per_type,
     with_path,
 )
-from logvigil.operators.ingest import dated, day_inventory, ingest_summary, rejected
+from logvigil.operators.ingest import dated, day_inventory, ingest_summary, rejected, typed
 from logvigil.operators.quality import CHECKS, distinct_labels
 from logvigil.operators.reports import preview, report
 from logvigil.operators.reputation import score_range, source_scores, top_sources
@@ -87,12 +87,13 @@ def _stored(spark: SparkSession, name: str, batch_root: str) -> DataFrame:
 def ingest(spark: SparkSession, raw_path: str, logs_root: str, fmt: str = "csv") -> JobResult:
     """Splits raw CSV by date into day folders, replacing the days it covers."""
     raw = read_raw_csv(spark, raw_path)
-    write_days(dated(raw), logs_root, fmt)
+    lines = dated(raw)
+    write_days(lines if fmt == "csv" else typed(lines), logs_root, fmt)
     return JobResult(
         rows={},
         tables={
             "summary": ingest_summary(raw),
-            "days": day_inventory(dated(raw)).orderBy(*DAY_COLUMNS),
+            "days": day_inventory(lines).orderBy(*DAY_COLUMNS),
             "rejects": rejected(raw),
         },
     )

@@ -51,6 +51,17 @@ def test_results_match_the_queries(spark, batch, data_root):
         assert rows_of(stored) == rows_of(QUERIES[name](spark, f"{data_root}/sf0.001"))
 
 
+def test_logs_as_parquet(spark, batch, tmp_path):
+    ingest(spark, str(batch["root"] / "raw"), str(tmp_path / "logs"), "parquet")
+    logs = read_logs(spark, str(tmp_path / "logs"), "parquet")
+    assert dict(logs.dtypes)["bytes_transferred"] == "bigint"
+    assert rows_of(logs) == rows_of(read_logs(spark, str(batch["root"] / "logs")))
+    run_batch(spark, str(tmp_path / "logs"), str(tmp_path / "batch"), "parquet")
+    for name in RESULTS:
+        stored = read_result(spark, str(tmp_path / "batch" / name))
+        assert rows_of(stored) == rows_of(read_result(spark, str(batch["root"] / "batch" / name)))
+
+
 def test_every_result_is_stored_and_counted(spark, batch):
     counted = {}
     for result in batch["analysed"].values():

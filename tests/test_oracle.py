@@ -1,6 +1,5 @@
 """Every registered query against DuckDB on the same tables."""
 
-import math
 from pathlib import Path
 
 import duckdb
@@ -30,8 +29,6 @@ def _sorted(rows, order):
 
 
 def _equal(left, right):
-    if isinstance(left, float) and isinstance(right, float):
-        return math.isclose(left, right, rel_tol=0, abs_tol=1e-9)
     return left == right and type(left) is type(right)
 
 
