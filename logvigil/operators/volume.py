@@ -34,20 +34,38 @@ def _size_bucket(size: Column) -> Column:
     return F.coalesce(bucket, F.lit(0))
 
 
-def volume_by_label(logs: DataFrame, quantile: Decimal = QUANTILE) -> DataFrame:
-    """Count, sum, mean, extremes and exact quantile of the bytes, per threat label.
+def size_counts(logs: DataFrame, *by: str) -> DataFrame:
+    """Lines per threat label and distinct size, and per further column if wanted.
 
-    The quantile is the smallest size that at least that share of the lines does
-    not exceed. No task sees all sizes of a label: lines are counted per distinct
-    size, a bounded histogram tells which bucket holds the quantile, and only the
-    sizes of that bucket are then put in order.
+    Both volume results can be had from the counts by protocol, so a job that
+    needs both reads the logs once and keeps the counts instead of the lines.
     """
-    sizes = (
+    return (
         sized(logs)
-        .groupBy("threat_label", "bytes_transferred")
+        .groupBy("threat_label", *by, "bytes_transferred")
         .agg(F.count("*").alias("lines"))
-        .withColumn("bucket", _size_bucket(F.col("bytes_transferred")))
     )
+
+
+def volume_by_label(logs: DataFrame, quantile: Decimal = QUANTILE) -> DataFrame:
+    """Count, sum, mean, extremes and exact quantile of the bytes, per threat label."""
+    return label_volume(size_counts(logs), quantile)
+
+
+def label_volume_of(counts: DataFrame, quantile: Decimal = QUANTILE) -> DataFrame:
+    """The same from counts that are split by further columns."""
+    per_size = counts.groupBy("threat_label", "bytes_transferred")
+    return label_volume(per_size.agg(F.sum("lines").alias("lines")), quantile)
+
+
+def label_volume(sizes: DataFrame, quantile: Decimal) -> DataFrame:
+    """Volume per label from its lines per distinct size.
+
+    The quantile is the smallest size that at least that share of the lines does
+    not exceed. No task sees all sizes of a label: a bounded histogram tells which
+    bucket holds the quantile, and only the sizes of that bucket are put in order.
+    """
+    sizes = sizes.withColumn("bucket", _size_bucket(F.col("bytes_transferred")))
     histogram = sizes.groupBy("threat_label", "bucket").agg(
         F.sum("lines").alias("bucket_lines"),
         F.sum(F.col("lines") * F.col("bytes_transferred")).alias("bucket_bytes"),
@@ -100,12 +118,18 @@ def _up_to_here(order: str):
 
 def volume_by_protocol(logs: DataFrame) -> DataFrame:
     """Count, sum and mean of the bytes, per threat label and protocol."""
+    return _protocol_volume(sized(logs), F.count("*"), F.col("bytes_transferred"))
+
+
+def protocol_volume_of(counts: DataFrame) -> DataFrame:
+    """The same from counts per protocol."""
+    lines = F.col("lines")
+    return _protocol_volume(counts, F.sum(lines), lines * F.col("bytes_transferred"))
+
+
+def _protocol_volume(rows: DataFrame, events: Column, size: Column) -> DataFrame:
     return (
-        sized(logs)
-        .groupBy("threat_label", "protocol")
-        .agg(
-            F.count("*").alias("event_count"),
-            F.sum("bytes_transferred").alias("total_bytes"),
-        )
+        rows.groupBy("threat_label", "protocol")
+        .agg(events.alias("event_count"), F.sum(size).alias("total_bytes"))
         .withColumn("avg_bytes", _average())
     )

@@ -32,10 +32,9 @@ from logvigil.operators.scans import (
 )
 from logvigil.operators.serving import SERVING_TABLES, merge_cells, peek, to_cells, unkeyed_rows
 from logvigil.operators.timeline import hourly_timeline
-from logvigil.operators.volume import sized, volume_by_label, volume_by_protocol
+from logvigil.operators.volume import label_volume_of, protocol_volume_of, size_counts
 from logvigil.schema import DAY_COLUMNS
 from logvigil.sources import (
-    read_logs,
     read_raw_csv,
     read_result,
     saved_rows,
@@ -84,11 +83,19 @@ def _stored(spark: SparkSession, name: str, batch_root: str) -> DataFrame:
     return read_result(spark, f"{batch_root}/{name}")
 
 
-def ingest(spark: SparkSession, raw_path: str, logs_root: str, fmt: str = "csv") -> JobResult:
+def ingest(
+    spark: SparkSession,
+    raw_path: str,
+    logs_root: str,
+    fmt: str = "csv",
+    in_time_order: bool = False,
+) -> JobResult:
     """Splits raw CSV by date into day folders, replacing the days it covers."""
     raw = read_raw_csv(spark, raw_path)
     lines = dated(raw)
-    write_days(lines if fmt == "csv" else typed(lines), logs_root, fmt)
+    write_days(
+        lines if fmt == "csv" else typed(lines), logs_root, fmt, in_time_order=in_time_order
+    )
     return JobResult(
         rows={},
         tables={
@@ -112,13 +119,12 @@ def run_reputation(spark: SparkSession, logs: DataFrame, batch_root: str) -> Job
 
 def run_volume(spark: SparkSession, logs: DataFrame, batch_root: str) -> JobResult:
     """Stores the byte volume per label, and per label and protocol."""
-    narrow = sized(logs).select("threat_label", "protocol", "bytes_transferred")
-    with kept(narrow) as lines:
+    with kept(size_counts(logs, "protocol")) as counts:
         rows = _store(
             spark,
             {
-                "threat_volume": volume_by_label(lines),
-                "threat_volume_by_protocol": volume_by_protocol(lines),
+                "threat_volume": label_volume_of(counts),
+                "threat_volume_by_protocol": protocol_volume_of(counts),
             },
             batch_root,
         )
@@ -222,9 +228,6 @@ ANALYSES = {
 }
 
 
-def run_batch(
-    spark: SparkSession, logs_root: str, batch_root: str, fmt: str = "csv"
-) -> dict[str, JobResult]:
-    """All analyses over the stored logs."""
-    logs = read_logs(spark, logs_root, fmt)
+def run_batch(spark: SparkSession, logs: DataFrame, batch_root: str) -> dict[str, JobResult]:
+    """All analyses over the given logs."""
     return {name: run(spark, logs, batch_root) for name, run in ANALYSES.items()}

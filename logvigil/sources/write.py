@@ -14,16 +14,22 @@ def write_result(result: DataFrame, path: str) -> None:
 
 
 def write_days(
-    lines: DataFrame, root: str, fmt: str = "csv", rows_per_file: int = ROWS_PER_FILE
+    lines: DataFrame,
+    root: str,
+    fmt: str = "csv",
+    rows_per_file: int = ROWS_PER_FILE,
+    in_time_order: bool = False,
 ) -> None:
     """Writes lines to year=/month=/day= folders and replaces only the days among them.
 
     Rebalancing puts the lines of a day together, so a day does not become one
-    small file per task, and splits a day that is too large for one task.
+    small file per task, and splits a day that is too large for one task. Input
+    in time order has few days per task as it is, and can do without that shuffle.
     """
+    if not in_time_order:
+        lines = lines.hint("rebalance", *DAY_COLUMNS)
     writer = (
-        lines.hint("rebalance", *DAY_COLUMNS)
-        .write.partitionBy(*DAY_COLUMNS)
+        lines.write.partitionBy(*DAY_COLUMNS)
         .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", rows_per_file)

@@ -16,19 +16,26 @@ from logvigil.sources import read_logs
 def _arguments():
     parser = argparse.ArgumentParser(description="Batch jobs over security logs")
     jobs = parser.add_subparsers(dest="job", required=True)
-    job = jobs.add_parser("ingest", help="split raw CSV by date")
+    logs = argparse.ArgumentParser(add_help=False)
+    logs.add_argument("--logs", required=True, help="root of the day folders")
+    logs.add_argument("--format", choices=("csv", "parquet"), default="csv")
+    job = jobs.add_parser("ingest", parents=[logs], help="split raw CSV by date")
     job.add_argument("--raw", required=True)
-    job.add_argument("--logs", required=True)
-    job.add_argument("--format", choices=("csv", "parquet"), default="csv")
+    job.add_argument(
+        "--in-time-order", action="store_true", help="the input is sorted by time: do not shuffle"
+    )
     for name in (*ANALYSES, "all"):
-        job = jobs.add_parser(name)
-        job.add_argument("--logs", required=True)
+        job = jobs.add_parser(name, parents=[logs])
         job.add_argument("--batch", required=True)
-        job.add_argument("--format", choices=("csv", "parquet"), default="csv")
+        job.add_argument(
+            "--split-files",
+            action="store_true",
+            help="no CSV field holds a newline: split large files",
+        )
     job = jobs.add_parser("serving", help="load the serving tables")
     job.add_argument("--batch", required=True)
     job.add_argument("--serving", required=True)
-    job.add_argument("--previous")
+    job.add_argument("--previous", help="earlier serving tables to put the new cells over")
     return parser.parse_args()
 
 
@@ -45,12 +52,15 @@ def main():
     arguments = _arguments()
     spark = SparkSession.builder.appName(f"logvigil {arguments.job}").getOrCreate()
     if arguments.job == "ingest":
-        _show("ingest", ingest(spark, arguments.raw, arguments.logs, arguments.format))
+        result = ingest(
+            spark, arguments.raw, arguments.logs, arguments.format, arguments.in_time_order
+        )
+        _show("ingest", result)
     elif arguments.job == "serving":
         result = load_serving(spark, arguments.batch, arguments.serving, arguments.previous)
         _show("serving", result)
     else:
-        logs = read_logs(spark, arguments.logs, arguments.format)
+        logs = read_logs(spark, arguments.logs, arguments.format, not arguments.split_files)
         names = ANALYSES if arguments.job == "all" else [arguments.job]
         for name in names:
             _show(name, ANALYSES[name](spark, logs, arguments.batch))

@@ -28,7 +28,7 @@ def batch(spark, data_root, tmp_path_factory):
     raw, logs, results, serving = (str(root / name) for name in ("raw", "logs", "batch", "serving"))
     event_logs(spark, f"{data_root}/sf0.001").write.options(header=True, escape='"').csv(raw)
     ingested = ingest(spark, raw, logs)
-    analysed = run_batch(spark, logs, results)
+    analysed = run_batch(spark, read_logs(spark, logs), results)
     loaded = load_serving(spark, results, serving)
     return {"root": root, "ingested": ingested, "analysed": analysed, "loaded": loaded}
 
@@ -56,7 +56,7 @@ def test_logs_as_parquet(spark, batch, tmp_path):
     logs = read_logs(spark, str(tmp_path / "logs"), "parquet")
     assert dict(logs.dtypes)["bytes_transferred"] == "bigint"
     assert rows_of(logs) == rows_of(read_logs(spark, str(batch["root"] / "logs")))
-    run_batch(spark, str(tmp_path / "logs"), str(tmp_path / "batch"), "parquet")
+    run_batch(spark, logs, str(tmp_path / "batch"))
     for name in RESULTS:
         stored = read_result(spark, str(tmp_path / "batch" / name))
         assert rows_of(stored) == rows_of(read_result(spark, str(batch["root"] / "batch" / name)))

@@ -146,6 +146,16 @@ def test_day_files_stay_small(spark, tmp_path):
     assert read_logs(spark, str(tmp_path / "logs")).count() == 100
 
 
+def test_input_in_time_order_is_written_without_a_shuffle(spark, tmp_path):
+    lines = log_lines(spark, [{"timestamp": f"2024-05-{1 + n // 20:02d}"} for n in range(60)], 1)
+    for in_time_order in (False, True):
+        root = str(tmp_path / f"logs-{in_time_order}")
+        write_days(dated(lines), root, in_time_order=in_time_order)
+        assert rows_of(day_inventory(read_logs(spark, root))) == [
+            ("2024", "05", f"{day:02d}", 20) for day in (1, 2, 3)
+        ]
+
+
 def test_other_days_are_not_read(spark, tmp_path):
     lines = log_lines(spark, [{"timestamp": f"2024-05-{day:02d}"} for day in range(1, 10)])
     write_days(dated(lines), str(tmp_path / "logs"))

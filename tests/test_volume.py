@@ -6,7 +6,14 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from logvigil.operators.volume import _size_bucket, volume_by_label, volume_by_protocol
+from logvigil.operators.volume import (
+    _size_bucket,
+    label_volume_of,
+    protocol_volume_of,
+    size_counts,
+    volume_by_label,
+    volume_by_protocol,
+)
 from logvigil.schema import LOG_SCHEMA
 from tests.lines import log_lines, rows_of
 
@@ -85,6 +92,15 @@ def test_clean_filter_and_missing_protocol(spark):
     ]
 
 
+def test_results_from_kept_counts(spark, data_root):
+    from logvigil.sources.event_logs import event_logs
+
+    logs = event_logs(spark, f"{data_root}/sf0.001")
+    counts = size_counts(logs, "protocol")
+    assert rows_of(label_volume_of(counts)) == rows_of(volume_by_label(logs))
+    assert rows_of(protocol_volume_of(counts)) == rows_of(volume_by_protocol(logs))
+
+
 def test_protocols_add_up_to_labels(spark, data_root):
     from logvigil.sources.event_logs import event_logs
 
