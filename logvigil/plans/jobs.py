@@ -93,17 +93,17 @@ def ingest(
     """Splits raw CSV by date into day folders, replacing the days it covers."""
     raw = read_raw_csv(spark, raw_path)
     lines = dated(raw)
+    tables = {
+        "summary": ingest_summary(raw),
+        "days": day_inventory(lines).orderBy(*DAY_COLUMNS),
+        "rejects": rejected(raw),
+    }
+    if lines.isEmpty():
+        return JobResult({}, tables, "no line has a date: check the timestamp column")
     write_days(
         lines if fmt == "csv" else typed(lines), logs_root, fmt, in_time_order=in_time_order
     )
-    return JobResult(
-        rows={},
-        tables={
-            "summary": ingest_summary(raw),
-            "days": day_inventory(lines).orderBy(*DAY_COLUMNS),
-            "rejects": rejected(raw),
-        },
-    )
+    return JobResult({}, tables)
 
 
 def run_reputation(spark: SparkSession, logs: DataFrame, batch_root: str) -> JobResult:

@@ -40,7 +40,8 @@ def _arguments():
 
 
 def _show(name, result):
-    print(f"{name}: {result.rows}")
+    if result.rows:
+        print(f"{name}: {result.rows}")
     if result.advice:
         print(f"{name}: {result.advice}")
     for title, table in result.tables.items():

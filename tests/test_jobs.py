@@ -40,6 +40,14 @@ def test_ingest_report(batch):
     assert tables["rejects"].count() == 20
 
 
+def test_ingest_without_dates_gives_advice(spark, tmp_path):
+    (tmp_path / "raw.csv").write_text("timestamp,source_ip\nbad,1.1.1.1\n")
+    result = ingest(spark, str(tmp_path / "raw.csv"), str(tmp_path / "logs"))
+    assert "no line has a date" in result.advice
+    assert rows_of(result.tables["summary"]) == [(1, 0, 1, 0)]
+    assert not (tmp_path / "logs").exists()
+
+
 def test_results_match_the_queries(spark, batch, data_root):
     logs = read_logs(spark, str(batch["root"] / "logs")).drop("year", "month", "day")
     dated_view = event_logs(spark, f"{data_root}/sf0.001").filter(
