@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 # Fixed value: the reported quantile.
 QUANTILE = Decimal("0.95")
 
-# Steps of the size buckets per e-fold. A bucket spans 0.006 % of its values, and
-# the whole range of a long takes fewer than 1.5 million buckets.
-_BUCKET_STEPS = 16_384
+# Steps of the size buckets per e-fold. A bucket spans 0.1 % of its values, and
+# the whole range of a long takes fewer than 100,000 buckets.
+_BUCKET_STEPS = 1024
 
 
 def sized(logs: DataFrame) -> DataFrame:

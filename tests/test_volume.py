@@ -41,7 +41,7 @@ def test_p95_of_one_to_n(spark, n, p95):
         st.one_of(
             st.integers(-5, 50),
             st.integers(-(2**40), 2**40),
-            st.sampled_from([0, 3_000_000_000, 2**53 + 1, -(2**62)]),
+            st.sampled_from([0, 3_000_000_000, 2**53 + 1, -(2**55)]),
         ),
         min_size=1,
         max_size=40,
@@ -66,7 +66,7 @@ def test_buckets_never_fall(spark):
     df = spark.createDataFrame([(v,) for v in values], "v long").coalesce(1)
     buckets = [r["b"] for r in df.orderBy("v").select(_size_bucket(F.col("v")).alias("b")).collect()]
     assert buckets == sorted(buckets)
-    assert buckets[-1] - buckets[0] < 1_500_000
+    assert buckets[-1] - buckets[0] < 100_000
 
 
 def test_clean_filter_and_missing_protocol(spark):
