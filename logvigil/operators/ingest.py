@@ -25,6 +25,22 @@ def rejected(raw: DataFrame) -> DataFrame:
     return _with_date(raw).filter(F.col("_date") == "").select(*raw.columns)
 
 
+def aligned(lines: DataFrame) -> DataFrame:
+    """The columns of the log schema first and in its order, missing ones as NULL.
+
+    CSV logs are read by position, so raw files with another order are put in line.
+    """
+    known = [
+        F.col(field.name) if field.name in lines.columns else F.lit(None).cast("string")
+        for field in LOG_SCHEMA
+    ]
+    more = [name for name in lines.columns if name not in LOG_SCHEMA.names]
+    return lines.select(
+        *[column.alias(name) for column, name in zip(known, LOG_SCHEMA.names, strict=True)],
+        *more,
+    )
+
+
 def typed(lines: DataFrame) -> DataFrame:
     """Text columns of the log schema in their types, as a columnar format stores them.
 

@@ -2,7 +2,7 @@
 
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 # Fixed value: the reported quantile.
@@ -108,7 +108,7 @@ def label_volume(sizes: DataFrame, quantile: Decimal) -> DataFrame:
     )
 
 
-def _up_to_here(order: str):
+def _up_to_here(order: str) -> WindowSpec:
     return (
         Window.partitionBy("threat_label")
         .orderBy(order)

@@ -18,7 +18,14 @@ from logvigil.operators.attacks import (
     top_per_type,
     with_path,
 )
-from logvigil.operators.ingest import dated, day_inventory, ingest_summary, rejected, typed
+from logvigil.operators.ingest import (
+    aligned,
+    dated,
+    day_inventory,
+    ingest_summary,
+    rejected,
+    typed,
+)
 from logvigil.operators.quality import CHECKS, distinct_labels
 from logvigil.operators.reports import preview, report
 from logvigil.operators.reputation import score_range, source_scores, top_sources
@@ -92,7 +99,7 @@ def ingest(
 ) -> JobResult:
     """Splits raw CSV by date into day folders, replacing the days it covers."""
     raw = read_raw_csv(spark, raw_path)
-    lines = dated(raw)
+    lines = aligned(dated(raw))
     tables = {
         "summary": ingest_summary(raw),
         "days": day_inventory(lines).orderBy(*DAY_COLUMNS),

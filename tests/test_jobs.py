@@ -40,6 +40,17 @@ def test_ingest_report(batch):
     assert tables["rejects"].count() == 20
 
 
+@pytest.mark.parametrize("fmt", ["csv", "parquet"])
+def test_raw_columns_in_another_order(spark, tmp_path, fmt):
+    text = "more,request_path,bytes_transferred,timestamp\n1,/nmap,7,2024-05-01 00:00:00\n"
+    (tmp_path / "raw.csv").write_text(text)
+    ingest(spark, str(tmp_path / "raw.csv"), str(tmp_path / "logs"), fmt)
+    logs = read_logs(spark, str(tmp_path / "logs"), fmt)
+    assert rows_of(logs.select("timestamp", "source_ip", "bytes_transferred", "request_path")) == [
+        ("2024-05-01 00:00:00", None, 7, "/nmap")
+    ]
+
+
 def test_ingest_without_dates_gives_advice(spark, tmp_path):
     (tmp_path / "raw.csv").write_text("timestamp,source_ip\nbad,1.1.1.1\n")
     result = ingest(spark, str(tmp_path / "raw.csv"), str(tmp_path / "logs"))

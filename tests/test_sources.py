@@ -14,6 +14,7 @@ from logvigil.sources import (
     write_days,
     write_result,
 )
+from logvigil.sources.event_logs import event_logs
 from logvigil.sources.read import _quoted_newlines_by_file
 from tests.lines import NAMES, USUAL, log_lines, rows_of
 
@@ -146,6 +147,19 @@ def test_day_files_stay_small(spark, tmp_path):
     assert read_logs(spark, str(tmp_path / "logs")).count() == 100
 
 
+def test_a_large_day_is_written_by_several_tasks(spark, data_root, tmp_path):
+    lines = dated(event_logs(spark, f"{data_root}/sf0.01").repartition(8))
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(key, "20000")
+    try:
+        write_days(lines, str(tmp_path / "logs"))
+    finally:
+        spark.conf.unset(key)
+    files = list((tmp_path / "logs").glob("*/*/*/*.csv"))
+    assert len(files) > 2
+    assert rows_of(read_logs(spark, str(tmp_path / "logs"))) == rows_of(lines)
+
+
 def test_input_in_time_order_is_written_without_a_shuffle(spark, tmp_path):
     lines = log_lines(spark, [{"timestamp": f"2024-05-{1 + n // 20:02d}"} for n in range(60)], 1)
     for in_time_order in (False, True):
@@ -187,3 +201,15 @@ def test_scratch_folders(spark):
     first, second = scratch_dir(spark), scratch_dir(spark)
     assert first != second
     assert first.startswith(shared + "/") and second.startswith(shared + "/")
+
+
+def test_a_cluster_needs_a_shared_folder():
+    class Cluster:
+        class conf:
+            get = staticmethod(lambda name, default: default)
+
+        class sparkContext:
+            master = "yarn"
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_dir(Cluster)

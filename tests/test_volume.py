@@ -4,6 +4,7 @@ from decimal import Decimal
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.errors import ArithmeticException
 from pyspark.sql import functions as F
 
 from logvigil.operators.volume import (
@@ -55,6 +56,11 @@ def test_quantile_is_exact(spark, sizes, quantile):
     assert row["total_bytes"] == sum(sizes)
 
 
+def test_a_sum_beyond_a_long_is_an_error(spark):
+    with pytest.raises(ArithmeticException):
+        volume_by_label(_sizes(spark, [2**62] * 3)).collect()
+
+
 def test_one_size_for_a_third_of_the_lines(spark):
     sizes = [7] * 100 + list(range(1000, 1200))
     assert volume_by_label(_sizes(spark, sizes)).first()["p95_bytes"] == sorted(sizes)[284]
