@@ -168,8 +168,7 @@ def stored_hits(patterns: DataFrame) -> DataFrame:
 
 def run_scans(spark: SparkSession, logs: DataFrame, batch_root: str) -> JobResult:
     """Stores the windows in which a source reaches many targets."""
-    with kept(connection_windows(logs)) as windows:
-        rows = _store(spark, {"port_scans": port_scans(windows)}, batch_root)
+    rows = _store(spark, {"port_scans": port_scans(connection_windows(logs))}, batch_root)
     if not rows["port_scans"]:
         tables = {
             "most targets": most_targets(connection_windows(logs)),

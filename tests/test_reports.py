@@ -8,6 +8,7 @@ from logvigil.plans.oracle import ORACLE_SQL
 from logvigil.plans.queries import QUERIES
 
 IN_ORDER = [
+    "attack_patterns",
     "attack_preview",
     "port_scan_summary",
     "port_scans",
