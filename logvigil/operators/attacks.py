@@ -17,8 +17,10 @@ from logvigil.functions.attack import SAMPLE_SEPARATOR
 # Fixed value.
 TOP_PER_TYPE = 50
 
-# Samples that one result cell holds at most, about 20 MB of text.
+# Samples that one result cell holds at most, about 20 MB of text, and the least
+# page size at which the list of paged sources is short enough to broadcast.
 PAGE_SAMPLES = 250_000
+BROADCAST_PAGE_SAMPLES = 10_000
 CAPPED_SAMPLES = 20
 _SALTS = 256
 
@@ -80,21 +82,23 @@ def attack_patterns(tagged: DataFrame, page_samples: int = PAGE_SAMPLES) -> Data
     alone.
     """
     samples = _sample_counts(tagged)
-    # Each row stands for more than page_samples hits, so there are at most
-    # (hits / page_samples) of them: small enough to broadcast at any log size.
     paged = (
         samples.groupBy("attack_type", "source_ip")
         .agg(F.sum("hits").alias("all_hits"), F.max("last_ts").alias("all_last_ts"))
         .filter(F.col("all_hits") > page_samples)
         .withColumnsRenamed({"attack_type": "_type", "source_ip": "_source"})
     )
+    # Each row stands for more than page_samples hits, so there are fewer than
+    # (hits / page_samples) of them. Small pages do not bound the list that well.
+    if page_samples >= BROADCAST_PAGE_SAMPLES:
+        paged = F.broadcast(paged)
     same_source = (F.col("attack_type") == F.col("_type")) & F.col("source_ip").eqNullSafe(
         F.col("_source")
     )
     last_part = F.floor((F.col("hits") - 1) / page_samples)
     pages = F.ceil(F.col("all_hits") / page_samples)
     parts = (
-        samples.join(F.broadcast(paged), same_source, "left")
+        samples.join(paged, same_source, "left")
         .select("*", F.explode(F.sequence(F.lit(0).cast("long"), last_part)).alias("part"))
         .withColumn(
             "copies", F.least(F.lit(page_samples), F.col("hits") - F.col("part") * page_samples)

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 # Fixed value: the reported quantile.
 QUANTILE = Decimal("0.95")
 
-# Steps of the size buckets per e-fold. A bucket spans 0.1 % of its values, and
-# the whole range of a long takes fewer than 100,000 buckets.
+# Steps of the size buckets per e-fold. A bucket spans 0.1 % of its values, so at
+# sizes of 4 GB it holds four million distinct ones at most, and the whole range
+# of a long takes fewer than 100,000 buckets.
 _BUCKET_STEPS = 1024
 
 

@@ -96,9 +96,10 @@ def ingest(
     logs_root: str,
     fmt: str = "csv",
     in_time_order: bool = False,
+    quoted_newlines: bool | None = None,
 ) -> JobResult:
     """Splits raw CSV by date into day folders, replacing the days it covers."""
-    raw = read_raw_csv(spark, raw_path)
+    raw = read_raw_csv(spark, raw_path, quoted_newlines)
     lines = aligned(dated(raw))
     tables = {
         "summary": ingest_summary(raw),

@@ -19,6 +19,9 @@ def _arguments():
     logs = argparse.ArgumentParser(add_help=False)
     logs.add_argument("--logs", required=True, help="root of the day folders")
     logs.add_argument("--format", choices=("csv", "parquet"), default="csv")
+    logs.add_argument(
+        "--split-files", action="store_true", help="no CSV field holds a newline: split large files"
+    )
     job = jobs.add_parser("ingest", parents=[logs], help="split raw CSV by date")
     job.add_argument("--raw", required=True)
     job.add_argument(
@@ -27,11 +30,6 @@ def _arguments():
     for name in (*ANALYSES, "all"):
         job = jobs.add_parser(name, parents=[logs])
         job.add_argument("--batch", required=True)
-        job.add_argument(
-            "--split-files",
-            action="store_true",
-            help="no CSV field holds a newline: split large files",
-        )
     job = jobs.add_parser("serving", help="load the serving tables")
     job.add_argument("--batch", required=True)
     job.add_argument("--serving", required=True)
@@ -54,7 +52,12 @@ def main():
     spark = SparkSession.builder.appName(f"logvigil {arguments.job}").getOrCreate()
     if arguments.job == "ingest":
         result = ingest(
-            spark, arguments.raw, arguments.logs, arguments.format, arguments.in_time_order
+            spark,
+            arguments.raw,
+            arguments.logs,
+            arguments.format,
+            arguments.in_time_order,
+            quoted_newlines=False if arguments.split_files else None,
         )
         _show("ingest", result)
     elif arguments.job == "serving":

@@ -8,6 +8,7 @@ from logvigil.plans.jobs import (
     ANALYSES,
     RESULTS,
     ingest,
+    kept,
     load_serving,
     run_attacks,
     run_batch,
@@ -155,3 +156,10 @@ def test_hits_of_a_source_on_several_pages_count_once(spark):
         " sample_paths_str string",
     )
     assert rows_of(stored_hits(patterns)) == [("SQLi", "a", 9, "t"), ("XSS", "a", 1, "t")]
+
+
+def test_kept_tables_are_let_go(spark):
+    with pytest.raises(RuntimeError), kept(spark.range(3)) as table:
+        assert table.is_cached
+        raise RuntimeError
+    assert not table.is_cached

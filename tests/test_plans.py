@@ -12,12 +12,14 @@ from logvigil.operators.attacks import (
     tag_attacks,
     top_per_type,
 )
+from logvigil.operators.ingest import dated
 from logvigil.operators.reputation import source_scores, top_sources
 from logvigil.operators.scans import connection_windows
 from logvigil.operators.serving import merge_cells
 from logvigil.operators.timeline import hourly_timeline
 from logvigil.operators.volume import volume_by_label, volume_by_protocol
 from logvigil.plans.queries import QUERIES
+from logvigil.sources import read_logs, write_days
 from tests.lines import log_lines
 
 
@@ -135,12 +137,32 @@ def test_distinct_targets_are_counted_in_two_steps(logs):
 
 
 @pytest.mark.parametrize(
-    "build", [volume_by_label, lambda logs: attack_patterns(tag_attacks(logs), 3)]
+    "build",
+    [
+        volume_by_label,
+        lambda logs: attack_patterns(tag_attacks(logs)),
+        lambda logs: attack_patterns(tag_attacks(logs), 3),
+    ],
 )
 def test_both_uses_of_the_counts_share_one_scan(logs, build):
-    plan = _final_plan(build(logs))
-    assert "ReusedExchange" in plan
-    assert plan.count("FileScan") == 1
+    assert _final_plan(build(logs)).count("FileScan") == 1
+
+
+def test_only_a_short_list_is_broadcast(logs):
+    tagged = tag_attacks(logs)
+    assert "BroadcastExchange" in _plan(attack_patterns(tagged, 10_000))
+    logs.sparkSession.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "BroadcastExchange" in _plan(attack_patterns(tagged, 10_000))
+        assert "BroadcastExchange" not in _plan(attack_patterns(tagged, 9_999))
+    finally:
+        logs.sparkSession.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_csv_logs_are_parsed_for_the_needed_columns_only(spark, tmp_path):
+    write_days(dated(log_lines(spark, [{}])), str(tmp_path))
+    plan = _untruncated(spark, hourly_timeline(read_logs(spark, str(tmp_path))))
+    assert _read_columns(plan) == {"timestamp:string", "threat_label:string"}
 
 
 def test_the_quantile_needs_no_sketch_of_a_whole_label(logs):
