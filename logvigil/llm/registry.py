@@ -5,8 +5,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from logvigil.llm.common import fold
 from logvigil.llm.exact_dedup import exact_dedup
 from logvigil.llm.line_dedup import line_dedup
+from logvigil.llm.packing import pack
+from logvigil.llm.pii import KINDS, personal_data
+from logvigil.llm.quality import THRESHOLD, quality_scores, train
 from logvigil.llm.simhash import simhash_groups
 
 
@@ -19,6 +23,23 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_table(spark, sf_dir, "documents"))
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as pieces of windows."""
+    return pack(_table(spark, sf_dir, "documents"))
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of all documents, learnt from labels outside the held-out fold."""
+    docs = _table(spark, sf_dir, "documents")
+    model = train(docs, _table(spark, sf_dir, "labels"), "quality")
+    return quality_scores(docs, model).select(
+        F.col("doc.doc_id").alias("doc_id"),
+        (fold("doc.doc_id", 5) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents."""
     groups = simhash_groups(_table(spark, sf_dir, "documents"))
@@ -38,10 +59,23 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in all documents."""
+    return personal_data(_table(spark, sf_dir, "documents")).select(
+        F.col("doc.doc_id").alias("doc_id"),
+        *[f"n_{kind}" for kind in KINDS],
+        F.sha2("base", 256).alias("base_sha256"),
+        "spans",
+    )
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_dedup": op2_exact_dedup,
+    "op5_packing": op5_packing,
+    "op7_quality": op7_quality,
     "op8_simhash": op8_simhash,
     "op9_line_dedup": op9_line_dedup,
+    "op10_personal_data": op10_personal_data,
 }
 
 LLM_ORACLE_SQL: dict[str, str] = {

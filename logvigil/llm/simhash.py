@@ -264,3 +264,25 @@ def simhash_groups_of(rows: DataFrame, folder: str, radius: int = RADIUS) -> Dat
         "group_size",
         (F.col("row") == F.col("head.row")).alias("kept"),
     )
+
+
+def kept_documents(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, radius: int = RADIUS
+) -> DataFrame:
+    """The documents that stay, one of each component, in a column ``doc`` with all their columns.
+
+    The documents are written once with the place of each row, so that decision and row can't drift apart, and
+    the rows that go are taken out by a join on that place.
+    """
+    folder = work_folder(docs.sparkSession)
+    placed = stored(
+        docs.select(F.struct(*docs.columns).alias("doc"), F.monotonically_increasing_id().alias("row")), folder, "docs"
+    )
+    texts = placed.select(
+        F.col(f"doc.{id_col}").cast("long").alias("doc_id"),
+        "row",
+        F.coalesce(F.col(f"doc.{text_col}").cast("string"), F.lit("")).alias("text"),
+    )
+    rows = stored(texts.mapInArrow(_fingerprint_rows(shingle), "doc_id long, row long, fp long"), folder, "rows")
+    gone = simhash_groups_of(rows, folder, radius).filter("NOT kept").select("row")
+    return placed.join(stored(gone, folder, "gone"), "row", "left_anti").select("doc")
