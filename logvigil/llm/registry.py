@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from logvigil.llm.common import fold
 from logvigil.llm.exact_dedup import exact_dedup
+from logvigil.llm.html_text import extract_main_text
 from logvigil.llm.line_dedup import line_dedup
+from logvigil.llm.neighbours import nearest
 from logvigil.llm.packing import pack
 from logvigil.llm.pii import KINDS, personal_data
 from logvigil.llm.quality import THRESHOLD, quality_scores, train
@@ -18,11 +20,21 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages."""
+    return extract_main_text(_table(spark, sf_dir, "pages")).select("page.page_id", "page.url", "text", "n_chars")
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact duplicates of all documents."""
     return exact_dedup(_table(spark, sf_dir, "documents"))
 
 
+def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Twenty nearest vectors of each vector whose id is divisible by 20."""
+    return nearest(_table(spark, sf_dir, "embeddings"), "id % 20 = 0")
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as pieces of windows."""
     return pack(_table(spark, sf_dir, "documents"))
@@ -70,7 +82,9 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_main_text": op1_main_text,
     "op2_exact_dedup": op2_exact_dedup,
+    "op4_nearest": op4_nearest,
     "op5_packing": op5_packing,
     "op7_quality": op7_quality,
     "op8_simhash": op8_simhash,
