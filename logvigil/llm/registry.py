@@ -10,6 +10,8 @@ from logvigil.llm.exact_dedup import exact_dedup
 from logvigil.llm.html_text import extract_main_text
 from logvigil.llm.line_dedup import line_dedup
 from logvigil.llm.neighbours import nearest
+from logvigil.llm.ngram_model import lm_scores
+from logvigil.llm.ngram_model import train as train_ngrams
 from logvigil.llm.packing import pack
 from logvigil.llm.pii import KINDS, personal_data
 from logvigil.llm.quality import THRESHOLD, quality_scores, train
@@ -30,6 +32,22 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_table(spark, sf_dir, "documents"))
 
 
+def op3_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probabilities of all documents under a model of those outside the held-out fold."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = fold("doc_id", 7) == 2
+    plan = train_ngrams(docs.filter(~held_out))
+    return lm_scores(docs.withColumn("held_out", held_out), plan).select(
+        "doc.doc_id",
+        "doc.held_out",
+        "n_tokens",
+        "n_known",
+        F.lit(plan.tokens).cast("long").alias("train_tokens"),
+        "base_score",
+        "score",
+    )
+
+
 def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Twenty nearest vectors of each vector whose id is divisible by 20."""
     return nearest(_table(spark, sf_dir, "embeddings"), "id % 20 = 0")
@@ -84,6 +102,7 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_main_text": op1_main_text,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_lm_scores": op3_lm_scores,
     "op4_nearest": op4_nearest,
     "op5_packing": op5_packing,
     "op7_quality": op7_quality,
