@@ -15,6 +15,7 @@ from logvigil.llm.ngram_model import train as train_ngrams
 from logvigil.llm.packing import pack
 from logvigil.llm.pii import KINDS, personal_data
 from logvigil.llm.quality import THRESHOLD, quality_scores, train
+from logvigil.llm.segments import decoded, segments
 from logvigil.llm.simhash import simhash_groups
 
 
@@ -58,6 +59,20 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"))
 
 
+def op6_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best segmentations of all documents, and whether the best one decodes to the text."""
+    found = segments(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    digest = F.transform(
+        F.arrays_zip("scores", "ids"),
+        lambda x: F.struct(x["scores"].alias("score"), F.size(x["ids"]).cast("long").alias("n_pieces"), F.xxhash64(x["ids"]).alias("ids_hash")),
+    )
+    return found.select(
+        F.col("doc.doc_id").alias("doc_id"),
+        (decoded(F.col("ids")[0]) == F.coalesce("doc.text", F.lit(""))).alias("round_trip"),
+        F.posexplode(digest).alias("pos", "d"),
+    ).select("doc_id", (F.col("pos") + 1).alias("rank"), "d.score", "d.n_pieces", "d.ids_hash", "round_trip")
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of all documents, learnt from labels outside the held-out fold."""
     docs = _table(spark, sf_dir, "documents")
@@ -105,6 +120,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_lm_scores": op3_lm_scores,
     "op4_nearest": op4_nearest,
     "op5_packing": op5_packing,
+    "op6_segments": op6_segments,
     "op7_quality": op7_quality,
     "op8_simhash": op8_simhash,
     "op9_line_dedup": op9_line_dedup,
