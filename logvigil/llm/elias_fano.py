@@ -68,26 +68,33 @@ class EliasFano:
         at = word * 64 + _nth_one(self.high[word], i - self.ones[word].astype(np.int64))
         return ((at - i) << self.bits) | self._low(i)
 
+    def _part(self, h: np.ndarray) -> np.ndarray:
+        """How many values have a high part below h, from the place of zero number h - 1."""
+        out = np.zeros(len(h), np.int64)
+        later = np.flatnonzero(h)
+        k = h[later] - 1
+        word = np.searchsorted(self.zeros, k.astype(self.zeros.dtype), side="right") - 1
+        zero = word * 64 + _nth_one(~self.high[word], k - self.zeros[word].astype(np.int64))
+        out[later] = zero - k
+        return out
+
     def find(self, x: np.ndarray) -> np.ndarray:
-        """Place of each x, or -1: the successor of x is looked for among the values of its high part."""
+        """Place of each x, or -1: the successor of x is looked for among the values of its high part, by halves."""
         out = np.full(len(x), -1, np.int64)
         if not self.n:
             return out
-        h = x >> self.bits
-        who = np.flatnonzero((h <= self.top) & (x >= 0))
-        h, low = h[who], (x[who] & ((1 << self.bits) - 1))
-        at = np.zeros(len(who), np.int64)  # bit place where the part begins: after zero number h - 1
-        later = np.flatnonzero(h)
-        k = h[later] - 1
-        word = np.searchsorted(self.zeros, k.astype(self.zeros.dtype), side="right") - 1
-        at[later] = word * 64 + _nth_one(~self.high[word], k - self.zeros[word].astype(np.int64)) + 1
-        i = at - h
-        while len(who):
-            is_value = (self.high[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1
-            who, low, at, i = who[is_value], low[is_value], at[is_value], i[is_value]
-            have = self._low(i)
-            hit = have == low
-            out[who[hit]] = i[hit]
-            on = have < low
-            who, low, at, i = who[on], low[on], at[on] + 1, i[on] + 1
+        who = np.flatnonzero((x >= 0) & (x >> self.bits <= self.top))
+        h, low = x[who] >> self.bits, x[who] & ((1 << self.bits) - 1)
+        first, last = self._part(h), self._part(h + 1)
+        end = last.copy()
+        on = np.flatnonzero(first < end)
+        while len(on):
+            middle = (first[on] + end[on]) >> 1
+            below = self._low(middle) < low[on]
+            first[on[below]], end[on[~below]] = middle[below] + 1, middle[~below]
+            on = on[first[on] < end[on]]
+        # first is the successor now; it may lie in a later part
+        inside = np.flatnonzero(first < last)
+        hit = inside[self._low(first[inside]) == low[inside]]
+        out[who[hit]] = first[hit]
         return out

@@ -21,7 +21,7 @@ from logvigil.llm.shared_files import get, put
 
 DISCOUNT, LEAST_TRIGRAM = 0.75, 2
 #: Bytes of text per numpy batch; words per vocabulary part and tokens per trie, about.
-BATCH, VOCABULARY_PART, TRIE_TOKENS = 12 << 20, 1 << 20, 3_000_000
+BATCH, VOCABULARY_PART, TRIE_TOKENS = 6 << 20, 1 << 20, 3_000_000
 _END = b" "  # no word holds a space
 _HASH = (1 << 62) - 1
 
@@ -88,7 +88,7 @@ class Vocabulary:
         return EliasFano(arrays, "hash", facts), EliasFano(arrays, "sum", facts)
 
     @functools.lru_cache(None)  # noqa: B019
-    def _left_over(self, g: int) -> np.ndarray:
+    def _left_over(self, g) -> np.ndarray:
         return get(self.plan.folder, f"left-{g}")[0]["left"]
 
     def look_up(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -122,8 +122,7 @@ class Vocabulary:
 
     def left_over(self, ids: np.ndarray) -> np.ndarray:
         """What the pairs of a first word leave to the level below."""
-        whole = get(self.plan.folder, "left-start")[0]["left"]
-        return self._each(ids, lambda g, at: self._left_over(g)[at], float(whole[0]))
+        return self._each(ids, lambda g, at: self._left_over(g)[at], float(self._left_over("start")[0]))
 
 
 def _by(keys: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -235,7 +234,7 @@ def _trie(plan: Plan, discount: float, least: int):
             more, fact = EliasFano.build(values, name)
             arrays |= more
             facts |= fact
-        for name, p in (("p2", share), ("p3", share3), ("left3", left[np.unique(of)])):
+        for name, p in (("p2", share), ("p3", share3), ("left3", left)):
             arrays[name], facts[name] = quantised(p)
         put(plan.folder, f"trie-{int(pdf['trie'].iloc[0])}", arrays, facts)
         return pd.DataFrame({"w": first, "followers": followers})
@@ -270,22 +269,29 @@ class Trie:
         self.radix = plan.radix
         self.first, self.second, self.pointers, self.third = (EliasFano(arrays, n, facts) for n in ("first", "second", "pointers", "third"))
         self.p = {n: (arrays[n], facts[n]) for n in ("p2", "p3", "left3")}
-        ends = self.pointers[np.arange(facts["pointers"][0])]
-        self.filled = np.cumsum(np.diff(ends) > 0)  # which of the contexts with successors a pair is
-        self.has = np.diff(ends) > 0
 
     def value(self, name: str, at: np.ndarray) -> np.ndarray:
         codes, (low, step) = self.p[name]
-        return 10 ** (low + step * codes[at])
+        return 10 ** (low + step * np.arange(256))[codes[at]]
 
     def pairs(self, first: np.ndarray, word: np.ndarray) -> np.ndarray:
         """Places of pairs in the second level, or -1: the successor of the word among those of the first word."""
-        root = self.first.find(first)
+        words, back = np.unique(first, return_inverse=True)
+        root = self.first.find(words)[back]
         return np.where(root >= 0, self.second.find(np.where(root >= 0, root * self.radix + word, -1)), -1)
 
+    def open(self, pair: np.ndarray) -> np.ndarray:
+        """Whether a pair has successors, by its pointers; one that leaves all to the level below has none."""
+        codes = self.p["left3"][0][pair]
+        out = np.zeros(len(pair), bool)
+        if self.third.n:
+            maybe = np.flatnonzero(codes < 255)
+            out[maybe] = self.pointers[pair[maybe] + 1] > self.pointers[pair[maybe]]
+        return out
+
     def triples(self, pair: np.ndarray, word: np.ndarray) -> np.ndarray:
-        """Places in the third level, searched only where the pointers leave room."""
-        return self.third.find(np.where(self.has[pair], pair * self.radix + word, -1))
+        """Places in the third level, or -1: the successor of the word among those of the pair."""
+        return self.third.find(pair * self.radix + word)
 
 
 class Model:
@@ -333,12 +339,12 @@ class Model:
         for s, who in _by(token_trie[place[deep]]):
             t, at = self.trie(s), deep[who]
             pair = token_place[place[at]]
-            room = t.has[pair]
-            at, pair = at[room], pair[room]
+            is_open = t.open(pair)
+            at, pair = at[is_open], pair[is_open]
             found = t.triples(pair, np.where(ids[at] >= 0, ids[at], plan.words))
-            extra = np.where(found >= 0, t.value("p3", np.maximum(found, 0)) if len(t.p["p3"][0]) else 0.0, 0.0)
-            if len(at):
-                p[at] = extra + t.value("left3", t.filled[pair] - 1) * p[at]
+            extra = np.zeros(len(at))
+            extra[found >= 0] = t.value("p3", found[found >= 0])
+            p[at] = extra + t.value("left3", pair) * p[at]
         return p
 
     def scores(self, texts: list[bytes]) -> dict[str, np.ndarray]:

@@ -1,0 +1,113 @@
+import math
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from logvigil.llm.common import fold
+from logvigil.llm.elias_fano import EliasFano
+from logvigil.llm.ngram_model import lm_scores, quantised, train
+from tests.llm.cases import no_documents, odd_documents
+
+
+@pytest.mark.parametrize("top,n", [(10, 30), (10**6, 500), (2**50, 3000), (1, 5), (5, 0)])
+def test_elias_fano_reads_and_finds(top, n):
+    rng = np.random.default_rng(n)
+    values = np.sort(rng.integers(0, top, n))
+    if n > 1000:
+        values = np.unique(np.concatenate([values, np.arange(top // 2, top // 2 + 4000)]))
+    arrays, facts = EliasFano.build(values, "x")
+    coded = EliasFano(arrays, "x", facts)
+    assert (coded[np.arange(len(values))] == values).all()
+    asked = np.concatenate([values, rng.integers(0, top + 5, 200), [-1]])
+    place = coded.find(asked)
+    known = set(values.tolist())
+    for x, p in zip(asked.tolist(), place.tolist()):
+        assert (p >= 0) == (x in known) and (p < 0 or values[p] == x)
+
+
+def test_quantised_steps_are_small():
+    p = np.random.default_rng(1).uniform(1e-6, 1, 1000)
+    codes, (low, step) = quantised(p)
+    assert np.abs(np.log10(p) - (low + step * codes)).max() <= step / 2 + 1e-12 and step < 0.03
+
+
+class Plain:
+    """The same model with dictionaries and exact probabilities."""
+
+    def __init__(self, texts, d=0.75, least=2):
+        self.d = d
+        seqs = [self.tokens(t) for t in texts]
+        self.c1 = Counter(w for s in seqs for w in s)
+        self.N, self.V = sum(self.c1.values()), len(self.c1)
+        start = [[None, *s] for s in seqs]
+        self.c2 = Counter(p for s in start for p in zip(s, s[1:]))
+        self.followers = Counter(a for a, _ in self.c2)
+        self.c3 = Counter(p for s in start for p in zip(s, s[1:], s[2:]))
+        self.of = Counter()
+        for (a, b, _), c in self.c3.items():
+            self.of[a, b] += c
+        self.c3 = {k: c for k, c in self.c3.items() if c >= least}
+        self.kept = Counter()
+        for (a, b, _), c in self.c3.items():
+            self.kept[a, b] += (c - d) / self.of[a, b]
+        self.texts = len(seqs)
+
+    @staticmethod
+    def tokens(text):
+        return [*(text or "").encode().lower().split(), b" "]
+
+    def p1(self, w):
+        return max(self.c1[w] - self.d, 0) / self.N + self.d * self.V / self.N / (self.V + 1)
+
+    def p2(self, a, w):
+        total = self.texts if a is None else self.c1[a]
+        if not total:
+            return self.p1(w)
+        left = self.d * self.followers[a] / total if self.followers[a] else 1
+        return max(self.c2[a, w] - self.d, 0) / total * bool(self.c2[a, w]) + left * self.p1(w)
+
+    def p(self, a, b, w):
+        if not self.kept[a, b]:
+            return self.p2(b, w)
+        c = self.c3.get((a, b, w), 0)
+        return (c - self.d) / self.of[a, b] * bool(c) + (1 - self.kept[a, b]) * self.p2(b, w)
+
+    def score(self, text):
+        s = [None, *self.tokens(text)]
+        out = math.log10(self.p2(None, s[1]))
+        return out + sum(math.log10(self.p(*x)) for x in zip(s, s[1:], s[2:]))
+
+
+def test_scores_equal_a_plain_model(spark):
+    docs = odd_documents(spark)
+    train_on = docs.filter(fold("doc_id", 7) != 2)
+    plan = train(train_on, vocabulary_part=200, trie_tokens=3000)
+    assert plan.parts > 1 and plan.tries > 1
+    plain = Plain([r.text for r in train_on.collect()])
+    assert (plan.tokens, plan.words, plan.texts) == (plain.N, plain.V, plain.texts)
+    got = lm_scores(docs.withColumn("copy", F.col("text")), plan).select("doc.*", "n_tokens", "n_known", "base_score", "score").collect()
+    assert len(got) == docs.count()
+    for row in got:
+        words = plain.tokens(row.copy)
+        assert row.n_tokens == len(words) and row.n_known == sum(plain.c1[w] > 0 for w in words)
+        base = sum(math.log10((plain.c1[w] + 1) / (plain.N + plain.V + 1)) for w in words)
+        assert row.base_score == pytest.approx(base, rel=1e-9)
+        assert row.score == pytest.approx(plain.score(row.copy), abs=0.012 * len(words) + 0.01)
+
+
+def test_probabilities_of_a_context_sum_to_one():
+    rng = random.Random(2)
+    plain = Plain([" ".join(rng.choice("abcdef") for _ in range(9)) for _ in range(50)])
+    for a, b in [(None, b"a"), (b"a", b"b"), (b"c", b"c")]:
+        total = sum(plain.p(a, b, w) for w in plain.c1) + plain.p(a, b, b"unknown")
+        assert total == pytest.approx(1, abs=1e-9)
+
+
+def test_no_texts(spark):
+    plan = train(no_documents(spark))
+    assert lm_scores(no_documents(spark), plan).count() == 0
+    row = lm_scores(odd_documents(spark), plan).agg(F.min("score").alias("s"), F.sum("n_known").alias("k")).collect()[0]
+    assert (row.s, row.k) == (0.0, 0)
