@@ -2,6 +2,7 @@
 
 import numpy as np
 
+_ALL, _ONE = ~np.uint64(0), np.uint64(1)
 _MASKS = [(w, np.uint64((1 << w) - 1)) for w in (32, 16, 8, 4, 2, 1)]
 
 
@@ -78,6 +79,22 @@ class EliasFano:
         out[later] = zero - k
         return out
 
+    def _end(self, h: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """How many values have a high part up to h: the next zero is mostly in the same word or the next one."""
+        at = first + h
+        word = at >> 6
+        x = ~self.high[word] & (_ALL << (at & 63).astype(np.uint64))
+        for _ in range(3):
+            dry = np.flatnonzero(x == 0)
+            if not len(dry):
+                break
+            word[dry] += 1
+            x[dry] = ~self.high[word[dry]]
+        out = word * 64 + np.bitwise_count((x & (~x + _ONE)) - _ONE) - h
+        if len(dry := np.flatnonzero(x == 0)):
+            out[dry] = self._part(h[dry] + 1)
+        return out
+
     def find(self, x: np.ndarray) -> np.ndarray:
         """Place of each x, or -1: the successor of x is looked for among the values of its high part, by halves."""
         out = np.full(len(x), -1, np.int64)
@@ -85,7 +102,8 @@ class EliasFano:
             return out
         who = np.flatnonzero((x >= 0) & (x >> self.bits <= self.top))
         h, low = x[who] >> self.bits, x[who] & ((1 << self.bits) - 1)
-        first, last = self._part(h), self._part(h + 1)
+        first = self._part(h)
+        last = self._end(h, first)
         end = last.copy()
         on = np.flatnonzero(first < end)
         while len(on):

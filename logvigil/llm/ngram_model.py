@@ -21,7 +21,7 @@ from logvigil.llm.shared_files import get, put
 
 DISCOUNT, LEAST_TRIGRAM = 0.75, 2
 #: Bytes of text per numpy batch; words per vocabulary part and tokens per trie, about.
-BATCH, VOCABULARY_PART, TRIE_TOKENS = 6 << 20, 1 << 20, 3_000_000
+BATCH, VOCABULARY_PART, TRIE_TOKENS = 8 << 20, 1 << 20, 3_000_000
 _END = b" "  # no word holds a space
 _HASH = (1 << 62) - 1
 
