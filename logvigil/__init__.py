@@ -1 +1 @@
-"""Batch analytics over security logs, as DataFrame-to-DataFrame operators."""
+"""Analytics over security logs, as DataFrame-to-DataFrame operators."""

@@ -54,7 +54,6 @@ ATTACK_SIGNATURES: dict[str, tuple[str, ...]] = {
     ),
 }
 SAMPLE_CHARS = 80
-SAMPLE_SEPARATOR = " | "
 
 
 def contains_any(text: Column, needles: Iterable[str]) -> Column:
@@ -88,6 +87,6 @@ def attack_type(
     return first_match(F.lower(path), signatures)
 
 
-def path_sample(path: Column) -> Column:
-    """The part of a path that is kept as a sample."""
-    return F.substring(path, 1, SAMPLE_CHARS)
+def path_sample(path: Column, chars: int = SAMPLE_CHARS) -> Column:
+    """The part of a path that is kept as a sample, by default as long as the fixed value."""
+    return F.substring(path, 1, chars)

@@ -12,17 +12,11 @@ from logvigil.functions import (
     path_sample,
     with_value,
 )
-from logvigil.functions.attack import SAMPLE_SEPARATOR
+from logvigil.functions.attack import SAMPLE_CHARS
 
 # Fixed value.
 TOP_PER_TYPE = 50
 
-# Samples that one result cell holds at most, about 20 MB of text, and the least
-# page size at which the list of paged sources is short enough to broadcast.
-PAGE_SAMPLES = 250_000
-BROADCAST_PAGE_SAMPLES = 10_000
-CAPPED_SAMPLES = 20
-_SALTS = 256
 
 
 def with_path(logs: DataFrame) -> DataFrame:
@@ -71,121 +65,29 @@ def top_per_type(hits: DataFrame, n: int = TOP_PER_TYPE) -> DataFrame:
     )
 
 
-def attack_patterns(tagged: DataFrame, page_samples: int = PAGE_SAMPLES) -> DataFrame:
-    """Hits, last time and every sample path, per attack type and source IP.
-
-    The samples are sorted and joined into one text, each as often as it was hit.
-    A text cannot grow without end, so a source with more than ``page_samples``
-    hits takes several rows. Each repeats its hit count and last time, and
-    together they hold all samples. Its samples are spread over the rows by hash,
-    and many copies of one sample by copy number, so no task holds such a source
-    alone.
-    """
-    samples = _sample_counts(tagged)
-    paged = (
-        samples.groupBy("attack_type", "source_ip")
-        .agg(F.sum("hits").alias("all_hits"), F.max("last_ts").alias("all_last_ts"))
-        .filter(F.col("all_hits") > page_samples)
-        .withColumnsRenamed({"attack_type": "_type", "source_ip": "_source"})
-    )
-    # Each row stands for more than page_samples hits, so there are fewer than
-    # (hits / page_samples) of them. Small pages do not bound the list that well.
-    if page_samples >= BROADCAST_PAGE_SAMPLES:
-        paged = F.broadcast(paged)
-    same_source = (F.col("attack_type") == F.col("_type")) & F.col("source_ip").eqNullSafe(
-        F.col("_source")
-    )
-    last_part = F.floor((F.col("hits") - 1) / page_samples)
-    pages = F.ceil(F.col("all_hits") / page_samples)
-    parts = (
-        samples.join(paged, same_source, "left")
-        .select("*", F.explode(F.sequence(F.lit(0).cast("long"), last_part)).alias("part"))
-        .withColumn(
-            "copies", F.least(F.lit(page_samples), F.col("hits") - F.col("part") * page_samples)
-        )
-        .withColumn(
-            "page",
-            F.when(F.col("all_hits").isNull(), 0).otherwise(
-                F.pmod(F.xxhash64("sample", "part"), pages)
-            ),
-        )
-    )
-    return (
-        parts.groupBy("attack_type", "source_ip", "page", "all_hits", "all_last_ts")
-        .agg(
-            F.sum("copies").alias("page_hits"),
-            F.max("last_ts").alias("page_last_ts"),
-            F.collect_list(F.struct("sample", "copies")).alias("samples"),
-        )
-        .withColumn("last_ts", F.coalesce("all_last_ts", "page_last_ts"))
-        .select(
-            "attack_type",
-            "source_ip",
-            F.coalesce("all_hits", "page_hits").alias("hit_count"),
-            _last_seen(),
-            _joined(_spelled_out("samples")),
-        )
-    )
+def attack_patterns(tagged: DataFrame) -> DataFrame:
+    """One row per attack type and source IP: hits and last time."""
+    return attack_hits(tagged)
 
 
-def attack_patterns_capped(tagged: DataFrame, cap: int = CAPPED_SAMPLES) -> DataFrame:
-    """The same with the first ``cap`` samples of each source only.
+def attack_samples(tagged: DataFrame, chars: int = SAMPLE_CHARS) -> DataFrame:
+    """One row per attack type, source IP and sample path: its hits and last time.
 
-    Each salted share of a source keeps its own first samples; the shares are
-    then put together, so the list of a source stays short at every step.
+    Every sample is kept, each once, with as many hits as it had; the hits of a source add up to
+    those of its pattern. Copies are combined before the shuffle, and a busy source is spread over
+    its samples. ``chars`` is the length of a sample.
     """
-    salted = _sample_counts(tagged).withColumn("salt", F.pmod(F.xxhash64("sample"), F.lit(_SALTS)))
-    position = F.row_number().over(
-        Window.partitionBy("attack_type", "source_ip", "salt").orderBy("sample")
-    )
-    kept = F.struct("sample", F.least("hits", F.lit(cap)).alias("copies"))
     return (
-        salted.withColumn("position", position)
-        .groupBy("attack_type", "source_ip", "salt")
-        .agg(
-            F.sum("hits").alias("hits"),
-            F.max("last_ts").alias("last_ts"),
-            F.collect_list(F.when(F.col("position") <= cap, kept)).alias("samples"),
+        tagged.groupBy(
+            "attack_type", "source_ip", path_sample(F.col("request_path"), chars).alias("sample_path")
         )
-        .groupBy("attack_type", "source_ip")
         .agg(
-            F.sum("hits").alias("hit_count"),
-            F.max("last_ts").alias("last_ts"),
-            F.flatten(F.collect_list("samples")).alias("samples"),
-        )
-        .select(
-            "attack_type",
-            "source_ip",
-            "hit_count",
-            _last_seen(),
-            _joined(F.slice(_spelled_out("samples"), 1, cap)),
-        )
-    )
-
-
-def _sample_counts(tagged: DataFrame) -> DataFrame:
-    """Hits per distinct sample: copies are combined before the shuffle."""
-    return tagged.groupBy(
-        "attack_type", "source_ip", path_sample(F.col("request_path")).alias("sample")
-    ).agg(
-        F.count("*").alias("hits"),
-        F.max(parse_timestamp(F.col("timestamp"))).alias("last_ts"),
-    )
-
-
-def _spelled_out(samples: str) -> Column:
-    """Sorted samples, each repeated as often as it was counted."""
-    return F.flatten(
-        F.transform(
-            F.array_sort(samples),
-            lambda item: F.array_repeat(item["sample"], item["copies"].cast("int")),
+            F.count("*").alias("hits"),
+            F.max(parse_timestamp(F.col("timestamp"))).alias("last_ts"),
         )
+        .select("attack_type", "source_ip", "sample_path", "hits", _last_seen())
     )
 
 
-def _joined(samples: Column) -> Column:
-    return F.array_join(samples, SAMPLE_SEPARATOR).alias("sample_paths_str")
-
-
 def _last_seen() -> Column:
     return F.col("last_ts").cast("string").alias("last_seen")

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logvigil.functions import date_key, with_value
-from logvigil.schema import DAY_COLUMNS, LOG_SCHEMA
+from logvigil.schema import DAY_COLUMNS, LOG_SCHEMA, REJECTED
 
 
 def _with_date(raw: DataFrame) -> DataFrame:
@@ -25,6 +25,17 @@ def rejected(raw: DataFrame) -> DataFrame:
     return _with_date(raw).filter(F.col("_date") == "").select(*raw.columns)
 
 
+def by_day(raw: DataFrame) -> DataFrame:
+    """All lines with the day they belong to; lines without a date in a day of their own."""
+    parts = [
+        F.when(F.col("_date") == "", F.lit(REJECTED))
+        .otherwise(F.split_part("_date", F.lit("-"), F.lit(position)))
+        .alias(name)
+        for position, name in enumerate(DAY_COLUMNS, start=1)
+    ]
+    return _with_date(raw).select(*raw.columns, *parts)
+
+
 def aligned(lines: DataFrame) -> DataFrame:
     """The columns of the log schema first and in its order, missing ones as NULL.
 

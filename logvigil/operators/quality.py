@@ -36,7 +36,10 @@ def line_counts(logs: DataFrame) -> DataFrame:
 
 
 def quality_profile(logs: DataFrame) -> DataFrame:
-    """The line counters and the number of scan windows, as one row."""
+    """The line counters and the number of scan windows, as one row.
+
+    The log is scanned twice: the windows need a shuffle by source, which the counters can do without.
+    """
     lines = line_counts(logs)
     scans = port_scans(connection_windows(logs)).agg(F.count("*").alias("scan_rows"))
     names = [*lines.columns, *scans.columns]
@@ -48,6 +51,7 @@ def quality_profile(logs: DataFrame) -> DataFrame:
 CHECKS = {
     "total_rows": "no log line was read: check the path and that the ingest ran",
     "threat_rows": "no threat label among the lines: look at the labels in use",
+    "sized_rows": "no line has both a threat label and a byte count: look at the labels in use",
     "path_rows": "no line has a request path: check the input",
     "attack_rows": "no signature in any request path: look at some paths",
     "timed_rows": "no line has a valid time: check the time format",

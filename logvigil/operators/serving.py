@@ -58,9 +58,14 @@ def unkeyed_rows(rows: DataFrame, table: str) -> DataFrame:
 
 
 def merge_cells(old: DataFrame, new: DataFrame) -> DataFrame:
-    """Puts the new cells over the old ones: same cell replaced, others kept."""
+    """Puts the new cells over the old ones: same cell replaced, others kept.
+
+    Each cell ends with one value. If it occurs several times on one side, the largest value counts.
+    """
     cell = ["row_key", "family", "qualifier"]
-    return old.join(new, cell, "left_anti").unionByName(new)
+    both = old.withColumn("is_new", F.lit(0)).unionByName(new.withColumn("is_new", F.lit(1)))
+    last = both.groupBy(*cell).agg(F.max(F.struct("is_new", "value"))["value"].alias("value"))
+    return last
 
 
 def peek(cells: DataFrame, n: int = PEEK_ROWS) -> DataFrame:

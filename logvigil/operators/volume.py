@@ -2,16 +2,15 @@
 
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Fixed value: the reported quantile.
 QUANTILE = Decimal("0.95")
 
-# Steps of the size buckets per e-fold. A bucket spans 0.1 % of its values, so at
-# sizes of 4 GB it holds four million distinct ones at most, and the whole range
-# of a long takes fewer than 100,000 buckets.
-_BUCKET_STEPS = 1024
+# Each step of the quantile search cuts the range of sizes into so many equal parts.
+_STEPS = 1 << 16
+_LOW = (1 << 32) - 1
 
 
 def sized(logs: DataFrame) -> DataFrame:
@@ -19,20 +18,30 @@ def sized(logs: DataFrame) -> DataFrame:
     return logs.filter(F.col("threat_label").isNotNull() & F.col("bytes_transferred").isNotNull())
 
 
-def _average() -> Column:
-    """Mean from the exact sum, so that it does not depend on the order of rows."""
-    return F.round(F.col("total_bytes") / F.col("event_count"), 2)
+def _sums(size: Column, lines: Column) -> list[Column]:
+    """Two sums that give the exact total of ``lines`` times ``size``: of the upper and lower 32 bits.
 
-
-def _size_bucket(size: Column) -> Column:
-    """A bucket number that never falls as the size grows.
-
-    It is never NULL, and Spark must know: a NULL check on one side of the join
-    would keep the two sides from sharing one scan and shuffle.
+    They are decimals of 38 digits, so neither wraps, whatever the sizes and with ANSI mode on or off.
     """
-    size = size.cast("double")
-    bucket = F.floor(F.signum(size) * F.log1p(F.abs(size)) * _BUCKET_STEPS)
-    return F.coalesce(bucket, F.lit(0))
+    size, lines = size.cast("long"), lines.cast("decimal(19,0)")
+    low = size.bitwiseAND(F.lit(_LOW).cast("long"))
+    return [
+        F.sum(F.shiftright(size, 32).cast("decimal(10,0)") * lines).alias("_high"),
+        F.sum(low.cast("decimal(10,0)") * lines).alias("_low"),
+    ]
+
+
+def _total_and_average(rows: DataFrame) -> DataFrame:
+    """Adds total_bytes and avg_bytes from the two sums. A total beyond a long is an error in any mode."""
+    high = F.col("_high").cast("decimal(27,0)")
+    total = (high * F.lit(1 << 32).cast("decimal(10,0)") + F.col("_low").cast("decimal(36,0)")).cast("decimal(38,0)")
+    fits = total.between(F.lit(-(1 << 63)).cast("decimal(20,0)"), F.lit((1 << 63) - 1).cast("decimal(20,0)"))
+    failed = F.raise_error(F.lit("the bytes of a label add up to more than a long")).cast("long")
+    return rows.withColumn("_total", total).select(
+        *[c for c in rows.columns if c not in ("_high", "_low")],
+        F.when(fits, F.col("_total").cast("long")).otherwise(failed).alias("total_bytes"),
+        F.round(F.col("_total").cast("double") / F.col("event_count"), 2).alias("avg_bytes"),
+    )
 
 
 def size_counts(logs: DataFrame, *by: str) -> DataFrame:
@@ -62,75 +71,77 @@ def label_volume_of(counts: DataFrame, quantile: Decimal = QUANTILE) -> DataFram
 def label_volume(sizes: DataFrame, quantile: Decimal) -> DataFrame:
     """Volume per label from its lines per distinct size.
 
-    The quantile is the smallest size that at least that share of the lines does
-    not exceed. No task sees all sizes of a label: a bounded histogram tells which
-    bucket holds the quantile, and only the sizes of that bucket are put in order.
+    The quantile is the smallest size that at least that share of the lines does not exceed.
     """
-    sizes = sizes.withColumn("bucket", _size_bucket(F.col("bytes_transferred")))
-    histogram = sizes.groupBy("threat_label", "bucket").agg(
-        F.sum("lines").alias("bucket_lines"),
-        F.sum(F.col("lines") * F.col("bytes_transferred")).alias("bucket_bytes"),
-        F.max("bytes_transferred").alias("bucket_max"),
-        F.min("bytes_transferred").alias("bucket_min"),
-    )
-    label = Window.partitionBy("threat_label")
-    wanted = F.ceil(F.lit(quantile) * F.col("event_count")).cast("long")
-    located = (
-        histogram.select(
-            "threat_label",
-            "bucket",
-            F.sum("bucket_lines").over(label).alias("event_count"),
-            F.sum("bucket_bytes").over(label).alias("total_bytes"),
-            F.max("bucket_max").over(label).alias("max_bytes"),
-            F.min("bucket_min").over(label).alias("min_bytes"),
-            F.sum("bucket_lines").over(_up_to_here("bucket")).alias("up_to_bucket"),
-            "bucket_lines",
+    totals = _total_and_average(
+        sizes.groupBy("threat_label").agg(
+            F.sum("lines").alias("event_count"),
+            F.max("bytes_transferred").alias("max_bytes"),
+            F.min("bytes_transferred").alias("min_bytes"),
+            *_sums(F.col("bytes_transferred"), F.col("lines")),
         )
-        .withColumn("rank", wanted - (F.col("up_to_bucket") - F.col("bucket_lines")))
-        .filter(F.col("rank").between(1, F.col("bucket_lines")))
-        .drop("up_to_bucket", "bucket_lines")
     )
-    return (
-        sizes.join(located, ["threat_label", "bucket"])
-        .withColumn("up_to_size", F.sum("lines").over(_up_to_here("bytes_transferred")))
-        .filter(
-            (F.col("up_to_size") >= F.col("rank"))
-            & (F.col("up_to_size") - F.col("lines") < F.col("rank"))
-        )
-        .select(
-            "threat_label",
-            "event_count",
-            "total_bytes",
-            _average().alias("avg_bytes"),
-            "max_bytes",
-            "min_bytes",
-            F.col("bytes_transferred").alias("p95_bytes"),
-        )
+    found = quantiles(sizes, totals, quantile).select("threat_label", F.col("low").alias("p95_bytes"))
+    return totals.join(found, "threat_label").select(
+        "threat_label", "event_count", "total_bytes", "avg_bytes", "max_bytes", "min_bytes", "p95_bytes"
     )
 
 
-def _up_to_here(order: str) -> WindowSpec:
-    return (
-        Window.partitionBy("threat_label")
-        .orderBy(order)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
+def quantiles(sizes: DataFrame, totals: DataFrame, quantile: Decimal) -> DataFrame:
+    """(threat_label, low): the exact quantile by four nested histograms, whatever the range.
+
+    A step cuts the range that still holds the quantile into 65,536 equal parts, counts the lines per
+    part, and goes on in the part where the rank falls. The range of a long is narrowed to one size by four steps, and
+    no task ever sees more than the parts of a step.
+    """
+    rank = F.ceil(F.lit(quantile) * F.col("event_count")).cast("long")
+    whole = F.lit(-(1 << 63)).cast("long")
+    found = totals.select("threat_label", whole.alias("low"), rank.alias("rank"))
+    # Sizes are looked at without sign, as distances from the smallest long, 16 bits a step.
+    place = F.col("bytes_transferred").cast("long").bitwiseXOR(whole)
+    for shift in (48, 32, 16, 0):
+        part = F.shiftrightunsigned(place, shift).bitwiseAND(F.lit(_STEPS - 1).cast("long"))
+        same = (
+            F.lit(True)
+            if shift == 48
+            else F.shiftrightunsigned(place, shift + 16) == F.shiftrightunsigned(F.col("low").bitwiseXOR(whole), shift + 16)
+        )
+        counts = (
+            sizes.join(found, "threat_label")
+            .filter(same)
+            .groupBy("threat_label", "low", "rank", part.alias("part"))
+            .agg(F.sum("lines").alias("n"))
+        )
+        up_to = F.sum("n").over(
+            Window.partitionBy("threat_label").orderBy("part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        )
+        found = (
+            counts.withColumn("up_to", up_to)
+            .filter((F.col("up_to") >= F.col("rank")) & (F.col("up_to") - F.col("n") < F.col("rank")))
+            .select(
+                "threat_label",
+                F.col("low").bitwiseOR(F.shiftleft("part", shift)).alias("low")
+                if shift < 48
+                else F.shiftleft("part", shift).bitwiseXOR(whole).alias("low"),
+                (F.col("rank") - (F.col("up_to") - F.col("n"))).alias("rank"),
+            )
+        )
+    return found
 
 
 def volume_by_protocol(logs: DataFrame) -> DataFrame:
     """Count, sum and mean of the bytes, per threat label and protocol."""
-    return _protocol_volume(sized(logs), F.count("*"), F.col("bytes_transferred"))
+    return _protocol_volume(sized(logs), F.lit(1).cast("long"))
 
 
 def protocol_volume_of(counts: DataFrame) -> DataFrame:
     """The same from counts per protocol."""
-    lines = F.col("lines")
-    return _protocol_volume(counts, F.sum(lines), lines * F.col("bytes_transferred"))
+    return _protocol_volume(counts, F.col("lines"))
 
 
-def _protocol_volume(rows: DataFrame, events: Column, size: Column) -> DataFrame:
-    return (
-        rows.groupBy("threat_label", "protocol")
-        .agg(events.alias("event_count"), F.sum(size).alias("total_bytes"))
-        .withColumn("avg_bytes", _average())
-    )
+def _protocol_volume(rows: DataFrame, lines: Column) -> DataFrame:
+    return _total_and_average(
+        rows.groupBy("threat_label", "protocol").agg(
+            F.sum(lines).alias("event_count"), *_sums(F.col("bytes_transferred"), lines)
+        )
+    ).select("threat_label", "protocol", "event_count", "total_bytes", "avg_bytes")

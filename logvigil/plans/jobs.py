@@ -1,32 +1,23 @@
-"""The batch jobs: ingest, the analyses, and the load of the serving tables.
+"""The jobs: ingest, the analyses, and the load of the serving tables.
 
 A job reads logs or stored results and writes results. It never ends the
 process: a result without rows comes back with an advice and a table to look at.
 """
 
-from collections.abc import Iterator
-from contextlib import contextmanager
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from logvigil.operators.attacks import (
     attack_patterns,
+    attack_samples,
     tag_attacks,
     top_per_type,
     with_path,
 )
-from logvigil.operators.ingest import (
-    aligned,
-    dated,
-    day_inventory,
-    ingest_summary,
-    rejected,
-    typed,
-)
-from logvigil.operators.quality import CHECKS, distinct_labels
+from logvigil.operators.ingest import aligned, by_day, day_inventory
+from logvigil.operators.quality import CHECKS, distinct_labels, line_counts
 from logvigil.operators.reports import preview, report
 from logvigil.operators.reputation import score_range, source_scores, top_sources
 from logvigil.operators.scans import (
@@ -40,11 +31,15 @@ from logvigil.operators.scans import (
 from logvigil.operators.serving import SERVING_TABLES, merge_cells, peek, to_cells, unkeyed_rows
 from logvigil.operators.timeline import hourly_timeline
 from logvigil.operators.volume import label_volume_of, protocol_volume_of, size_counts
-from logvigil.schema import DAY_COLUMNS
+from logvigil.schema import DAY_COLUMNS, REJECTED
 from logvigil.sources import (
+    raw_files,
+    read_logs,
     read_raw_csv,
+    read_rejects,
     read_result,
     saved_rows,
+    scratch,
     write_days,
     write_result,
 )
@@ -55,6 +50,7 @@ RESULTS = (
     "threat_volume",
     "threat_volume_by_protocol",
     "attack_patterns",
+    "attack_samples",
     "port_scans",
     "threat_timeline",
 )
@@ -62,143 +58,170 @@ RESULTS = (
 
 @dataclass(frozen=True)
 class JobResult:
-    """Stored rows per result, tables for a report, and advice if there are no rows."""
+    """Stored rows per result, line counters, tables for a report, and advice if there are no rows."""
 
     rows: dict[str, int]
     tables: dict[str, DataFrame]
     advice: str | None = None
+    counters: dict[str, int] = field(default_factory=dict)
 
 
-@contextmanager
-def kept(df: DataFrame) -> Iterator[DataFrame]:
-    """Keeps a DataFrame that a job uses several times, in memory or on disk."""
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        yield df
-    finally:
-        df.unpersist()
-
-
-def _store(spark: SparkSession, results: dict[str, DataFrame], batch_root: str) -> dict[str, int]:
+def _store(spark: SparkSession, results: dict[str, DataFrame], results_root: str) -> dict[str, int]:
     """Writes results and counts what was saved."""
     for name, result in results.items():
-        write_result(result, f"{batch_root}/{name}")
-    return {name: saved_rows(spark, f"{batch_root}/{name}") for name in results}
+        write_result(result, f"{results_root}/{name}")
+    return {name: saved_rows(spark, f"{results_root}/{name}") for name in results}
+
 
+def _stored(spark: SparkSession, name: str, results_root: str) -> DataFrame:
+    return read_result(spark, f"{results_root}/{name}")
 
-def _stored(spark: SparkSession, name: str, batch_root: str) -> DataFrame:
-    return read_result(spark, f"{batch_root}/{name}")
+
+def _first_gap(counters: dict[str, int], *checks: str) -> str | None:
+    """The first of the checks whose counter is zero: nothing read, nothing usable or nothing found."""
+    return next((name for name in checks if not counters[name]), None)
+
+
+def _counted(logs: DataFrame, rows: dict[str, int], *checks: str) -> tuple[dict[str, int], str | None]:
+    """Line counters of a job, and the name of the first check that failed."""
+    counters = line_counts(logs).first().asDict() | rows
+    return counters, _first_gap(counters, *checks)
 
 
 def ingest(
     spark: SparkSession,
     raw_path: str,
     logs_root: str,
-    fmt: str = "csv",
+    fmt: str = "parquet",
     in_time_order: bool = False,
     quoted_newlines: bool | None = None,
+    reports_root: str | None = None,
 ) -> JobResult:
-    """Splits raw CSV by date into day folders, replacing the days it covers."""
-    raw = read_raw_csv(spark, raw_path, quoted_newlines)
-    lines = aligned(dated(raw))
-    tables = {
-        "summary": ingest_summary(raw),
-        "days": day_inventory(lines).orderBy(*DAY_COLUMNS),
-        "rejects": rejected(raw),
-    }
-    if lines.isEmpty():
-        return JobResult({}, tables, "no line has a date: check the timestamp column")
-    write_days(
-        lines if fmt == "csv" else typed(lines), logs_root, fmt, in_time_order=in_time_order
-    )
-    return JobResult({}, tables)
+    """Splits raw CSV by date into day folders, replacing the days it covers.
 
-
-def run_reputation(spark: SparkSession, logs: DataFrame, batch_root: str) -> JobResult:
-    """Stores the sources with the highest threat score."""
-    rows = _store(spark, {"top_malicious_ips": top_sources(source_scores(logs))}, batch_root)
-    if not rows["top_malicious_ips"]:
-        return JobResult(rows, {"labels": distinct_labels(logs)}, CHECKS["threat_rows"])
-    stored = _stored(spark, "top_malicious_ips", batch_root)
-    return JobResult(
-        rows, {"top sources": top_sources(stored), "score range": score_range(stored)}
+    The raw text is read twice, once for headers and quoted newlines and once to write all lines. Lines
+    without a date are stored beside the days, in place of those of the ingest before (``read_rejects``). Their
+    number is counted on the way; the inventory of days comes from what is stored. Both are written
+    below ``reports_root``, by default the logs' folder with "-reports" added.
+    """
+    kinds = None if quoted_newlines is not None else raw_files(spark, raw_path)
+    newlines = quoted_newlines if kinds is None else any(found for _, found, _ in kinds)
+    lines = aligned(by_day(read_raw_csv(spark, raw_path, quoted_newlines, kinds=kinds)))
+    if lines.isEmpty():  # stops at the first line
+        return JobResult({}, {}, CHECKS["total_rows"], {"total_rows": 0})
+    seen = Observation("ingest")
+    is_reject = F.col("year") == REJECTED
+    observed = lines.observe(
+        seen,
+        F.count("*").alias("total_rows"),
+        F.count_if(~is_reject).alias("loaded_rows"),
+        F.count_if(is_reject).alias("rejected_rows"),
     )
+    write_days(observed, logs_root, fmt, in_time_order=in_time_order)
+    counters = {name: seen.get[name] for name in ("total_rows", "loaded_rows", "rejected_rows")}
+    reports_root = reports_root or f"{logs_root.rstrip('/')}-reports"
+    as_stored = {"fmt": fmt, "quoted_newlines": bool(newlines) and fmt == "csv"}
+    tables = {"rejects": read_rejects(spark, logs_root, **as_stored)}
+    write_result(day_inventory(read_logs(spark, logs_root, **as_stored)), f"{reports_root}/days")
+    days = read_result(spark, f"{reports_root}/days")
+    facts = counters | {"day_count": days.count()}
+    summary = spark.range(1).select(*[F.lit(n).cast("long").alias(name) for name, n in facts.items()])
+    write_result(summary, f"{reports_root}/summary")
+    tables["summary"] = read_result(spark, f"{reports_root}/summary")
+    tables["days"] = days.orderBy(*DAY_COLUMNS)
+    no_date = "no line has a date: check the timestamp column"
+    hint = "fields hold newlines: read these logs with quoted_newlines" if as_stored["quoted_newlines"] else None
+    return JobResult({}, tables, hint if counters["loaded_rows"] else no_date, counters)
+
+
+def run_reputation(spark: SparkSession, logs: DataFrame, results_root: str) -> JobResult:
+    """Stores the sources with the highest threat score."""
+    rows = _store(spark, {"top_malicious_ips": top_sources(source_scores(logs))}, results_root)
+    counters, gap = _counted(logs, {}, "total_rows", "threat_rows")
+    if gap:
+        return JobResult(rows, {"labels": distinct_labels(logs)}, CHECKS[gap], counters)
+    stored = _stored(spark, "top_malicious_ips", results_root)
+    tables = {"top sources": top_sources(stored), "score range": score_range(stored)}
+    return JobResult(rows, tables, None, counters)
+
 
+def run_volume(spark: SparkSession, logs: DataFrame, results_root: str) -> JobResult:
+    """Stores the byte volume per label, and per label and protocol.
 
-def run_volume(spark: SparkSession, logs: DataFrame, batch_root: str) -> JobResult:
-    """Stores the byte volume per label, and per label and protocol."""
-    with kept(size_counts(logs, "protocol")) as counts:
+    Both come from the counts per size, which are kept in the shared folder in between.
+    """
+    with scratch(spark) as folder:
+        write_result(size_counts(logs, "protocol"), f"{folder}/counts")
+        counts = read_result(spark, f"{folder}/counts")
         rows = _store(
             spark,
             {
                 "threat_volume": label_volume_of(counts),
                 "threat_volume_by_protocol": protocol_volume_of(counts),
             },
-            batch_root,
+            results_root,
         )
-    by_protocol = _stored(spark, "threat_volume_by_protocol", batch_root)
-    tables = {
-        "by label": report(_stored(spark, "threat_volume", batch_root), "threat_volume"),
-        "by protocol": preview(by_protocol, "threat_volume_by_protocol"),
-    }
-    return JobResult(rows, tables, None if rows["threat_volume"] else CHECKS["total_rows"])
-
-
-def run_attacks(spark: SparkSession, logs: DataFrame, batch_root: str) -> JobResult:
-    """Stores hits and sample paths per attack type and source."""
+    counters, gap = _counted(logs, {}, "total_rows", "sized_rows")
+    tables = {"labels": distinct_labels(logs)}
+    if gap:
+        return JobResult(rows, tables, CHECKS[gap], counters)
+    by_protocol = _stored(spark, "threat_volume_by_protocol", results_root)
+    tables["by label"] = report(_stored(spark, "threat_volume", results_root), "threat_volume")
+    tables["by protocol"] = preview(by_protocol, "threat_volume_by_protocol")
+    return JobResult(rows, tables, None, counters)
+
+
+def run_attacks(spark: SparkSession, logs: DataFrame, results_root: str) -> JobResult:
+    """Stores hits per attack type and source, and per sample path."""
     tagged = tag_attacks(logs).select("attack_type", "source_ip", "timestamp", "request_path")
-    rows = _store(spark, {"attack_patterns": attack_patterns(tagged)}, batch_root)
-    if not rows["attack_patterns"]:
+    rows = _store(
+        spark,
+        {"attack_patterns": attack_patterns(tagged), "attack_samples": attack_samples(tagged)},
+        results_root,
+    )
+    counters, gap = _counted(logs, {}, "total_rows", "path_rows", "attack_rows")
+    if gap:
         paths = preview(with_path(logs).select("request_path"), "request_paths")
-        return JobResult(rows, {"paths": paths}, CHECKS["attack_rows"])
-    hits = stored_hits(_stored(spark, "attack_patterns", batch_root))
+        return JobResult(rows, {"paths": paths}, CHECKS[gap], counters)
+    hits = _stored(spark, "attack_patterns", results_root)
     totals = hits.groupBy("attack_type").agg(F.sum("hit_count").alias("hit_count"))
-    return JobResult(
-        rows,
-        {
-            "totals": report(totals, "attack_totals"),
-            "top sources": preview(hits, "attack_patterns"),
-        },
-    )
-
-
-def stored_hits(patterns: DataFrame) -> DataFrame:
-    """Hits per attack type and source, once for each, however many rows its samples take."""
-    return patterns.select("attack_type", "source_ip", "hit_count", "last_seen").distinct()
+    tables = {
+        "totals": report(totals, "attack_totals"),
+        "top sources": preview(hits, "attack_patterns"),
+    }
+    return JobResult(rows, tables, None, counters)
 
 
-def run_scans(spark: SparkSession, logs: DataFrame, batch_root: str) -> JobResult:
+def run_scans(spark: SparkSession, logs: DataFrame, results_root: str) -> JobResult:
     """Stores the windows in which a source reaches many targets."""
-    rows = _store(spark, {"port_scans": port_scans(connection_windows(logs))}, batch_root)
-    if not rows["port_scans"]:
-        tables = {
-            "most targets": most_targets(connection_windows(logs)),
-            "protocols": report(protocol_distribution(timed(logs)), "protocol_distribution"),
-        }
-        return JobResult(rows, tables, CHECKS["scan_rows"])
-    stored = _stored(spark, "port_scans", batch_root)
-    return JobResult(
-        rows,
-        {
-            "scans": preview(stored, "port_scans"),
-            "sources": preview(scanner_summary(stored), "port_scan_summary"),
-        },
-    )
+    rows = _store(spark, {"port_scans": port_scans(connection_windows(logs))}, results_root)
+    scan_rows = {"scan_rows": rows["port_scans"]}
+    counters, gap = _counted(logs, scan_rows, "total_rows", "timed_rows", "tcp_rows", "scan_rows")
+    if gap:
+        tables = {"protocols": report(protocol_distribution(timed(logs)), "protocol_distribution")}
+        if gap == "scan_rows":
+            tables["most targets"] = most_targets(connection_windows(logs))
+        return JobResult(rows, tables, CHECKS[gap], counters)
+    stored = _stored(spark, "port_scans", results_root)
+    tables = {
+        "scans": preview(stored, "port_scans"),
+        "sources": preview(scanner_summary(stored), "port_scan_summary"),
+    }
+    return JobResult(rows, tables, None, counters)
 
 
-def run_timeline(spark: SparkSession, logs: DataFrame, batch_root: str) -> JobResult:
+def run_timeline(spark: SparkSession, logs: DataFrame, results_root: str) -> JobResult:
     """Stores the lines per hour and label."""
-    rows = _store(spark, {"threat_timeline": hourly_timeline(logs)}, batch_root)
-    stored = _stored(spark, "threat_timeline", batch_root)
+    rows = _store(spark, {"threat_timeline": hourly_timeline(logs)}, results_root)
+    counters, gap = _counted(logs, {}, "total_rows", "timed_rows")
+    stored = _stored(spark, "threat_timeline", results_root)
     return JobResult(
-        rows,
-        {"hours": report(stored, "threat_timeline")},
-        None if rows["threat_timeline"] else CHECKS["timed_rows"],
+        rows, {"hours": report(stored, "threat_timeline")}, CHECKS[gap] if gap else None, counters
     )
 
 
 def load_serving(
-    spark: SparkSession, batch_root: str, serving_root: str, previous_root: str | None = None
+    spark: SparkSession, results_root: str, serving_root: str, previous_root: str | None = None
 ) -> JobResult:
     """Turns stored results into serving tables, over those of an earlier load if given.
 
@@ -208,11 +231,9 @@ def load_serving(
     if previous_root is not None and previous_root.rstrip("/") == serving_root.rstrip("/"):
         raise ValueError("serving_root must differ from previous_root")
     sources = {
-        "ip_reputation": _stored(spark, "top_malicious_ips", batch_root),
-        "attack_patterns": top_per_type(
-            stored_hits(_stored(spark, "attack_patterns", batch_root))
-        ),
-        "threat_timeline": _stored(spark, "threat_timeline", batch_root),
+        "ip_reputation": _stored(spark, "top_malicious_ips", results_root),
+        "attack_patterns": top_per_type(_stored(spark, "attack_patterns", results_root)),
+        "threat_timeline": _stored(spark, "threat_timeline", results_root),
     }
     rows, tables = {}, {}
     for table in SERVING_TABLES:
@@ -235,6 +256,6 @@ ANALYSES = {
 }
 
 
-def run_batch(spark: SparkSession, logs: DataFrame, batch_root: str) -> dict[str, JobResult]:
+def run_all(spark: SparkSession, logs: DataFrame, results_root: str) -> dict[str, JobResult]:
     """All analyses over the given logs."""
-    return {name: run(spark, logs, batch_root) for name, run in ANALYSES.items()}
+    return {name: run(spark, logs, results_root) for name, run in ANALYSES.items()}

@@ -4,9 +4,6 @@ Written on its own, apart from the operators: each text says what a query has to
 return, in the plainest SQL.
 """
 
-from logvigil.functions import ATTACK_SIGNATURES
-from logvigil.operators.quality import CHECKS
-
 _VIEW = """
 SELECT
   CASE WHEN event_id % 101 = 0 THEN 'not-a-time'
@@ -41,6 +38,12 @@ SELECT
     WHEN 9 THEN concat('/q?a=', chr(34), '>, ', chr(34), '<iframe src=x>')
     WHEN 10 THEN '/nmap'
     WHEN 11 THEN NULL
+    WHEN 12 THEN concat('/probe/', string_split(concat(
+      chr(39), ' or ;or 1=1;', chr(39), ' --;union select;drop table;insert into;sqlmap;', chr(39),
+      ' and ;xp_cmdshell;information_schema;sleep(;benchmark(;1=1;', chr(39), ' or ', chr(39), '1', chr(39), '=', chr(39), '1;',
+      '<script>;javascript:;onerror=;onload=;alert(;<img src;document.cookie;eval(;<iframe;onmouseover=;</script>;',
+      'nikto;../;/etc/passwd;cmd.exe;/bin/bash;wget ;curl ;base64_decode;nmap;.php?id=;../../'), ';')
+      [CAST(((event_id - 12) // 23) % 36 AS INT) + 1])
     ELSE concat('/static/', CAST(event_id AS VARCHAR)) END AS request_path
 FROM events"""
 
@@ -52,17 +55,46 @@ def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
-def _is_attack(needles: tuple[str, ...]) -> str:
-    return " OR ".join(f"contains(lower(request_path), {_quoted(text)})" for text in needles)
-
-
-_ATTACK_TYPE = (
-    "CASE "
-    + " ".join(
-        f"WHEN {_is_attack(needles)} THEN '{name}'" for name, needles in ATTACK_SIGNATURES.items()
-    )
-    + " END"
-)
+# The signatures, spelled out here too, so that the operator is checked against another text.
+_TYPE_OF = """CASE
+    WHEN contains(lower({path}), ''' or ')
+      OR contains(lower({path}), 'or 1=1')
+      OR contains(lower({path}), ''' --')
+      OR contains(lower({path}), 'union select')
+      OR contains(lower({path}), 'drop table')
+      OR contains(lower({path}), 'insert into')
+      OR contains(lower({path}), 'sqlmap')
+      OR contains(lower({path}), ''' and ')
+      OR contains(lower({path}), 'xp_cmdshell')
+      OR contains(lower({path}), 'information_schema')
+      OR contains(lower({path}), 'sleep(')
+      OR contains(lower({path}), 'benchmark(')
+      OR contains(lower({path}), '1=1')
+      OR contains(lower({path}), ''' or ''1''=''1') THEN 'SQLi'
+    WHEN contains(lower({path}), '<script>')
+      OR contains(lower({path}), 'javascript:')
+      OR contains(lower({path}), 'onerror=')
+      OR contains(lower({path}), 'onload=')
+      OR contains(lower({path}), 'alert(')
+      OR contains(lower({path}), '<img src')
+      OR contains(lower({path}), 'document.cookie')
+      OR contains(lower({path}), 'eval(')
+      OR contains(lower({path}), '<iframe')
+      OR contains(lower({path}), 'onmouseover=')
+      OR contains(lower({path}), '</script>') THEN 'XSS'
+    WHEN contains(lower({path}), 'nikto')
+      OR contains(lower({path}), '../')
+      OR contains(lower({path}), '/etc/passwd')
+      OR contains(lower({path}), 'cmd.exe')
+      OR contains(lower({path}), '/bin/bash')
+      OR contains(lower({path}), 'wget ')
+      OR contains(lower({path}), 'curl ')
+      OR contains(lower({path}), 'base64_decode')
+      OR contains(lower({path}), 'nmap')
+      OR contains(lower({path}), '.php?id=')
+      OR contains(lower({path}), '../../') THEN 'Other'
+  END"""
+_ATTACK_TYPE = _TYPE_OF.format(path="request_path")
 
 # Named query parts; each builds on the ones before it.
 _PARTS = {
@@ -200,6 +232,37 @@ _SORTED_SUMMARY = " ORDER BY scan_windows DESC, source_ip NULLS LAST"
 _SORTED_VOLUME = " ORDER BY threat_label, total_bytes DESC, protocol NULLS LAST"
 
 
+# Two loads of the timeline: that of the later one counts where both have an hour.
+_LOADS = {
+    f"load_{n}": "SELECT strftime(ts, '%Y-%m-%d-%H') AS hour_bucket,"
+    + ", ".join(f"count(*) FILTER (WHERE threat_label = '{x}') AS {x}" for x in ("malicious", "suspicious", "benign"))
+    + f", count(*) AS total FROM timed_events WHERE ts IS NOT NULL AND {where} GROUP BY hour_bucket"
+    for n, where in ((1, "event_id % 3 < 2"), (2, "event_id % 3 > 0"))
+}
+_HOUR_COLUMNS = ["malicious", "suspicious", "benign", "total"]
+_UPSERT = _sql(
+    """ SELECT row_key, family, qualifier, value FROM cells_2
+UNION ALL SELECT row_key, family, qualifier, value FROM cells_1
+WHERE row_key NOT IN (SELECT row_key FROM cells_2)""",
+    logs_with_id=_PARTS["logs"].replace("SELECT", "SELECT event_id,", 1),
+    timed_events=_PARTS["timed"].replace("FROM logs", "FROM logs_with_id"),
+    **_LOADS,
+    cells_1=_cells("load_1", "hour_bucket", _HOUR_COLUMNS, ["hour_bucket"]),
+    cells_2=_cells("load_2", "hour_bucket", _HOUR_COLUMNS, ["hour_bucket"]),
+)
+
+# The checks and what to do if one fails.
+_ADVICE = {
+    "total_rows": "no log line was read: check the path and that the ingest ran",
+    "threat_rows": "no threat label among the lines: look at the labels in use",
+    "sized_rows": "no line has both a threat label and a byte count: look at the labels in use",
+    "path_rows": "no line has a request path: check the input",
+    "attack_rows": "no signature in any request path: look at some paths",
+    "timed_rows": "no line has a valid time: check the time format",
+    "tcp_rows": "no TCP line with a valid time: look at the protocols in use",
+    "scan_rows": "no window reaches the scan threshold: look at the most targets in any window",
+}
+
 ORACLE_SQL: dict[str, str] = {
     "top_malicious_ips": _sql(" SELECT * FROM top_ips"),
     "source_scores": _sql(" SELECT * FROM scores"),
@@ -222,26 +285,17 @@ FROM sized GROUP BY threat_label ORDER BY threat_label"""
     "attack_totals": _sql(
         " SELECT attack_type, count(*) AS hit_count FROM tagged GROUP BY attack_type"
     ),
-    "attack_patterns": _sql(
-        """
-SELECT attack_type, source_ip, count(*) AS hit_count,
-       strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS last_seen,
-       string_agg(substr(request_path, 1, 80), ' | '
-                  ORDER BY substr(request_path, 1, 80)) AS sample_paths_str
-FROM tagged GROUP BY attack_type, source_ip"""
-        + _SORTED_HITS
-    ),
-    "attack_patterns_capped": _sql(
+    "attack_patterns": _sql(" SELECT * FROM hits" + _SORTED_HITS),
+    "attack_samples": _sql(
         """
-SELECT h.attack_type, h.source_ip, h.hit_count, h.last_seen, p.sample_paths_str
-FROM hits h JOIN (
-  SELECT attack_type, source_ip, string_agg(sample, ' | ' ORDER BY sample) AS sample_paths_str
-  FROM (SELECT attack_type, source_ip, substr(request_path, 1, 80) AS sample,
-               row_number() OVER (PARTITION BY attack_type, source_ip
-                                  ORDER BY substr(request_path, 1, 80)) AS place FROM tagged)
-  WHERE place <= 20 GROUP BY attack_type, source_ip) p
-ON h.attack_type = p.attack_type AND h.source_ip IS NOT DISTINCT FROM p.source_ip"""
+SELECT attack_type, source_ip, substr(request_path, 1, 80) AS sample_path, count(*) AS hits,
+       strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS last_seen
+FROM tagged GROUP BY attack_type, source_ip, substr(request_path, 1, 80)"""
     ),
+    "attack_signatures_in_urls": f"""
+SELECT {_TYPE_OF.format(path="url")} AS attack_type, count(*) AS row_count FROM pages GROUP BY 1""",
+    "attack_signatures_in_texts": f"""
+SELECT {_TYPE_OF.format(path="text")} AS attack_type, count(*) AS row_count FROM documents GROUP BY 1""",
     "attack_preview": _sql(" SELECT * FROM hits" + _SORTED_HITS + " LIMIT 30"),
     "attack_top50_per_type": _sql(" SELECT * FROM top_hits"),
     "request_path_preview": _sql(
@@ -267,14 +321,7 @@ FROM timed WHERE ts IS NOT NULL"""
     "serving_ip_reputation": _sql(" " + _IP_CELLS),
     "serving_attack_patterns": _sql(" " + _ATTACK_CELLS),
     "serving_threat_timeline": _sql(" " + _HOUR_CELLS),
-    "serving_upsert": _sql(
-        """
-SELECT row_key, family, qualifier, 'stale' AS value FROM new_cells n
-WHERE NOT EXISTS (SELECT 1 FROM put p WHERE p.row_key = n.row_key AND p.qualifier = n.qualifier)
-UNION ALL SELECT * FROM put""",
-        new_cells=_HOUR_CELLS,
-        put="SELECT * FROM new_cells WHERE CAST(right(row_key, 2) AS INTEGER) % 2 = 0",
-    ),
+    "serving_upsert": _UPSERT,
     "serving_peek": _sql(
         " SELECT row_key, count(*) AS cell_count FROM cells GROUP BY row_key"
         " ORDER BY row_key LIMIT 3",
@@ -307,6 +354,12 @@ FROM raw_days"""
     "ingest_roundtrip": _sql(
         f' SELECT {_LOG_COLUMNS}, "year", "month", "day" FROM raw_days WHERE has_date'
     ),
+    "ingest_mixed_files": _sql(
+        """ SELECT * REPLACE (CASE WHEN coalesce(source_ip LIKE '10.0%', false) THEN user_agent
+                           ELSE concat(user_agent, chr(10), 'second line') END AS user_agent)
+FROM (SELECT """
+        + f'{_LOG_COLUMNS}, "year", "month", "day" FROM raw_days WHERE has_date)'
+    ),
     "result_roundtrip": _sql(" SELECT * FROM scans"),
     "result_saved_rows": _sql(" SELECT count(*) AS saved_rows FROM scans"),
     "quality_profile": _sql(" SELECT * FROM profile"),
@@ -315,7 +368,7 @@ FROM raw_days"""
         + " UNION ALL ".join(
             f"SELECT '{name}' AS \"check\", {name} AS row_count, {name} > 0 AS passed, "
             f"CASE WHEN {name} = 0 THEN {_quoted(advice)} END AS advice FROM profile"
-            for name, advice in CHECKS.items()
+            for name, advice in _ADVICE.items()
         )
     ),
 }

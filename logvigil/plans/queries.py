@@ -5,11 +5,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logvigil.functions import hour_bucket
+from logvigil.functions import attack_type, hour_bucket
 from logvigil.operators.attacks import (
     attack_hits,
     attack_patterns,
-    attack_patterns_capped,
+    attack_samples,
     attack_totals,
     tag_attacks,
     top_per_type,
@@ -35,12 +35,13 @@ from logvigil.operators.scans import (
 from logvigil.operators.serving import merge_cells, peek, to_cells, unkeyed_rows
 from logvigil.operators.timeline import hourly_timeline
 from logvigil.operators.volume import volume_by_label, volume_by_protocol
+from logvigil.plans.jobs import ingest
 from logvigil.sources import (
     read_logs,
-    read_raw_csv,
     read_result,
+    saved_rows,
+    scratch,
     scratch_dir,
-    write_days,
     write_result,
 )
 from logvigil.sources.event_logs import event_logs, event_logs_by_day
@@ -73,12 +74,24 @@ def _parsed_timestamps(logs: DataFrame) -> DataFrame:
     return timed(logs).select("timestamp", "ts", hour_bucket(F.col("ts")).alias("hour_bucket"))
 
 
-def _upserted(logs: DataFrame) -> DataFrame:
-    """A timeline table of stale values, over which every second hour is put."""
-    timeline = hourly_timeline(logs)
-    stale = to_cells(timeline, "threat_timeline").withColumn("value", F.lit("stale"))
-    even_hours = timeline.filter(F.substring("hour_bucket", -2, 2).cast("int") % 2 == 0)
-    return merge_cells(stale, to_cells(even_hours, "threat_timeline"))
+def _over_texts(table: str, column: str) -> Query:
+    """Rows per attack type, or none, of all texts of a table, each read in full."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        texts = spark.read.parquet(f"{sf_dir}/{table}.parquet").select(column)
+        found = texts.select(attack_type(F.col(column)).alias("attack_type"))
+        return found.groupBy("attack_type").agg(F.count("*").alias("row_count"))
+
+    return query
+
+
+def _upserted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The timeline of a first load, and over it that of a later one; an hour in both is that of the later one."""
+    loads = [
+        to_cells(hourly_timeline(event_logs(spark, sf_dir, where)), "threat_timeline")
+        for where in ("event_id % 3 < 2", "event_id % 3 > 0")
+    ]
+    return merge_cells(*loads)
 
 
 def _unkeyed(logs: DataFrame) -> DataFrame:
@@ -94,13 +107,26 @@ def _unkeyed(logs: DataFrame) -> DataFrame:
     return counts[0].union(counts[1]).union(counts[2])
 
 
+_TEXTS = {**CSV_OPTIONS, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
 def _ingest_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines written as raw CSV, ingested by day and read back."""
     folder = scratch_dir(spark)
-    event_logs_by_day(spark, sf_dir).write.options(
-        **CSV_OPTIONS, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
-    ).csv(f"{folder}/raw")
-    write_days(dated(read_raw_csv(spark, f"{folder}/raw")), f"{folder}/logs")
+    event_logs_by_day(spark, sf_dir).write.options(**_TEXTS).csv(f"{folder}/raw")
+    ingest(spark, f"{folder}/raw", f"{folder}/logs")
+    return read_logs(spark, f"{folder}/logs")
+
+
+def _ingest_mixed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from files of two column orders, of which one kind holds newlines inside quotes."""
+    folder = scratch_dir(spark)
+    lines = event_logs_by_day(spark, sf_dir)
+    plain, other = lines.filter("source_ip LIKE '10.0%'"), lines.filter("NOT coalesce(source_ip LIKE '10.0%', false)")
+    broken = other.withColumn("user_agent", F.concat_ws("\n", "user_agent", F.lit("second line")))
+    plain.write.options(**_TEXTS).csv(f"{folder}/raw/plain")
+    broken.select(*reversed(lines.columns)).write.options(**_TEXTS).csv(f"{folder}/raw/broken")
+    ingest(spark, f"{folder}/raw/*", f"{folder}/logs")
     return read_logs(spark, f"{folder}/logs")
 
 
@@ -113,9 +139,10 @@ def _result_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _saved_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Row count of a stored result, as checked after a write."""
-    folder = scratch_dir(spark)
-    write_result(_scans(event_logs(spark, sf_dir)), f"{folder}/port_scans")
-    return read_result(spark, f"{folder}/port_scans").agg(F.count("*").alias("saved_rows"))
+    with scratch(spark) as folder:
+        write_result(_scans(event_logs(spark, sf_dir)), f"{folder}/port_scans")
+        saved = saved_rows(spark, f"{folder}/port_scans")
+    return spark.range(1).select(F.lit(saved).cast("long").alias("saved_rows"))
 
 
 QUERIES: dict[str, Query] = {
@@ -142,9 +169,9 @@ QUERIES: dict[str, Query] = {
     "attack_patterns": _over_logs(
         lambda logs: report(attack_patterns(tag_attacks(logs)), "attack_patterns")
     ),
-    "attack_patterns_capped": _over_logs(
-        lambda logs: report(attack_patterns_capped(tag_attacks(logs)), "attack_patterns")
-    ),
+    "attack_samples": _over_logs(lambda logs: attack_samples(tag_attacks(logs))),
+    "attack_signatures_in_urls": _over_texts("pages", "url"),
+    "attack_signatures_in_texts": _over_texts("documents", "text"),
     "attack_preview": _over_logs(
         lambda logs: preview(attack_hits(tag_attacks(logs)), "attack_patterns")
     ),
@@ -178,7 +205,7 @@ QUERIES: dict[str, Query] = {
     "serving_threat_timeline": _over_logs(
         lambda logs: to_cells(hourly_timeline(logs), "threat_timeline")
     ),
-    "serving_upsert": _over_logs(_upserted),
+    "serving_upsert": _upserted,
     "serving_peek": _over_logs(
         lambda logs: peek(to_cells(hourly_timeline(logs), "threat_timeline"))
     ),
@@ -188,6 +215,7 @@ QUERIES: dict[str, Query] = {
     "ingest_rejects": _over_days(reject_inventory),
     "ingest_summary": _over_days(ingest_summary),
     "ingest_roundtrip": _ingest_roundtrip,
+    "ingest_mixed_files": _ingest_mixed_files,
     "result_roundtrip": _result_roundtrip,
     "result_saved_rows": _saved_rows,
     # Quality

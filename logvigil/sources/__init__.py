@@ -1,14 +1,19 @@
 """Readers and writers."""
 
-from logvigil.sources.read import read_logs, read_raw_csv, read_result
-from logvigil.sources.scratch import scratch_dir
+from logvigil.sources.read import raw_files, read_logs, read_raw_csv, read_rejects, read_result, read_stored
+from logvigil.sources.scratch import remove_dir, scratch, scratch_dir
 from logvigil.sources.write import saved_rows, write_days, write_result
 
 __all__ = [
+    "raw_files",
     "read_logs",
     "read_raw_csv",
+    "read_rejects",
     "read_result",
+    "read_stored",
+    "remove_dir",
     "saved_rows",
+    "scratch",
     "scratch_dir",
     "write_days",
     "write_result",

@@ -49,19 +49,22 @@ _LOG_COLUMNS = {
     WHEN 9 THEN concat('/q?a=', chr(34), '>, ', chr(34), '<iframe src=x>')
     WHEN 10 THEN '/nmap'
     WHEN 11 THEN NULL
+    WHEN 12 THEN concat('/probe/', element_at(split(
+      "' or ;or 1=1;' --;union select;drop table;insert into;sqlmap;' and ;xp_cmdshell;information_schema;sleep(;benchmark(;1=1;' or '1'='1;<script>;javascript:;onerror=;onload=;alert(;<img src;document.cookie;eval(;<iframe;onmouseover=;</script>;nikto;../;/etc/passwd;cmd.exe;/bin/bash;wget ;curl ;base64_decode;nmap;.php?id=;../../",
+      ';'), CAST((event_id - 12) / 23 % 36 AS INT) + 1))
     ELSE concat('/static/', CAST(event_id AS STRING)) END""",
 }
 
 
-def _logs(spark: SparkSession, sf_dir: str, clock: str) -> DataFrame:
-    events = spark.read.schema(_EVENT_SCHEMA).parquet(f"{sf_dir}/events.parquet")
+def _logs(spark: SparkSession, sf_dir: str, clock: str, where: str = "true") -> DataFrame:
+    events = spark.read.schema(_EVENT_SCHEMA).parquet(f"{sf_dir}/events.parquet").filter(where)
     columns = {"timestamp": _TIME_OF_LINE.format(clock=clock)} | _LOG_COLUMNS
     return events.select(*[F.expr(text).alias(name) for name, text in columns.items()])
 
 
-def event_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Log lines seven seconds apart, dense enough for scan windows."""
-    return _logs(spark, sf_dir, _PACKED_CLOCK)
+def event_logs(spark: SparkSession, sf_dir: str, where: str = "true") -> DataFrame:
+    """Log lines seven seconds apart, dense enough for scan windows; ``where`` is SQL over the events."""
+    return _logs(spark, sf_dir, _PACKED_CLOCK, where)
 
 
 def event_logs_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,25 +3,23 @@
 CSV quotes are doubled inside quoted fields, as in RFC 4180.
 """
 
+import csv
+import re
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
-from logvigil.schema import DAY_SCHEMA, LOG_SCHEMA
+from logvigil.schema import DAY_SCHEMA, LOG_SCHEMA, REJECTED
 
 CSV_OPTIONS = {"header": True, "escape": '"'}
 
 
-def read_logs(
-    spark: SparkSession, root: str, fmt: str = "csv", quoted_newlines: bool = True
+def read_stored(
+    spark: SparkSession, root: str, fmt: str = "parquet", quoted_newlines: bool = False
 ) -> DataFrame:
-    """Log lines of all days below the root, with year, month and day as text.
-
-    Filters on year, month and day skip the folders of other days. With
-    ``quoted_newlines`` one task reads one CSV file, which suits the files that
-    ``write_days`` keeps small; without it large files are split, and lines with
-    a newline inside quotes would break.
-    """
+    """All that an ingest has stored: log lines of all days, and rejected lines."""
     schema = StructType([*LOG_SCHEMA.fields, *DAY_SCHEMA.fields])
     reader = spark.read.schema(schema)
     if fmt == "csv":
@@ -29,53 +27,90 @@ def read_logs(
     return reader.format(fmt).load(root)
 
 
-def read_raw_csv(
-    spark: SparkSession,
-    path: str,
-    quoted_newlines: bool | None = None,
-    line_end: str | None = None,
+def read_logs(
+    spark: SparkSession, root: str, fmt: str = "parquet", quoted_newlines: bool = False
 ) -> DataFrame:
-    """Raw CSV with a header; all columns are text, in the header's order.
+    """Log lines of all days below the root, with year, month and day as text.
 
-    A newline inside quotes keeps a file from being split. Unless the caller
-    knows, one pass over the text tells which files have such newlines, and only
-    those are read whole. Giving the ``line_end`` of such files keeps the same
-    characters inside quotes as they are; otherwise they are read as one newline.
+    Filters on year, month and day skip the folders of other days. Large files are split. CSV
+    files whose fields hold newlines, which an ingest tells, need ``quoted_newlines``: then
+    one task reads one file.
     """
-    reader = spark.read.options(**CSV_OPTIONS)
-    whole_reader = spark.read.options(**CSV_OPTIONS, multiLine=True)
-    if line_end is not None:
-        whole_reader = whole_reader.option("lineSep", line_end)
-    if quoted_newlines is not None:
-        return (whole_reader if quoted_newlines else reader).csv(path)
-    has_newlines = _quoted_newlines_by_file(spark, path)
-    unsplittable = [file for file, found in has_newlines.items() if found]
-    if not unsplittable:
-        return reader.csv(path)
-    if len(unsplittable) == len(has_newlines):
-        return whole_reader.csv(path)
-    # Spark checks the file name before it opens a file.
-    is_unsplittable = F.col("_metadata.file_path").isin(unsplittable)
-    return (
-        whole_reader.csv(path)
-        .filter(is_unsplittable)
-        .unionByName(reader.csv(path).filter(~is_unsplittable))
-    )
+    return read_stored(spark, root, fmt, quoted_newlines).filter(F.col("year") != REJECTED)
+
+
+def read_rejects(
+    spark: SparkSession, root: str, fmt: str = "parquet", quoted_newlines: bool = False
+) -> DataFrame:
+    """The lines that the last ingest below this root could not date."""
+    stored = read_stored(spark, root, fmt, quoted_newlines)
+    return stored.filter(F.col("year") == REJECTED).select(*LOG_SCHEMA.names)
 
 
-def _quoted_newlines_by_file(spark: SparkSession, path: str) -> dict[str, bool]:
-    """For each file, whether one of its lines has an odd number of quotes.
+def raw_files(spark: SparkSession, path: str) -> list[tuple[str, bool, list[str]]]:
+    """(header, whether a quoted field holds a newline, files) for each kind of raw file, in one pass.
 
-    If every line has an even number, each one ends outside quotes. The result
+    If every line has an even number of quotes, each one ends outside quotes. The result
     is as long as the file listing, which the driver holds anyway.
     """
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"')))
-    files = (
-        spark.read.text(path)
-        .groupBy(F.col("_metadata.file_path").alias("file"))
-        .agg(F.bool_or(quotes % 2 == 1).alias("found"))
+    lines = spark.read.text(path).select(
+        "value",
+        (quotes % 2 == 1).alias("odd"),
+        F.col("_metadata.file_path").alias("file"),
+        F.when(F.col("_metadata.file_block_start") == 0, F.monotonically_increasing_id()).alias("nth"),
     )
-    return {row["file"]: row["found"] for row in files.collect()}
+    files = lines.groupBy("file").agg(F.bool_or("odd").alias("found"), F.min_by("value", "nth").alias("header"))
+    kinds = files.groupBy("header", "found").agg(F.sort_array(F.collect_list("file")).alias("files"))
+    rows = kinds.orderBy("header", "found").collect()
+    return [(r["header"], r["found"], [_path_of(file) for file in r["files"]]) for r in rows]
+
+
+def _path_of(uri: str) -> str:
+    """A file's name as readers take it: not percent-coded, and no character read as a pattern."""
+    return re.sub(r"([\\*?{}\[\]])", r"\\\1", unquote(uri))
+
+
+def header_schema(header: str) -> StructType:
+    """The columns of a header line, all text."""
+    names = next(csv.reader([header.lstrip("﻿")]), [])
+    return StructType([StructField(name, StringType()) for name in names])
+
+
+def read_raw_csv(
+    spark: SparkSession,
+    path: str,
+    quoted_newlines: bool | None = None,
+    line_end: str | None = None,
+    kinds: list[tuple[str, bool, list[str]]] | None = None,
+) -> DataFrame:
+    """Raw CSV files, each with a header of its own; all columns are text and joined by name.
+
+    One pass over the text (``raw_files``, unless its result is given) finds the header of each file and whether quoted fields
+    hold newlines, which keep a file from being split. Files of one kind share a reader with the
+    schema of their header. A caller who says ``quoted_newlines`` also says that all headers are
+    alike: that pass is left out, and another header is an error. Giving the ``line_end`` of files
+    with quoted newlines keeps the same characters inside quotes as they are; otherwise they are read as one newline.
+    """
+
+    def reader(whole: bool):
+        options = {"multiLine": True} | ({"lineSep": line_end} if line_end is not None else {}) if whole else {}
+        return spark.read.options(**CSV_OPTIONS, enforceSchema=False, **options)
+
+    if quoted_newlines is not None:
+        first = reader(quoted_newlines).csv(path)
+        return reader(quoted_newlines).schema(first.schema).csv(path)
+    kinds = raw_files(spark, path) if kinds is None else kinds
+    tables = [
+        reader(found).schema(header_schema(header)).csv(path if len(kinds) == 1 else files)
+        for header, found, files in kinds
+    ]
+    if not tables:
+        return spark.createDataFrame([], "timestamp string")
+    out = tables[0]
+    for table in tables[1:]:
+        out = out.unionByName(table, allowMissingColumns=True)
+    return out
 
 
 def read_result(spark: SparkSession, path: str) -> DataFrame:

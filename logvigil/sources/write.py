@@ -2,6 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
+from logvigil.operators.ingest import typed
 from logvigil.schema import DAY_COLUMNS
 from logvigil.sources.read import CSV_OPTIONS, read_result
 
@@ -16,7 +17,7 @@ def write_result(result: DataFrame, path: str) -> None:
 def write_days(
     lines: DataFrame,
     root: str,
-    fmt: str = "csv",
+    fmt: str = "parquet",
     rows_per_file: int = ROWS_PER_FILE,
     in_time_order: bool = False,
 ) -> None:
@@ -24,8 +25,11 @@ def write_days(
 
     Rebalancing puts the lines of a day together, so a day does not become one
     small file per task, and splits a day that is too large for one task. Input
-    in time order has few days per task as it is, and can do without that shuffle.
+    in time order has few days per task as it is, and can do without that shuffle. Other
+    formats than CSV store the columns in their types.
     """
+    if fmt != "csv":
+        lines = typed(lines)
     if not in_time_order:
         lines = lines.hint("rebalance", *DAY_COLUMNS)
     writer = (

@@ -3,11 +3,10 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from logvigil.operators import attacks
 from logvigil.operators.attacks import (
     attack_hits,
     attack_patterns,
-    attack_patterns_capped,
+    attack_samples,
     attack_totals,
     tag_attacks,
     top_per_type,
@@ -55,50 +54,30 @@ def _expected_samples(changes):
     return samples
 
 
-@pytest.mark.parametrize("page_samples", [1, 3, 10, 29, 30, 31, 89, 90, 10_000])
-def test_pages_hold_every_sample_once_per_hit(spark, page_samples):
+def test_samples_hold_every_path_once_with_its_hits(spark):
     lines, changes = _busy_lines(spark)
-    rows = attack_patterns(tag_attacks(lines), page_samples).collect()
-    hits = {row["source_ip"]: row for row in attack_hits(tag_attacks(lines)).collect()}
+    tagged = tag_attacks(lines)
     got = defaultdict(Counter)
-    pages = Counter()
-    for row in rows:
-        source = row["source_ip"]
-        samples = row["sample_paths_str"].split(" | ")
-        assert samples == sorted(samples)
-        got[source].update(samples)
-        pages[source] += 1
-        assert (row["hit_count"], row["last_seen"]) == hits[source][2:]
+    for row in attack_samples(tagged).collect():
+        assert row["sample_path"] not in got[row["source_ip"]]
+        got[row["source_ip"]][row["sample_path"]] = row["hits"]
     assert got == _expected_samples(changes)
-    for source, row in hits.items():
-        if row["hit_count"] <= page_samples:
-            assert pages[source] == 1
-    if page_samples == 3:
-        assert pages["10.0.0.1"] > 10
-
-
-@pytest.mark.parametrize("cap", [1, 5, 20, 200])
-def test_capped_samples(spark, cap):
-    lines, changes = _busy_lines(spark)
-    tagged = tag_attacks(lines)
-    got = {
-        row["source_ip"]: row["sample_paths_str"].split(" | ")
-        for row in attack_patterns_capped(tagged, cap).collect()
-    }
-    expected = {
-        source: sorted(samples.elements())[:cap]
-        for source, samples in _expected_samples(changes).items()
-    }
-    assert got == expected
-    counts = attack_patterns_capped(tagged, cap).select(*attack_hits(tagged).columns)
-    assert rows_of(counts) == rows_of(attack_hits(tagged))
-
-
-def test_capped_samples_with_one_salt(spark, monkeypatch):
-    lines, changes = _busy_lines(spark)
-    many = rows_of(attack_patterns_capped(tag_attacks(lines)))
-    monkeypatch.setattr(attacks, "_SALTS", 1)
-    assert rows_of(attack_patterns_capped(tag_attacks(lines))) == many
+    hits = {row["source_ip"]: row["hit_count"] for row in attack_patterns(tagged).collect()}
+    assert {source: sum(samples.values()) for source, samples in got.items()} == hits
+    assert all(len(row["sample_path"]) <= 9 for row in attack_samples(tagged, 9).collect())
+
+
+def test_a_busy_source_has_the_layout_of_any_other(spark):
+    """One source owns a third of the lines: one pattern row, one row per sample, no list."""
+    changes = [{"source_ip": "busy", "request_path": f"/nmap{n % 700}"} for n in range(2000)]
+    changes += [{"source_ip": f"10.1.{n % 40}.1", "request_path": f"/nmap{n % 9}"} for n in range(4000)]
+    tagged = tag_attacks(log_lines(spark, changes))
+    patterns, samples = attack_patterns(tagged), attack_samples(tagged)
+    assert patterns.count() == patterns.select("attack_type", "source_ip").distinct().count() == 41
+    assert samples.columns == ["attack_type", "source_ip", "sample_path", "hits", "last_seen"]
+    assert samples.groupBy("source_ip").agg(F.sum("hits").alias("h")).filter("source_ip = 'busy'").first()["h"] == 2000
+    plans = [x._jdf.queryExecution().executedPlan().toString() for x in (patterns, samples)]
+    assert not any("Broadcast" in plan or "collect_list" in plan for plan in plans)
 
 
 def test_ties_at_rank_fifty(spark):

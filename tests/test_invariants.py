@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from logvigil.operators.attacks import (
     attack_hits,
     attack_patterns,
-    attack_patterns_capped,
+    attack_samples,
     tag_attacks,
     top_per_type,
 )
@@ -24,8 +24,7 @@ OPERATORS = {
     "volume": volume_by_label,
     "volume by protocol": volume_by_protocol,
     "patterns": lambda logs: attack_patterns(tag_attacks(logs)),
-    "patterns on pages": lambda logs: attack_patterns(tag_attacks(logs), 7),
-    "capped patterns": lambda logs: attack_patterns_capped(tag_attacks(logs)),
+    "samples": lambda logs: attack_samples(tag_attacks(logs)),
     "top attackers": lambda logs: top_per_type(attack_hits(tag_attacks(logs))),
     "scans": lambda logs: port_scans(connection_windows(logs)),
     "scanners": lambda logs: scanner_summary(port_scans(connection_windows(logs))),

@@ -6,9 +6,9 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from logvigil.plans.oracle import ORACLE_SQL as ORACLE
+from logvigil.plans.queries import QUERIES
 
-QUERIES = entry_points.queries()
-ORACLE = entry_points.oracle_sql()
 SCALES = ["sf0.001", "sf0.01"]
 
 
@@ -50,6 +50,8 @@ def test_query_matches_sql(spark, data_root, oracles, name, scale):
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
+    assert QUERIES.items() <= entry_points.queries().items()
+    assert ORACLE.items() <= entry_points.oracle_sql().items()
 
 
 def test_entry(spark):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from logvigil.operators.attacks import (
     attack_hits,
     attack_patterns,
-    attack_patterns_capped,
+    attack_samples,
     tag_attacks,
     top_per_type,
 )
@@ -141,27 +141,16 @@ def test_distinct_targets_are_counted_in_two_steps(logs):
     [
         volume_by_label,
         lambda logs: attack_patterns(tag_attacks(logs)),
-        lambda logs: attack_patterns(tag_attacks(logs), 3),
+        lambda logs: attack_samples(tag_attacks(logs)),
     ],
 )
 def test_both_uses_of_the_counts_share_one_scan(logs, build):
     assert _final_plan(build(logs)).count("FileScan") == 1
 
 
-def test_only_a_short_list_is_broadcast(logs):
-    tagged = tag_attacks(logs)
-    assert "BroadcastExchange" in _plan(attack_patterns(tagged, 10_000))
-    logs.sparkSession.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        assert "BroadcastExchange" in _plan(attack_patterns(tagged, 10_000))
-        assert "BroadcastExchange" not in _plan(attack_patterns(tagged, 9_999))
-    finally:
-        logs.sparkSession.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-
-
 def test_csv_logs_are_parsed_for_the_needed_columns_only(spark, tmp_path):
-    write_days(dated(log_lines(spark, [{}])), str(tmp_path))
-    plan = _untruncated(spark, hourly_timeline(read_logs(spark, str(tmp_path))))
+    write_days(dated(log_lines(spark, [{}])), str(tmp_path), "csv")
+    plan = _untruncated(spark, hourly_timeline(read_logs(spark, str(tmp_path), "csv")))
     assert _read_columns(plan) == {"timestamp:string", "threat_label:string"}
 
 
@@ -170,15 +159,19 @@ def test_the_quantile_needs_no_sketch_of_a_whole_label(logs):
     assert "ObjectHashAggregate" not in plan and "percentile" not in plan
 
 
-def test_capped_samples_pass_short_lists_only(logs):
-    plan = _plan(attack_patterns_capped(tag_attacks(logs)))
-    keys = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
-    assert len(keys) == 3
-    assert "salt" in keys[1]
-
-
-def test_upsert_is_an_anti_join(spark, logs):
+def test_upsert_combines_before_its_one_shuffle(spark, logs):
     cells = spark.createDataFrame(
         [("a", "cf", "x", "1")], "row_key string, family string, qualifier string, value string"
     )
-    assert "LeftAnti" in _plan(merge_cells(cells, cells.withColumn("value", F.lit("2"))))
+    plan = _plan(merge_cells(cells, cells.withColumn("value", F.lit("2"))))
+    assert plan.count("Exchange") == 1 and "Join" not in plan
+
+
+def test_large_csv_files_are_split(spark, tmp_path):
+    lines = "x" * 200 + "\n"
+    (tmp_path / "logs.csv").write_text("timestamp\n" + lines * 5000)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100000")
+    try:
+        assert read_logs(spark, str(tmp_path), "csv").rdd.getNumPartitions() > 5
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")

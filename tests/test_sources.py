@@ -6,6 +6,7 @@ import pytest
 from logvigil.operators.ingest import dated, day_inventory, ingest_summary, rejected
 from logvigil.schema import LOG_SCHEMA
 from logvigil.sources import (
+    raw_files,
     read_logs,
     read_raw_csv,
     read_result,
@@ -15,7 +16,6 @@ from logvigil.sources import (
     write_result,
 )
 from logvigil.sources.event_logs import event_logs
-from logvigil.sources.read import _quoted_newlines_by_file
 from tests.lines import NAMES, USUAL, log_lines, rows_of
 
 PATHS = [
@@ -69,10 +69,10 @@ def test_raw_lines_reach_the_logs_unchanged(spark, tmp_path):
 def test_only_files_with_quoted_newlines_are_read_whole(spark, tmp_path):
     plain = [USUAL | {"request_path": path} for path in ('a "quoted" path', "b,c")]
     folder = _raw_file(tmp_path / "raw", "plain 50%.csv", plain)
-    assert list(_quoted_newlines_by_file(spark, folder).values()) == [False]
+    assert [found for _, found, _ in raw_files(spark, folder)] == [False]
     assert read_raw_csv(spark, folder).count() == 2
     _raw_file(tmp_path / "raw", "broken 1.csv", [USUAL | {"request_path": "x\ny"}])
-    found = [file for file, found in _quoted_newlines_by_file(spark, folder).items() if found]
+    found = [file for _, found, files in raw_files(spark, folder) for file in files if found]
     assert len(found) == 1 and "broken" in found[0]
     mixed = read_raw_csv(spark, folder)
     paths = [row["request_path"] for row in mixed.collect()]
@@ -84,6 +84,14 @@ def test_only_files_with_quoted_newlines_are_read_whole(spark, tmp_path):
     assert [row["request_path"] for row in whole.collect()] == ["x\ny"]
 
 
+def test_a_mismatch_is_an_error_where_headers_are_said_to_be_alike(spark, tmp_path):
+    folder = _raw_file(tmp_path / "raw", "a.csv", [USUAL])
+    _raw_file(tmp_path / "raw", "b.csv", [USUAL], list(reversed(NAMES)))
+    with pytest.raises(Exception, match="header|CSV"):
+        read_raw_csv(spark, folder, quoted_newlines=False).collect()
+    assert rows_of(read_raw_csv(spark, folder)) == rows_of(read_raw_csv(spark, folder).limit(1).union(read_raw_csv(spark, folder).limit(1)))
+
+
 def test_raw_columns_keep_the_order_of_the_header(spark, tmp_path):
     names = ["request_path", "timestamp", "extra"]
     rows = [{"request_path": "/", "timestamp": "2024-05-01", "extra": "1"}]
@@ -142,7 +150,7 @@ def test_only_days_in_the_input_are_replaced(spark, tmp_path, fmt):
 def test_day_files_stay_small(spark, tmp_path):
     lines = log_lines(spark, [{"timestamp": "2024-05-01"}] * 100, partitions=8)
     write_days(dated(lines), str(tmp_path / "logs"), rows_per_file=30)
-    files = list((tmp_path / "logs" / "year=2024" / "month=05" / "day=01").glob("*.csv"))
+    files = list((tmp_path / "logs" / "year=2024" / "month=05" / "day=01").glob("*.parquet"))
     assert len(files) == 4
     assert read_logs(spark, str(tmp_path / "logs")).count() == 100
 
@@ -155,7 +163,7 @@ def test_a_large_day_is_written_by_several_tasks(spark, data_root, tmp_path):
         write_days(lines, str(tmp_path / "logs"))
     finally:
         spark.conf.unset(key)
-    files = list((tmp_path / "logs").glob("*/*/*/*.csv"))
+    files = list((tmp_path / "logs").glob("*/*/*/*.parquet"))
     assert len(files) > 2
     assert rows_of(read_logs(spark, str(tmp_path / "logs"))) == rows_of(lines)
 
@@ -176,7 +184,7 @@ def test_other_days_are_not_read(spark, tmp_path):
     one_day = read_logs(spark, str(tmp_path / "logs")).filter("month = '05' AND day = '03'")
     assert one_day.count() == 1
     plan = one_day._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(month" in plan
+    assert "(month#" in plan.split("PartitionFilters: [")[1].split("]")[0]
     assert len({row[0] for row in one_day.select("_metadata.file_path").collect()}) == 1
 
 
