@@ -137,7 +137,8 @@ def line_dedup(
         F.collect_list(F.struct("first", "last", "kept")).alias("_spans")
     )
     text = F.coalesce(F.col(f"doc.{text_col}").cast("string"), F.lit(""))
-    joined = kept.join(stored(spans, folder, "spans"), "row", "left").withColumn(
+    # The spans grow with the input, so they are never broadcast: the plan is the same at every size.
+    joined = kept.join(stored(spans, folder, "spans").hint("merge"), "row", "left").withColumn(
         "_cut", F.pandas_udf(_cut, "text string, removed array<int>")(F.when(F.col("_spans").isNotNull(), text), F.col("_spans"))
     )
     return joined.select(
