@@ -41,7 +41,7 @@ def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, how: st
     ``size`` is the column of ``groups`` with the rows per key. Keys above the
     share 1 / HOT_KEYS are fewer than HOT_KEYS by arithmetic and are broadcast, so
     their rows don't move. All others are joined by a shuffle. ``how`` is "inner" or
-    "left"; keys are compared as equal if both are NULL nowhere.
+    "left". Keys are never NULL.
     """
     total = groups.agg(F.coalesce(F.sum(size), F.lit(0)).alias("n")).collect()[0]["n"]
     is_hot = F.col(size) * HOT_KEYS > F.lit(total)
