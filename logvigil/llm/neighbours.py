@@ -156,7 +156,7 @@ def nearest(
 
     ``is_query`` is SQL over the columns ``id`` and ``vector``. Every row lies in one bucket of each table; a query visits the
     likeliest buckets of each table. Rows and visiting queries meet in parts of a table, where the products are exact and
-    in double precision; a part that is too large is cut, and all cuts are visited. What the tables found is
+    in double precision; where a part has too many rows or visitors, both are cut, and every cut of rows meets every cut of visitors. What the tables found is
     merged per query, nearest first, ties to the smaller id.
 
     Equal vectors are one class with its smallest ids, top + 1 of them, which is all that a result can use; so copies cost
@@ -199,20 +199,32 @@ def nearest(
     placed = classes.mapInPandas(
         _bucket_rows(shared), f"table int, bucket long, class long, ids array<long>, vector {vector_type}"
     ).withColumn("part", where)
-    cuts = placed.groupBy("table", "part").agg(F.ceil(F.count("*") / (2 * part)).cast("long").alias("cuts"))
-    cuts = stored(cuts, folder, "cuts")
-    placed = placed.join(cuts, ["table", "part"]).withColumn("cut", F.pmod(F.xxhash64("class"), F.col("cuts")))
-    visits = (
+    visits = stored(
         query_class.select("class", "vector")
         .mapInPandas(_probe_rows(shared, probes), "table int, bucket long, class long")
         .withColumn("part", where)
         .groupBy("table", "part", "class")
-        .agg(F.collect_list("bucket").alias("buckets"))
-        .join(query_class.select("class", "vector"), "class")
+        .agg(F.collect_list("bucket").alias("buckets")),
+        folder,
+        "visits",
+    )
+
+    def pieces(rows: DataFrame, name: str) -> DataFrame:
+        return rows.groupBy("table", "part").agg(F.ceil(F.count("*") / (2 * part)).cast("long").alias(name))
+
+    cuts = stored(pieces(placed, "cuts").join(pieces(visits, "turns"), ["table", "part"]), folder, "cuts")
+    own_piece = lambda n: F.pmod(F.xxhash64("class"), F.col(n))
+    every_piece = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    placed = (
+        placed.join(cuts, ["table", "part"]).withColumn("cut", own_piece("cuts")).withColumn("turn", every_piece("turns"))
+    )
+    visits = (
+        visits.join(query_class.select("class", "vector"), "class")
         .join(cuts, ["table", "part"])
-        .withColumn("cut", F.explode(F.sequence(F.lit(0).cast("long"), F.col("cuts") - 1)))
+        .withColumn("turn", own_piece("turns"))
+        .withColumn("cut", every_piece("cuts"))
     )
-    key = ["table", "part", "cut"]
+    key = ["table", "part", "cut", "turn"]
     found = (
         visits.select(*key, "class", "buckets", "vector")
         .groupBy(*key)

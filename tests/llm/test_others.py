@@ -10,7 +10,7 @@ import corpus_pipeline
 from logvigil.llm.html_text import extract_main_text, main_text
 from logvigil.llm.neighbours import nearest
 from logvigil.llm.packing import encoder, pack, tokenizer_file
-from logvigil.llm.pii import LABELS, all_spans, base_spans, personal_data, redacted, Tagger, train_crf, viterbi
+from logvigil.llm.pii import _EMAIL, _IP, _IP_RUN, LABELS, all_spans, base_spans, emails, personal_data, redacted, Tagger, train_crf, viterbi
 from logvigil.llm.quality import fit, quality_scores, terms_of, train
 from tests.llm.cases import no_documents, odd_documents
 
@@ -79,6 +79,19 @@ def test_base_spans():
     assert redacted("to a@b.c now", [(0, 3, 8)]) == "to [EMAIL] now"
 
 
+def test_linear_patterns_equal_the_fixed_ones():
+    rng = np.random.default_rng(4)
+    for _ in range(20_000):
+        text = "".join(rng.choice(list("ab@@@..-_ é"), rng.integers(0, 25)))
+        assert list(emails(text)) == [m.span() for m in _EMAIL.finditer(text)], text
+        text = "".join(rng.choice(list("12...0 x"), rng.integers(0, 25)))
+        assert [m.span() for m in _IP_RUN.finditer(text)] == [m.span() for m in _IP.finditer(text)], text
+
+
+def test_long_runs_take_linear_time():
+    assert base_spans("a" * 500_000 + " x@y " + "7" * 500_001 + " " + "@a" * 200_000 + " b@c.de")[-1][0] == 0
+
+
 def test_viterbi_equals_all_paths():
     rng = np.random.default_rng(3)
     moves, starts = rng.normal(size=(LABELS, LABELS)), rng.normal(size=LABELS)
@@ -108,14 +121,15 @@ def test_main_text_of_odd_pages(spark):
     assert sorted((r.n_chars, r.text) for r in got) == sorted((len(t), t) for t in (main_text(page), "", "", "deep"))
 
 
-def test_nearest_settles_copies_and_leaves_out_bad_rows(spark):
+@pytest.mark.parametrize("part", [50, 5])
+def test_nearest_settles_copies_and_leaves_out_bad_rows(spark, part):
     rng = np.random.default_rng(5)
     rows = [(i, rng.normal(size=8).tolist()) for i in range(200)]
     rows += [(i, rows[0][1]) for i in range(200, 260)]
     rows += [(300, None), (320, [0.0] * 8), (340, [float("nan")] + [1.0] * 7), (360, [None] * 8), (None, rows[1][1]), (380, [1.0])]
     table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     got = defaultdict(dict)
-    for r in nearest(table, "id % 20 = 0", top=20, part=50, probes=729).collect():
+    for r in nearest(table, "id % 20 = 0", top=20, part=part, probes=729).collect():
         got[r.query_id][r["rank"]] = (r.vec_id, r.score)
     good = {i: np.array(v) for i, v in rows[:260]}
     assert set(got) == {i for i in good if i % 20 == 0}
