@@ -4,6 +4,7 @@ import gc
 import heapq
 from bisect import insort
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -14,8 +15,8 @@ from pyspark.sql.types import ArrayType, DoubleType, IntegerType
 from logvigil.llm.common import slices
 
 BEST, SPACE = 3, "▁"
-#: Distinct chunks that a worker remembers; beyond, it starts afresh.
-CHUNKS_KEPT = 1 << 18
+#: Distinct chunks that a worker remembers, and ids of theirs; beyond, it starts afresh.
+CHUNKS_KEPT, IDS_KEPT = 1 << 18, 1 << 22
 #: Added to the lowest score for a character that no piece covers.
 UNKNOWN = -10.0
 
@@ -27,6 +28,23 @@ def vocabulary_file() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+@lru_cache(2)
+def piece_bytes(path: str) -> np.ndarray:
+    """The bytes that each id of a model file stands for; none for special ids."""
+    from sentencepiece import SentencePieceProcessor
+
+    model = SentencePieceProcessor(model_file=path)
+    out = np.empty(model.get_piece_size(), object)
+    for i in range(len(out)):
+        piece = model.id_to_piece(i)
+        if model.is_byte(i):
+            out[i] = bytes([int(piece[3:-1], 16)])
+        else:
+            special = model.is_control(i) or model.is_unknown(i) or model.is_unused(i)
+            out[i] = b"" if special else piece.replace(SPACE, " ").encode()
+    return out
+
+
 class Pieces:
     """Pieces and scores of a model file, and the lattice that they span over a text."""
 
@@ -41,8 +59,6 @@ class Pieces:
         self.prefixes |= {p: ((i,), s) for p, (i, s) in self.scores.items()}
         self.unknown = min(s for _, s in self.scores.values()) + UNKNOWN
         self.bytes = {i: model.piece_to_id(f"<0x{i:02X}>") for i in range(256)}
-        of_byte = {i: bytes([b]) for b, i in self.bytes.items()}
-        self.raw = [of_byte.get(i) or (b"" if special[i] else model.id_to_piece(i).replace(SPACE, " ").encode()) for i in ids]
         if any(SPACE in p.lstrip(SPACE) for p in self.scores):
             raise ValueError("pieces that hold a space after another character aren't supported")
 
@@ -144,7 +160,7 @@ class Segmenter:
 
     def _learn_all(self, texts: list[list[str]]) -> None:
         new = {c for parts in texts for c in parts if c not in self.known}
-        if len(self.known) + len(new) > CHUNKS_KEPT and self.known:
+        if self.known and (len(self.known) + len(new) > CHUNKS_KEPT or len(self.flat) > IDS_KEPT):
             self.forget()
             new = {c for parts in texts for c in parts}
         starts, sizes, scores, flat, at = [], [], [], [], len(self.flat)
@@ -200,11 +216,17 @@ class Segmenter:
         return out
 
 
+@lru_cache(2)
+def segmenter(path: str, n: int) -> Segmenter:
+    """The segmenter of a worker process, which all its tasks share: what it remembers is bounded and changes no result."""
+    return Segmenter(Pieces(path), n)
+
+
 def _segment(path: str, n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        segmenter = Segmenter(Pieces(path), n)
+        held = segmenter(path, n)
         for batch in slices(batches, "_text", 2 << 20):
-            found = segmenter.segment([t or "" for t in batch.column("_text").to_pylist()])
+            found = held.segment([t or "" for t in batch.column("_text").to_pylist()])
             every = [x for one in found for x in one]
             ends = np.cumsum([0, *[len(ids) for _, ids in every]])
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.empty(0, np.int32), *[i for _, i in every]])))
@@ -234,22 +256,16 @@ def segments(docs: DataFrame, text_col: str = "text", n: int = BEST, vocabulary:
 
 
 def _decoder(path: str):
-    held: list = []
-
-    def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        if not held:
-            held.append(Pieces(path).raw)
-        raw = held[0]
+    def decode(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        raw = piece_bytes(path)
         for column in columns:
+            flat, ends = column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy()
             out = []
-            for ids in column.to_pylist():
-                text = None if ids is None else b"".join(map(raw.__getitem__, ids)).decode("utf-8", "replace")
+            for a, b, null in zip(ends, ends[1:], column.is_null().to_pylist()):
+                text = None if null else b"".join(raw[flat[a:b]].tolist()).decode("utf-8", "replace")
                 out.append(text[1:] if text and text[0] == " " else text)
             yield pa.array(out, pa.string())
 
-    def decode(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        return run(columns)
-
     decode.__annotations__ = {"columns": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return decode
 
