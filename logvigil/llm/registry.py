@@ -15,7 +15,7 @@ from logvigil.llm.ngram_model import train as train_ngrams
 from logvigil.llm.packing import pack
 from logvigil.llm.pii import KINDS, personal_data
 from logvigil.llm.quality import THRESHOLD, quality_scores, train
-from logvigil.llm.segments import decoded, segments
+from logvigil.llm.segments import segments
 from logvigil.llm.simhash import simhash_groups
 
 
@@ -68,7 +68,7 @@ def op6_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return found.select(
         F.col("doc.doc_id").alias("doc_id"),
-        (decoded(F.col("ids")[0]) == F.coalesce("doc.text", F.lit(""))).alias("round_trip"),
+        "round_trip",
         F.posexplode(digest).alias("pos", "d"),
     ).select("doc_id", (F.col("pos") + 1).alias("rank"), "d.score", "d.n_pieces", "d.ids_hash", "round_trip")
 

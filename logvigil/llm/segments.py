@@ -8,6 +8,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType
@@ -15,7 +16,7 @@ from pyspark.sql.types import ArrayType, DoubleType, IntegerType
 from logvigil.llm.common import slices
 
 BEST, SPACE = 3, "▁"
-#: Distinct chunks that a worker remembers, and ids of theirs; beyond, it starts afresh.
+#: Distinct chunks that a worker remembers, and ids of theirs; beyond, it keeps those met most often.
 CHUNKS_KEPT, IDS_KEPT = 1 << 18, 1 << 22
 #: Added to the lowest score for a character that no piece covers.
 UNKNOWN = -10.0
@@ -149,7 +150,22 @@ class Segmenter:
     def forget(self) -> None:
         self.known: dict[str, int] = {}
         self.starts, self.sizes, self.scores = (np.zeros((0, self.n), t) for t in (np.int64, np.int64, np.float64))
-        self.flat = np.zeros(0, np.int32)
+        self.flat, self.used = np.zeros(0, np.int32), np.zeros(0, np.int64)
+
+    def _shrink(self) -> None:
+        """Keeps chunks met more than once, the most frequent ones, up to half of the room."""
+        keep = np.flatnonzero(self.used > 1)
+        if len(keep) > CHUNKS_KEPT // 2 or self.sizes[keep].sum() > IDS_KEPT // 2:
+            order = keep[np.argsort(-self.used[keep], kind="stable")][: CHUNKS_KEPT // 2]
+            keep = np.sort(order[np.cumsum(self.sizes[order].sum(1)) <= IDS_KEPT // 2])
+        words = list(self.known)
+        self.known = {words[i]: row for row, i in enumerate(keep.tolist())}
+        sizes = self.sizes[keep]
+        ends = np.cumsum(sizes.ravel())
+        begin = ends - sizes.ravel()
+        at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.starts[keep].ravel() - begin, sizes.ravel())
+        self.flat, self.starts, self.sizes = self.flat[at], begin.reshape(sizes.shape), sizes
+        self.scores, self.used = self.scores[keep], self.used[keep] // 2
 
     def _learn(self, texts: list[list[str]]) -> None:
         gc.disable()  # what is made here holds no cycles, and there is much of it
@@ -161,8 +177,8 @@ class Segmenter:
     def _learn_all(self, texts: list[list[str]]) -> None:
         new = {c for parts in texts for c in parts if c not in self.known}
         if self.known and (len(self.known) + len(new) > CHUNKS_KEPT or len(self.flat) > IDS_KEPT):
-            self.forget()
-            new = {c for parts in texts for c in parts}
+            self._shrink()
+            new = {c for parts in texts for c in parts if c not in self.known}
         starts, sizes, scores, flat, at = [], [], [], [], len(self.flat)
         for chunk in sorted(new):
             self.known[chunk] = len(self.known)
@@ -181,12 +197,18 @@ class Segmenter:
             self.sizes = np.concatenate([self.sizes, np.array(sizes, np.int64)])
             self.scores = np.concatenate([self.scores, np.array(scores)])
             self.flat = np.concatenate([self.flat, np.array(flat, np.int32)])
+            self.used = np.concatenate([self.used, np.zeros(len(new), np.int64)])
 
     def segment(self, texts: list[str]) -> list[list[tuple[float, np.ndarray]]]:
         """Per text its n best: score and ids."""
         parts = [chunks(t) for t in texts]
         self._learn(parts)
-        return [self._combined(np.fromiter(map(self.known.__getitem__, p), np.int64, len(p))) for p in parts]
+        out = []
+        for p in parts:
+            rows = np.fromiter(map(self.known.__getitem__, p), np.int64, len(p))
+            self.used[rows] += 1
+            out.append(self._combined(rows))
+        return out
 
     def _combined(self, rows: np.ndarray) -> list[tuple[float, np.ndarray]]:
         """The n best of a chain of chunks.
@@ -216,32 +238,47 @@ class Segmenter:
         return out
 
 
+def text_of(raw: np.ndarray, ids: np.ndarray) -> str:
+    """The text of piece ids, without the mark before it."""
+    text = b"".join(raw[ids].tolist()).decode("utf-8", "replace")
+    return text[1:] if text[:1] == " " else text
+
+
 @lru_cache(2)
 def segmenter(path: str, n: int) -> Segmenter:
     """The segmenter of a worker process, which all its tasks share: what it remembers is bounded and changes no result."""
     return Segmenter(Pieces(path), n)
 
 
-def _segment(path: str, n: int):
+def _segment(path: str, n: int, place: int):
+    def texts_beside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The documents cross over once; their text is looked up here."""
+        for batch in batches:
+            doc = batch.column("doc")
+            yield pa.RecordBatch.from_arrays([doc, pc.struct_field(doc, [place]).cast(pa.string())], names=["doc", "_text"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = segmenter(path, n)
-        for batch in slices(batches, "_text", 2 << 20):
-            found = held.segment([t or "" for t in batch.column("_text").to_pylist()])
+        held, raw = segmenter(path, n), piece_bytes(path)
+        for batch in slices(texts_beside(batches), "_text", 2 << 20):
+            texts = [t or "" for t in batch.column("_text").to_pylist()]
+            found = held.segment(texts)
+            same = pa.array([text_of(raw, one[0][1]) == t for t, one in zip(texts, found)], pa.bool_())
             every = [x for one in found for x in one]
             ends = np.cumsum([0, *[len(ids) for _, ids in every]])
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.empty(0, np.int32), *[i for _, i in every]])))
             outer = pa.array(np.cumsum([0, *map(len, found)]), pa.int32())
             scores = pa.array([s for s, _ in every], pa.float64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc"), pa.ListArray.from_arrays(outer, lists), pa.ListArray.from_arrays(outer, scores)],
-                names=["doc", "ids", "scores"],
+                [batch.column("doc"), pa.ListArray.from_arrays(outer, lists), pa.ListArray.from_arrays(outer, scores), same],
+                names=["doc", "ids", "scores", "round_trip"],
             )
 
     return run
 
 
 def segments(docs: DataFrame, text_col: str = "text", n: int = BEST, vocabulary: str | None = None) -> DataFrame:
-    """One row per document: doc (all its columns), ids and scores of its n best segmentations, best first.
+    """One row per document: doc (all its columns), ids and scores of its n best segmentations, best first,
+    and round_trip, whether the best one decodes to the text.
 
     Scores are those of the vocabulary file, summed over pieces; characters that no piece covers become byte pieces. A
     chunk (spaces and what follows) is segmented once per worker by Viterbi forward and A* backward, and
@@ -250,9 +287,11 @@ def segments(docs: DataFrame, text_col: str = "text", n: int = BEST, vocabulary:
     NULL and empty texts have one segmentation, without pieces and of score 0. Fewer than n segmentations give what there is. Repeated
     rows get equal results; no rows give none.
     """
-    rows = docs.select(F.struct(*docs.columns).alias("doc"), F.col(text_col).cast("string").alias("_text"))
+    rows = docs.select(F.struct(*docs.columns).alias("doc"))
+    place = [c.lower() for c in docs.columns].index(text_col.lower())
     schema = rows.select("doc").schema.add("ids", ArrayType(ArrayType(IntegerType()))).add("scores", ArrayType(DoubleType()))
-    return rows.mapInArrow(_segment(vocabulary or vocabulary_file(), n), schema)
+    schema = schema.add("round_trip", "boolean")
+    return rows.mapInArrow(_segment(vocabulary or vocabulary_file(), n, place), schema)
 
 
 def _decoder(path: str):
@@ -260,11 +299,8 @@ def _decoder(path: str):
         raw = piece_bytes(path)
         for column in columns:
             flat, ends = column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy()
-            out = []
-            for a, b, null in zip(ends, ends[1:], column.is_null().to_pylist()):
-                text = None if null else b"".join(raw[flat[a:b]].tolist()).decode("utf-8", "replace")
-                out.append(text[1:] if text and text[0] == " " else text)
-            yield pa.array(out, pa.string())
+            nulls = column.is_null().to_pylist()
+            yield pa.array([None if null else text_of(raw, flat[a:b]) for a, b, null in zip(ends, ends[1:], nulls)], pa.string())
 
     decode.__annotations__ = {"columns": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return decode
