@@ -14,6 +14,10 @@ from logvigil.llm.common import join_groups, stored, work_folder
 TABLES, HASHES, WIDTH, PROBES, SEED = 10, 6, 2.0, 20, 11
 #: Distinct vectors that one task of a table holds, about.
 PART = 50_000
+#: A band of lengths with this many distinct vectors or fewer isn't hashed: every query meets all of it.
+SCAN = 256
+#: Bands of lengths to an octave.
+BANDS = 2
 _OFFSET, _RADIX = 1 << 9, 1 << 10
 
 
@@ -21,32 +25,28 @@ _OFFSET, _RADIX = 1 << 9, 1 << 10
 class Hashes:
     """p-stable hashes floor((a.x + b) / w) of vectors brought to length one, several to a table.
 
-    The largest inner product becomes the smallest distance: a row x is divided by the largest length and
-    given the coordinate sqrt(1 - |x|^2); a query is divided by its own length and given a zero.
+    Rows are hashed in bands of lengths, each at most 1.42 times the shortest of its band, so that within a band
+    the nearest directions hold the largest inner products, however uneven the lengths of the table are.
     """
 
-    directions: np.ndarray  # tables x hashes x (dimension + 1)
+    directions: np.ndarray  # tables x hashes x dimension
     shifts: np.ndarray
     width: float
-    largest: float
 
     @staticmethod
-    def draw(dimension: int, largest: float, tables: int, hashes: int, width: float, seed: int = SEED) -> "Hashes":
+    def draw(dimension: int, tables: int, hashes: int, width: float, seed: int = SEED) -> "Hashes":
         rng = np.random.default_rng(seed)
-        return Hashes(rng.normal(size=(tables, hashes, dimension + 1)), rng.uniform(0, width, (tables, hashes)), width, largest)
+        return Hashes(rng.normal(size=(tables, hashes, dimension)), rng.uniform(0, width, (tables, hashes)), width)
 
-    def cells(self, vectors: np.ndarray, is_query: bool) -> np.ndarray:
+    def cells(self, vectors: np.ndarray) -> np.ndarray:
         """Place of each vector in cell widths, (rows, tables, hashes)."""
-        lengths = np.linalg.norm(vectors, axis=1, keepdims=True)
-        if is_query:
-            unit = np.hstack([vectors / lengths, np.zeros_like(lengths)])
-        else:
-            unit = np.hstack([vectors / self.largest, np.sqrt(np.clip(1 - (lengths / self.largest) ** 2, 0, None))])
+        unit = vectors / np.abs(vectors).max(axis=1, keepdims=True)  # so that no square overflows
+        unit /= np.linalg.norm(unit, axis=1, keepdims=True)
         return (np.einsum("nd,thd->nth", unit, self.directions) + self.shifts) / self.width
 
     def buckets(self, vectors: np.ndarray) -> np.ndarray:
         """The bucket of each row in each table."""
-        return keys(np.floor(self.cells(vectors, False)).astype(np.int64))
+        return keys(np.floor(self.cells(vectors)).astype(np.int64))
 
     def probes(self, vectors: np.ndarray, most: int) -> np.ndarray:
         """The ``most`` buckets of each query and table that hold a near row likeliest, best first.
@@ -54,7 +54,7 @@ class Hashes:
         The chance that a near row lies one cell aside falls with the squared distance to that border, so the
         sum of these squares orders the perturbed buckets.
         """
-        place = self.cells(vectors, True)
+        place = self.cells(vectors)
         home = np.floor(place).astype(np.int64)
         x = place - home
         steps = np.array(list(itertools.product((-1, 0, 1), repeat=x.shape[2])))
@@ -77,26 +77,41 @@ def keys(cells: np.ndarray) -> np.ndarray:
     return out
 
 
-def _bucket_rows(shared):
+def _in_band(buckets: np.ndarray, band) -> np.ndarray:
+    """The bucket's number in a band of lengths."""
+    return buckets ^ (np.asarray(band, np.int64) * 0x1E3779B97F4A7C15)
+
+
+def _bucket_rows(shared, small: frozenset):
     def run(batches):
         for pdf in batches:
+            if len(pdf):
+                scanned = pdf["band"].isin(small)
+                if scanned.any():  # one bucket of one table
+                    rows = pdf[scanned]
+                    yield rows.assign(table=0, bucket=_in_band(np.full(len(rows), -1), rows["band"]))[["table", "bucket", "class", "ids", "vector"]]
+                pdf = pdf[~scanned].reset_index(drop=True)
             if len(pdf):
                 b = shared.value.buckets(np.stack(pdf["vector"].to_numpy()).astype(np.float64))
                 n, tables = b.shape
+                b = _in_band(b, pdf["band"].to_numpy()[:, None])
                 rows = pdf.loc[pdf.index.repeat(tables)].reset_index(drop=True)
                 yield rows.assign(table=np.tile(np.arange(tables), n), bucket=b.ravel())[["table", "bucket", "class", "ids", "vector"]]
 
     return run
 
 
-def _probe_rows(shared, probes: int):
+def _probe_rows(shared, probes: int, hashed: list[int], small: list[int]):
     def run(batches):
         for pdf in batches:
             if len(pdf):
-                b = shared.value.probes(np.stack(pdf["vector"].to_numpy()).astype(np.float64), probes)
-                n, tables, most = b.shape
-                rows = pdf[["class"]].loc[pdf.index.repeat(tables * most)].reset_index(drop=True)
-                yield rows.assign(table=np.tile(np.repeat(np.arange(tables), most), n), bucket=b.ravel())[["table", "bucket", "class"]]
+                for band in small:
+                    yield pdf[["class"]].assign(table=0, bucket=int(_in_band(np.array(-1), band)))[["table", "bucket", "class"]]
+                b = shared.value.probes(np.stack(pdf["vector"].to_numpy()).astype(np.float64), probes) if hashed else None
+                for band in hashed:
+                    n, tables, most = b.shape
+                    rows = pdf[["class"]].loc[pdf.index.repeat(tables * most)].reset_index(drop=True)
+                    yield rows.assign(table=np.tile(np.repeat(np.arange(tables), most), n), bucket=_in_band(b, band).ravel())[["table", "bucket", "class"]]
 
     return run
 
@@ -150,19 +165,20 @@ def _rerank(wanted: int):
 
 def nearest(
     vectors: DataFrame, is_query: str, id_col: str = "vec_id", vector_col: str = "embedding", top: int = 20,
-    tables: int = TABLES, hashes: int = HASHES, width: float = WIDTH, probes: int = PROBES, part: int = PART,
+    tables: int = TABLES, hashes: int = HASHES, width: float = WIDTH, probes: int = PROBES, part: int = PART, scan: int = SCAN,
 ) -> DataFrame:
     """query_id, rank, vec_id, score: the ``top`` rows of largest inner product found for each query.
 
-    ``is_query`` is SQL over the columns ``id`` and ``vector``. Every row lies in one bucket of each table; a query visits the
-    likeliest buckets of each table. Rows and visiting queries meet in parts of a table, where the products are exact and
+    ``is_query`` is SQL over the columns ``id`` and ``vector``. Rows are put in bands of lengths, each half an octave wide. Every row lies
+    in one bucket of each table of its band; a query visits the likeliest buckets of each table of every band, and
+    all rows of bands of ``scan`` or fewer. Rows and visiting queries meet in parts of a table, where the products are exact and
     in double precision; where a part has too many rows or visitors, both are cut, and every cut of rows meets every cut of visitors. What the tables found is
-    merged per query, nearest first, ties to the smaller id.
+    merged per query, nearest first, ties to the smaller id. A query for which the tables found fewer than ``top`` is compared
+    with all rows.
 
     Equal vectors are one class with its smallest ids, top + 1 of them, which is all that a result can use; so copies cost
     nothing and ties between them are whole. NULL ids, NULL vectors, zero vectors, other dimensions than the most
-    common one, and vectors holding NULL, NaN or infinity take no part. Fewer rows than ``top`` give what there is. A query without
-    any row in its buckets has no result. Other columns are ignored.
+    common one, and vectors holding NULL, NaN or infinity take no part. Fewer rows than ``top`` give all there are. Other columns are ignored.
     """
     spark = vectors.sparkSession
     folder = work_folder(spark)
@@ -173,18 +189,20 @@ def nearest(
         & ~F.exists("vector", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
         & F.exists("vector", lambda x: x != 0)
     )
-    sizes = valid.groupBy(F.size("vector").alias("d")).agg(
-        F.count("*").alias("n"), F.max(F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x))).alias("largest")
-    ).orderBy(F.desc("n"), "d").limit(1).collect()
-    dimension, largest = (sizes[0]["d"], sizes[0]["largest"]) if sizes else (1, 1.0)
-    valid = valid.filter(F.size("vector") == dimension)
+    largest = F.array_max(F.transform("vector", F.abs))
+    squares = F.aggregate("vector", F.lit(0.0), lambda s, x: s + (x / F.col("largest")) ** 2)
+    octave = F.log2("largest") + F.log2(squares) / 2  # of the length
+    valid = valid.withColumn("largest", largest).select("id", "vector", octave.alias("octave"))
+    sizes = valid.groupBy(F.size("vector").alias("d")).agg(F.count("*").alias("n"), F.max("octave").alias("longest")).orderBy(F.desc("n"), "d").limit(1).collect()
+    dimension, total, longest = tuple(sizes[0]) if sizes else (1, 0, 0.0)
+    valid = valid.filter(F.size("vector") == dimension).withColumn("band", F.floor((F.lit(longest) - F.col("octave") + 1e-6) * BANDS).cast("int"))
     nth = F.row_number().over(Window.partitionBy("vector").orderBy("id"))
     classes = stored(
         valid.withColumn("nth", nth)
         .filter(F.col("nth") <= wanted)
         .groupBy("vector")
-        .agg(F.sort_array(F.collect_list("id")).alias("ids"))
-        .select(F.col("ids")[0].alias("class"), "ids", "vector"),
+        .agg(F.sort_array(F.collect_list("id")).alias("ids"), F.min("band").alias("band"))
+        .select(F.col("ids")[0].alias("class"), "ids", "vector", "band"),
         folder,
         "classes",
     )
@@ -192,16 +210,19 @@ def nearest(
     query_class = stored(
         asked.groupBy("vector").agg(F.count("*").alias("n")).join(classes.select("class", "vector"), "vector"), folder, "queries"
     )
-    shared = spark.sparkContext.broadcast(Hashes.draw(dimension, largest, tables, hashes, width))
-    parts = max(1, -(-classes.count() // part))
+    shared = spark.sparkContext.broadcast(Hashes.draw(dimension, tables, hashes, width))
+    bands = {r["band"]: r["n"] for r in classes.groupBy("band").agg(F.count("*").alias("n")).collect()}  # half octaves of a double: a bounded number
+    small = sorted(b for b, n in bands.items() if n <= scan)
+    hashed = sorted(bands.keys() - set(small))
+    parts = max(1, -(-sum(bands.values()) // part))
     vector_type = "array<double>"
     where = F.pmod(F.xxhash64("bucket"), F.lit(parts)).alias("part")
     placed = classes.mapInPandas(
-        _bucket_rows(shared), f"table int, bucket long, class long, ids array<long>, vector {vector_type}"
+        _bucket_rows(shared, frozenset(small)), f"table int, bucket long, class long, ids array<long>, vector {vector_type}"
     ).withColumn("part", where)
     visits = stored(
         query_class.select("class", "vector")
-        .mapInPandas(_probe_rows(shared, probes), "table int, bucket long, class long")
+        .mapInPandas(_probe_rows(shared, probes, hashed, small), "table int, bucket long, class long")
         .withColumn("part", where)
         .groupBy("table", "part", "class")
         .agg(F.collect_list("bucket").alias("buckets")),
@@ -212,38 +233,51 @@ def nearest(
     def pieces(rows: DataFrame, name: str) -> DataFrame:
         return rows.groupBy("table", "part").agg(F.ceil(F.count("*") / (2 * part)).cast("long").alias(name))
 
-    cuts = stored(pieces(placed, "cuts").join(pieces(visits, "turns"), ["table", "part"]), folder, "cuts")
     own_piece = lambda n: F.pmod(F.xxhash64("class"), F.col(n))
     every_piece = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
-    placed = (
-        placed.join(cuts, ["table", "part"]).withColumn("cut", own_piece("cuts")).withColumn("turn", every_piece("turns"))
-    )
-    visits = (
-        visits.join(query_class.select("class", "vector"), "class")
-        .join(cuts, ["table", "part"])
-        .withColumn("turn", own_piece("turns"))
-        .withColumn("cut", every_piece("cuts"))
-    )
     key = ["table", "part", "cut", "turn"]
-    found = (
-        visits.select(*key, "class", "buckets", "vector")
-        .groupBy(*key)
-        .cogroup(placed.select(*key, "bucket", "class", "ids", "vector").groupBy(*key))
-        .applyInPandas(
-            lambda q, r: _rerank(wanted)(q, r), "query long, class long, ids array<long>, score double"
+
+    def met(rows: DataFrame, visits: DataFrame, cuts: DataFrame) -> DataFrame:
+        """The best rows of each query class that rows and visits of one table and part hold."""
+        placed = rows.join(cuts, ["table", "part"]).withColumn("cut", own_piece("cuts")).withColumn("turn", every_piece("turns"))
+        visits = (
+            visits.join(query_class.select("class", "vector"), "class")
+            .join(cuts, ["table", "part"])
+            .withColumn("turn", own_piece("turns"))
+            .withColumn("cut", every_piece("cuts"))
         )
-    )
-    once = found.groupBy("query", "class").agg(F.max("score").alias("score"), F.first("ids").alias("ids"))
-    ranked = Window.partitionBy("query").orderBy(F.desc("score"), "id")
-    best = (
-        once.select("query", "score", F.explode("ids").alias("id"))
-        .withColumn("nth", F.row_number().over(ranked))
-        .filter(F.col("nth") <= wanted)
-        .groupBy("query")
-        .agg(F.sort_array(F.collect_list(F.struct("nth", "id", "score"))).alias("best"))
-        .withColumnRenamed("query", "class")
-    )
-    results = stored(best.join(query_class.select("class", "n"), "class"), folder, "results")
+        found = (
+            visits.select(*key, "class", "buckets", "vector")
+            .groupBy(*key)
+            .cogroup(placed.select(*key, "bucket", "class", "ids", "vector").groupBy(*key))
+            .applyInPandas(
+                lambda q, r: _rerank(wanted)(q, r), "query long, class long, ids array<long>, score double"
+            )
+        )
+        once = found.groupBy("query", "class").agg(F.max("score").alias("score"), F.first("ids").alias("ids"))
+        ranked = Window.partitionBy("query").orderBy(F.desc("score"), "id")
+        best = (
+            once.select("query", "score", F.explode("ids").alias("id"))
+            .withColumn("nth", F.row_number().over(ranked))
+            .filter(F.col("nth") <= wanted)
+            .groupBy("query")
+            .agg(F.sort_array(F.collect_list(F.struct("nth", "id", "score"))).alias("best"))
+            .withColumnRenamed("query", "class")
+        )
+        return best.join(query_class.select("class", "n"), "class")
+
+    cuts = stored(pieces(placed, "cuts").join(pieces(visits, "turns"), ["table", "part"]), folder, "cuts")
+    results = stored(met(placed, visits, cuts), folder, "results").filter(F.size("best") >= min(wanted, total))
+    # Queries for which the tables held too little meet every row.
+    short = stored(query_class.select("class").join(results.select("class"), "class", "left_anti"), folder, "short")
+    n_short = short.count()
+    if n_short:
+        everything = lambda rows: rows.withColumn("table", F.lit(0)).withColumn("part", F.lit(0).cast("long"))
+        pieces_of = lambda n: F.lit(-(-n // (2 * part))).cast("long")
+        blocks = everything(spark.range(1)).select("table", "part", pieces_of(sum(bands.values())).alias("cuts"), pieces_of(n_short).alias("turns"))
+        all_rows = everything(classes.withColumn("bucket", F.lit(0).cast("long")))
+        all_visits = everything(short.withColumn("buckets", F.array(F.lit(0).cast("long"))))
+        results = results.unionByName(stored(met(all_rows, all_visits, blocks), folder, "completed"))
     with_class = asked.join(query_class.select("class", "vector"), "vector").select("class", F.col("id").alias("query_id"))
     joined = join_groups(with_class, results, "class", "n", "inner")
     own = F.slice(F.filter("best", lambda b: b["id"] != F.col("query_id")), 1, top)

@@ -1,0 +1,51 @@
+"""Nearest vectors on lengths and tables that the hashing alone does not serve."""
+
+from collections import defaultdict
+
+import numpy as np
+import pytest
+
+from logvigil.llm.neighbours import nearest
+
+
+def found(spark, vectors, **options):
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    got = defaultdict(list)
+    for r in nearest(table, "id % 20 = 0", **options).collect():
+        got[r.query_id].append(r.vec_id)
+    return got
+
+
+def recall(vectors, got):
+    parts = []
+    for q in range(0, len(vectors), 20):
+        scores = vectors @ vectors[q]
+        scores[q] = -np.inf
+        assert len(got[q]) == 20 and q not in got[q]
+        parts.append(len(set(np.argsort(-scores)[:20].tolist()) & set(got[q])) / 20)
+    return np.mean(parts)
+
+
+@pytest.mark.parametrize("lengths", ["lognormal", "one long row"])
+def test_recall_on_uneven_lengths(spark, data_root, lengths):
+    rows = spark.read.parquet(f"{data_root}/sf0.01/embeddings.parquet").select("embedding").collect()
+    vectors = np.array([r.embedding for r in rows], float)
+    if lengths == "lognormal":
+        vectors *= np.random.default_rng(1).lognormal(0, 1, (len(vectors), 1))
+    else:
+        vectors[7] *= 100
+    assert recall(vectors, found(spark, vectors, scan=64)) >= 0.9
+    assert recall(vectors, found(spark, vectors)) >= 0.9
+
+
+@pytest.mark.parametrize("scan", [0, 256])
+def test_small_tables_give_all_candidates(spark, scan):
+    vectors = np.random.default_rng(2).normal(size=(15, 64)) * 1e200
+    got = found(spark, vectors / 1e60, scan=scan)
+    assert sorted(got[0]) == list(range(1, 15))
+
+
+def test_queries_without_rows_in_their_buckets_are_completed_in_blocks(spark):
+    vectors = np.random.default_rng(3).normal(size=(300, 64))
+    got = found(spark, vectors, scan=0, probes=1, tables=1, part=20)
+    assert recall(vectors, got) > 0.5 and all(len(x) == 20 for x in got.values())
