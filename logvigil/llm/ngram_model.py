@@ -234,8 +234,10 @@ def _trie(plan: Plan, discount: float, least: int):
             more, fact = EliasFano.build(values, name)
             arrays |= more
             facts |= fact
-        for name, p in (("p2", share), ("p3", share3), ("left3", left)):
+        for name, p in (("p2", share), ("p3", share3)):
             arrays[name], facts[name] = quantised(p)
+        codes, facts["left3"] = quantised(np.append(left, 1.0))  # so that the last code is that of 1 in every trie
+        arrays["left3"] = codes[:-1]
         put(plan.folder, f"trie-{int(pdf['trie'].iloc[0])}", arrays, facts)
         return pd.DataFrame({"w": first, "followers": followers})
 

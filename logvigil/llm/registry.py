@@ -37,7 +37,7 @@ def op3_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log probabilities of all documents under a model of those outside the held-out fold."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = fold("doc_id", 7) == 2
-    plan = train_ngrams(docs.filter(~held_out))
+    plan = train_ngrams(docs.filter(~held_out), least_trigram=1)
     return lm_scores(docs.withColumn("held_out", held_out), plan).select(
         "doc.doc_id",
         "doc.held_out",
