@@ -39,6 +39,7 @@ CLOSES = {
     "th": ({"td", "th"}, {"tr", "table"}),
     "option": ({"option"}, {"select"}),
 }
+BESIDE = frozenset("h1 h2 h3 h4 h5 h6 hgroup p".split())
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar".split())
 NOISE_NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion cookie cookies"
@@ -184,8 +185,9 @@ def main_nodes(root: Node) -> list[Node]:
     """The subtrees that hold the article, in page order.
 
     The threshold is the lowest density on the path from the node with the largest sum of child densities up to the
-    body. Each topmost node that reaches it gives its subtree with the largest sum. A chosen subtree
-    inside an article element stands for that whole element, headings included.
+    body. Each node that reaches it gives its subtree with the largest sum, and so do its children outside
+    of what is chosen, and theirs. Headings and paragraphs right beside a chosen subtree belong to it unless they are mostly links,
+    since short ones never reach the threshold. A chosen subtree inside an article element stands for that whole element, headings included.
     """
     nodes = _ordered(root)
     body = next((n for n in nodes if n.tag == "body"), root)
@@ -201,24 +203,40 @@ def main_nodes(root: Node) -> list[Node]:
         if node.chars:
             threshold = min(threshold, node.density)
         node = node.parent
-    chosen: list[Node] = []
+    largest: dict[Node, Node] = {}  # per node, the subtree with the largest sum; the first of equal ones
+    for node in reversed(inside):
+        largest[node] = max([node, *[largest[c] for c in node.nodes() if not c.noise]], key=lambda n: n.density_sum)
+    chosen: set[Node] = set()
     stack = [body]
     while stack:
         node = stack.pop()
-        if node.noise:
+        if node.noise or not node.chars or node in chosen:
             continue
-        if node.density >= threshold and node.chars:
-            top = max(_ordered(node), key=lambda n: n.density_sum)
+        if node.density >= threshold:
+            top = largest[node]
             top = node if top.density_sum == 0 else top
             whole = top
             while whole is not None and whole.tag != "article":
                 whole = whole.parent
-            top = whole or top
-            if top not in chosen:
-                chosen.append(top)
-        else:
+            chosen.add(whole or top)
+            if node in chosen:
+                continue
+        stack += reversed(node.nodes())
+    for parent in {n.parent for n in chosen if n is not body}:
+        chosen.update(c for c in parent.nodes() if c.tag in BESIDE and not c.noise and c.chars > 2 * c.link_chars)
+    return _topmost(body, chosen)
+
+
+def _topmost(root: Node, chosen: set[Node]) -> list[Node]:
+    """The chosen nodes that aren't below another one, in page order."""
+    out, stack = [], [root]
+    while stack:
+        node = stack.pop()
+        if node in chosen:
+            out.append(node)
+        elif not node.noise:
             stack += reversed(node.nodes())
-    return chosen or [best]
+    return out
 
 
 def blocks(node: Node) -> list[str]:
