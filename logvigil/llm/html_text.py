@@ -55,6 +55,7 @@ class Node:
     tag: str
     parent: "Node | None"
     noise: bool = False
+    maybe: bool = False  # noise by form or class name, unless it holds the article
     inside: bool = False  # of an article or main element, or one itself
     items: list = field(default_factory=list)  # texts and nodes, in page order
     chars: int = 0
@@ -68,23 +69,25 @@ class Node:
         return [x for x in self.items if isinstance(x, Node)]
 
 
-def _is_noise(tag: str, attributes: str, parent: Node) -> bool:
-    """Whether an element is no part of an article, by its name, role or class."""
-    if tag in NO_TEXT:
-        return True
+def _noise(tag: str, attributes: str, parent: Node) -> tuple[bool, bool]:
+    """Whether an element is no part of an article by its name or role, and whether it may be none as a form or by its class."""
+    if tag in NO_TEXT and tag != "form":
+        return True, False
     if tag == "header" and not parent.inside:
-        return True
+        return True, False
     if not attributes or attributes == "/":
-        return False
+        return False, tag == "form"
     values = {m[1].lower(): html.unescape((m[2] or "").strip("\"'")).lower() for m in _ATTRIBUTE.finditer(attributes)}
     if "hidden" in values or values.get("aria-hidden") == "true" or "display:none" in values.get("style", "").replace(" ", ""):
-        return True
+        return True, False
     if values.get("role") in NOISE_ROLES:
-        return True
+        return values["role"] != "form", True
+    if tag == "form":
+        return False, True
     if tag in ("html", "body", "main") or (tag == "article" and not parent.inside):
-        return False
+        return False, False
     names = f"{values.get('class', '')} {values.get('id', '')}"
-    return any(p in names for p in NOISE_PHRASES) or any(
+    return False, any(p in names for p in NOISE_PHRASES) or any(
         not NOISE_NAMES.isdisjoint(re.split(r"[^a-z0-9]+", name)) and not name.startswith(("no-", "has-", "with-")) for name in names.split()
     )
 
@@ -119,16 +122,50 @@ def parse(page: str) -> Node:
             top = _without(top, *CLOSES[tag])
         if tag in ("h1", "h2", "h3", "h4", "h5", "h6") and top.tag in ("h1", "h2", "h3", "h4", "h5", "h6"):
             top = top.parent
-        node = Node(tag, top, top.noise or _is_noise(tag, m[3], top), top.inside or tag in ("article", "main"))
+        noise, maybe = _noise(tag, m[3], top)
+        node = Node(tag, top, top.noise or noise, maybe, top.inside or tag in ("article", "main"))
         top.items.append(node)
         if tag in RAW:
             end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>|\Z", re.I).search(page, at)
             at = end.end()
         elif tag not in VOID and not m[3].endswith("/") or tag in BLOCK and tag not in VOID:
             top = node
+    _settle(root)
     return root
 
 
+def _settle(root: Node) -> None:
+    """Makes noise of the elements that may be, unless they hold the article.
+
+    An element holds it if more text of article and main elements is below it than outside of all such elements, or, where
+    there is none outside, if it has most of the text. Text in links doesn't count.
+    """
+    nodes = _ordered(root)
+    if not any(n.maybe for n in nodes):
+        return
+    text: dict[Node, int] = {}
+    articles: dict[Node, int] = {}  # text of article and main elements
+    clear: dict[Node, int] = {}  # the same, outside of elements below that may be noise
+    for node in reversed(nodes):
+        own = sum(len("".join(x.split())) for x in node.items if isinstance(x, str)) if node.tag != "a" else 0
+        below = [c for c in node.nodes() if not c.noise] if node.tag != "a" else []
+        text[node] = own + sum(text[c] for c in below)
+        articles[node] = own * node.inside + sum(articles[c] for c in below)
+        clear[node] = own * node.inside + sum(clear[c] for c in below if not c.maybe)
+    known, stack = clear[root], [root]
+    while stack:
+        node = stack.pop()
+        if node.noise:
+            continue
+        if node.maybe:
+            if articles[node] > known or not known and 2 * text[node] > text[root]:
+                known += clear[node]
+            else:
+                node.noise = True
+                continue
+        stack += reversed(node.nodes())
+
+
 def _without(top: Node, closed: set, barrier) -> Node:
     """Closes the nearest element of ``closed``, unless one of ``barrier`` is nearer; of a chain of them all."""
     node = top

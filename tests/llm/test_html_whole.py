@@ -19,3 +19,21 @@ def test_blocks_side_by_side_are_all_kept(tag):
 def test_a_heading_and_a_lead_beside_the_text_are_kept():
     page = f"<body>{MENU}<h1>A title</h1><p>A short lead.</p><div>{ONE}</div>{LINKS}<div>{TWO}</div></body>"
     assert main_text(page).split("\n") == ["A title", "A short lead.", *LINES]
+
+
+@pytest.mark.parametrize(
+    "wrapper", ["form id=aspnetForm", "div class='content-with-sidebar'", "div id=sidebar-right", "div class=social-science", "div class='page-widget-area'", "div role=form"]
+)
+@pytest.mark.parametrize("tag", ["article", "main", "div"])
+def test_wrappers_with_names_of_noise_keep_the_article(wrapper, tag):
+    end = wrapper.split()[0]
+    page = f"<body><{wrapper}>{MENU}<{tag}>{ONE}{TWO}</{tag}><div class=comments>A comment</div><form>Search</form></{end}></body>"
+    assert main_text(page).split("\n") == LINES
+
+
+def test_noise_beside_the_article_is_left_out():
+    cards = "".join(f"<article><p>{x}</p></article>" for x in LINES[5:7])
+    page = f"<body><form><article>{ONE}<form>Reply <input></form></article></form><div class=related>{cards}</div></body>"
+    assert main_text(page).split("\n") == LINES[:5]
+    comments = f"<div class=comments>{TWO * 9}</div>"
+    assert main_text(f"<body><article>{ONE}</article>{comments}</body>").split("\n") == LINES[:5]
