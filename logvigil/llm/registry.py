@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from logvigil.llm.common import fold
 from logvigil.llm.exact_dedup import exact_dedup
 from logvigil.llm.html_text import extract_main_text
+from logvigil.llm.jaccard_join import jaccard_groups
 from logvigil.llm.line_dedup import line_dedup
 from logvigil.llm.neighbours import nearest
 from logvigil.llm.ngram_model import lm_scores
@@ -114,6 +115,11 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents whose shingle sets reach a Jaccard similarity of 0.8."""
+    return jaccard_groups(_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_main_text": op1_main_text,
     "op2_exact_dedup": op2_exact_dedup,
@@ -125,6 +131,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": op8_simhash,
     "op9_line_dedup": op9_line_dedup,
     "op10_personal_data": op10_personal_data,
+    "op11_jaccard_join": op11_jaccard_join,
 }
 
 LLM_ORACLE_SQL: dict[str, str] = {
