@@ -18,6 +18,7 @@ from logvigil.llm.pii import KINDS, personal_data
 from logvigil.llm.quality import THRESHOLD, quality_scores, train
 from logvigil.llm.segments import segments
 from logvigil.llm.simhash import simhash_groups
+from logvigil.llm.source_audit import source_divergence
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -120,6 +121,11 @@ def op11_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_groups(_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+def op13_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distances of the sources of each language, and their strongest terms, over all documents."""
+    return source_divergence(_table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_main_text": op1_main_text,
     "op2_exact_dedup": op2_exact_dedup,
@@ -132,6 +138,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_line_dedup": op9_line_dedup,
     "op10_personal_data": op10_personal_data,
     "op11_jaccard_join": op11_jaccard_join,
+    "op13_source_audit": op13_source_audit,
 }
 
 LLM_ORACLE_SQL: dict[str, str] = {
@@ -164,4 +171,35 @@ SELECT d.doc_id, len(d.lines) AS n_lines,
        coalesce((SELECT string_agg(d.lines[p], chr(10) ORDER BY p) FROM (SELECT unnest(range(1, len(d.lines) + 1)) AS p)
                  WHERE p - 1 NOT IN (SELECT pos FROM marked m WHERE m.doc_id = d.doc_id AND gone)), '') AS text
 FROM d""",
+    "op13_source_audit": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+  FROM documents),
+g AS (SELECT DISTINCT lang, source FROM d),
+t AS (SELECT id, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+kept AS (
+  SELECT lang, term, count(*)::HUGEINT AS c FROM t GROUP BY ALL HAVING count(DISTINCT id) >= 30),
+v AS (SELECT lang, count(*)::HUGEINT AS v, sum(c)::HUGEINT AS n FROM kept GROUP BY ALL),
+c AS (SELECT lang, source, term, count(*)::HUGEINT AS c FROM t SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+n AS (SELECT lang, source, sum(c)::HUGEINT AS n FROM c GROUP BY ALL),
+p AS (
+  SELECT g.lang, g.source, kept.term, coalesce(c.c, 0) AS c,
+         1 + 1000000000 * (coalesce(c.c, 0) + 5) // (coalesce(n.n, 0) + 5 * v.v) AS p,
+         1 + 1000000000 * (kept.c + 5) // (v.n + 5 * v.v) AS q
+  FROM g JOIN kept USING (lang) JOIN v USING (lang)
+  LEFT JOIN n ON n.lang = g.lang AND n.source = g.source
+  LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = kept.term),
+apart AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+rows AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(apart.value, 0)::BIGINT AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN apart ON apart.lang = a.lang AND apart.source = a.source AND apart.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q)::BIGINT FROM p WHERE c > 0 AND p > q)
+SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank
+FROM rows
+QUALIFY part = 'pair' OR row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) <= 50""",
 }
