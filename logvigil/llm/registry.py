@@ -14,6 +14,7 @@ from logvigil.llm.neighbours import nearest
 from logvigil.llm.ngram_model import lm_scores
 from logvigil.llm.ngram_model import train as train_ngrams
 from logvigil.llm.packing import pack
+from logvigil.llm.phrases import collocations
 from logvigil.llm.pii import KINDS, personal_data
 from logvigil.llm.quality import THRESHOLD, quality_scores, train
 from logvigil.llm.segments import segments
@@ -121,6 +122,11 @@ def op11_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_groups(_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Phrases of all documents whose words keep together, per language."""
+    return collocations(_table(spark, sf_dir, "documents"))
+
+
 def op13_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distances of the sources of each language, and their strongest terms, over all documents."""
     return source_divergence(_table(spark, sf_dir, "documents"))
@@ -138,6 +144,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_line_dedup": op9_line_dedup,
     "op10_personal_data": op10_personal_data,
     "op11_jaccard_join": op11_jaccard_join,
+    "op12_collocations": op12_collocations,
     "op13_source_audit": op13_source_audit,
 }
 
@@ -171,6 +178,31 @@ SELECT d.doc_id, len(d.lines) AS n_lines,
        coalesce((SELECT string_agg(d.lines[p], chr(10) ORDER BY p) FROM (SELECT unnest(range(1, len(d.lines) + 1)) AS p)
                  WHERE p - 1 NOT IN (SELECT pos FROM marked m WHERE m.doc_id = d.doc_id AND gone)), '') AS text
 FROM d""",
+    "op12_collocations": r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM p),
+s AS (SELECT lang, words, k, unnest(range(1, len(words) - k + 2)) AS i FROM w, range(1, 6) AS r(k)),
+f AS (
+  SELECT lang, k, array_to_string(words[i:i + k - 1], ' ') AS phrase, count(*)::HUGEINT AS f
+  FROM s GROUP BY ALL),
+n AS (SELECT lang, sum(f)::HUGEINT AS n FROM f WHERE k = 1 GROUP BY ALL),
+c AS (SELECT lang, k, phrase, string_split(phrase, ' ') AS words, f AS a FROM f WHERE k > 1 AND f >= 100),
+cuts AS (
+  SELECT c.lang, c.k, c.phrase, a, x.cut, l.f AS l, r.f AS r, n, 1000 * a * n // (l.f * r.f) AS score
+  FROM c JOIN range(1, 5) AS x(cut) ON x.cut < c.k JOIN n USING (lang)
+  JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(words[1:x.cut], ' ')
+  JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(words[x.cut + 1:], ' ')),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+kept AS (
+  SELECT * FROM best b WHERE NOT EXISTS (
+    SELECT 1 FROM c WHERE c.lang = b.lang AND c.k > b.k AND c.a >= b.a
+      AND contains(concat(' ', c.phrase, ' '), concat(' ', b.phrase, ' '))))
+SELECT lang, row_number() OVER w AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM kept WINDOW w AS (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)
+QUALIFY rank <= 2000""",
     "op13_source_audit": r"""
 WITH d AS (
   SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
