@@ -70,24 +70,46 @@ def attack_patterns(tagged: DataFrame) -> DataFrame:
     return attack_hits(tagged)
 
 
+def sample_counts(tagged: DataFrame, chars: int = SAMPLE_CHARS) -> DataFrame:
+    """Hits and last time per attack type, source IP and sample path, from which all attack results derive.
+
+    Copies are combined before the shuffle, and a busy source is spread over its samples.
+    """
+    return tagged.groupBy(
+        "attack_type", "source_ip", path_sample(F.col("request_path"), chars).alias("sample_path")
+    ).agg(
+        F.count("*").alias("hits"),
+        F.max(parse_timestamp(F.col("timestamp"))).alias("last_ts"),
+    )
+
+
 def attack_samples(tagged: DataFrame, chars: int = SAMPLE_CHARS) -> DataFrame:
     """One row per attack type, source IP and sample path: its hits and last time.
 
     Every sample is kept, each once, with as many hits as it had; the hits of a source add up to
-    those of its pattern. Copies are combined before the shuffle, and a busy source is spread over
-    its samples. ``chars`` is the length of a sample.
+    those of its pattern. ``chars`` is the length of a sample.
     """
+    return samples_of(sample_counts(tagged, chars))
+
+
+def samples_of(counts: DataFrame) -> DataFrame:
+    """The samples from the counts per sample."""
+    return counts.select("attack_type", "source_ip", "sample_path", "hits", _last_seen())
+
+
+def patterns_of(counts: DataFrame) -> DataFrame:
+    """The patterns from the counts per sample."""
     return (
-        tagged.groupBy(
-            "attack_type", "source_ip", path_sample(F.col("request_path"), chars).alias("sample_path")
-        )
-        .agg(
-            F.count("*").alias("hits"),
-            F.max(parse_timestamp(F.col("timestamp"))).alias("last_ts"),
-        )
-        .select("attack_type", "source_ip", "sample_path", "hits", _last_seen())
+        counts.groupBy("attack_type", "source_ip")
+        .agg(F.sum("hits").alias("hit_count"), F.max("last_ts").alias("last_ts"))
+        .select("attack_type", "source_ip", "hit_count", _last_seen())
     )
 
 
+def totals_of(counts: DataFrame) -> DataFrame:
+    """Hits per attack type from the counts per sample."""
+    return counts.groupBy("attack_type").agg(F.sum("hits").alias("hit_count"))
+
+
 def _last_seen() -> Column:
     return F.col("last_ts").cast("string").alias("last_seen")

@@ -1,6 +1,6 @@
 """Raw lines split by the date they carry."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logvigil.functions import date_key, with_value
@@ -25,10 +25,10 @@ def rejected(raw: DataFrame) -> DataFrame:
     return _with_date(raw).filter(F.col("_date") == "").select(*raw.columns)
 
 
-def by_day(raw: DataFrame) -> DataFrame:
-    """All lines with the day they belong to; lines without a date in a day of their own."""
+def by_day(raw: DataFrame, ingest_id: str) -> DataFrame:
+    """All lines with the day they belong to; lines without a date in a day named after their ingest."""
     parts = [
-        F.when(F.col("_date") == "", F.lit(REJECTED))
+        F.when(F.col("_date") == "", F.lit(ingest_id if name == "day" else REJECTED))
         .otherwise(F.split_part("_date", F.lit("-"), F.lit(position)))
         .alias(name)
         for position, name in enumerate(DAY_COLUMNS, start=1)
@@ -68,6 +68,16 @@ def day_inventory(dated_lines: DataFrame) -> DataFrame:
     return dated_lines.groupBy(*DAY_COLUMNS).agg(F.count("*").alias("row_count"))
 
 
+def day_text() -> Column:
+    """Year, month and day as one text."""
+    return F.concat_ws("-", *DAY_COLUMNS)
+
+
+def merged_days(before: DataFrame, written: DataFrame) -> DataFrame:
+    """The inventory of a store: days written again have their new counts, all others those they had."""
+    return before.join(written, list(DAY_COLUMNS), "left_anti").unionByName(written)
+
+
 def reject_inventory(raw: DataFrame) -> DataFrame:
     """Rejected lines per time text."""
     return rejected(raw).groupBy("timestamp").agg(F.count("*").alias("row_count"))

@@ -1,6 +1,6 @@
 """Counters that tell whether the input suits the analyses."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logvigil.functions import attack_type, parse_timestamp
@@ -13,25 +13,34 @@ def distinct_labels(logs: DataFrame) -> DataFrame:
     return logs.select("threat_label").distinct()
 
 
+def counters(*names: str) -> list[Column]:
+    """Counters of lines that a job can observe in the pass that makes its result; two of them need the column ``ts``."""
+    label = F.col("threat_label")
+    known = {
+        "total_rows": lambda: F.count("*"),
+        "threat_rows": lambda: F.count_if(label.isin(*THREAT_LABELS)),
+        "sized_rows": lambda: F.count_if(label.isNotNull() & F.col("bytes_transferred").isNotNull()),
+        "path_rows": lambda: F.count_if(F.col("request_path").isNotNull()),
+        "timed_rows": lambda: F.count_if(F.col("ts").isNotNull()),
+        "tcp_rows": lambda: F.count_if(F.col("ts").isNotNull() & (F.col("protocol") == TCP)),
+    }
+    return [known[name]().alias(name) for name in names]
+
+
 def line_counts(logs: DataFrame) -> DataFrame:
     """One row of line counters, in one pass."""
     lines = logs.select(
         "threat_label",
         "bytes_transferred",
         "protocol",
-        F.col("request_path").isNotNull().alias("has_path"),
+        "request_path",
         attack_type(F.col("request_path")).isNotNull().alias("is_attack"),
-        parse_timestamp(F.col("timestamp")).isNotNull().alias("has_time"),
+        parse_timestamp(F.col("timestamp")).alias("ts"),
     )
-    label = F.col("threat_label")
     return lines.agg(
-        F.count("*").alias("total_rows"),
-        F.count_if(label.isin(*THREAT_LABELS)).alias("threat_rows"),
-        F.count_if(label.isNotNull() & F.col("bytes_transferred").isNotNull()).alias("sized_rows"),
-        F.count_if("has_path").alias("path_rows"),
+        *counters("total_rows", "threat_rows", "sized_rows", "path_rows"),
         F.count_if("is_attack").alias("attack_rows"),
-        F.count_if("has_time").alias("timed_rows"),
-        F.count_if(F.col("has_time") & (F.col("protocol") == TCP)).alias("tcp_rows"),
+        *counters("timed_rows", "tcp_rows"),
     )
 
 

@@ -9,14 +9,18 @@ from logvigil.schema import BENIGN, MALICIOUS, SUSPICIOUS
 
 
 def hourly_timeline(logs: DataFrame) -> DataFrame:
-    """Lines per hour and threat label; the total also counts other and missing labels.
+    """Lines per hour and threat label; the total also counts other and missing labels."""
+    return timeline_of(timed(logs))
+
+
+def timeline_of(lines: DataFrame) -> DataFrame:
+    """The same from lines with a valid ``ts``.
 
     Hours are grouped as times and turned into text afterwards, once per hour.
     """
     label = F.col("threat_label")
     return (
-        timed(logs)
-        .select("threat_label", F.window("ts", "1 hour")["start"].alias("hour"))
+        lines.select("threat_label", F.window("ts", "1 hour")["start"].alias("hour"))
         .groupBy("hour")
         .agg(
             *[F.count_if(label == name).alias(name) for name in (MALICIOUS, SUSPICIOUS, BENIGN)],

@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 # Fixed value: the reported quantile.
 QUANTILE = Decimal("0.95")
 
-# Each step of the quantile search cuts the range of sizes into so many equal parts.
-_STEPS = 1 << 16
+# Labels with more than one in LARGE of all distinct sizes are searched by histograms.
+LARGE = 4096
+# Bits of a size that each step of the quantile search settles, and those below them: at most four million parts.
+STEPS = ((22, 42), (21, 21), (21, 0))
 _LOW = (1 << 32) - 1
 
 
@@ -68,65 +70,117 @@ def label_volume_of(counts: DataFrame, quantile: Decimal = QUANTILE) -> DataFram
     return label_volume(per_size.agg(F.sum("lines").alias("lines")), quantile)
 
 
+def _place() -> Column:
+    """A size without sign, as the distance from the smallest long."""
+    return F.col("bytes_transferred").cast("long").bitwiseXOR(_smallest())
+
+
+def _smallest() -> Column:
+    return F.lit(-(1 << 63)).cast("long")
+
+
+def _part(bits: int, shift: int) -> Column:
+    return F.shiftrightunsigned(_place(), shift).bitwiseAND(F.lit((1 << bits) - 1).cast("long"))
+
+
+def size_parts(sizes: DataFrame) -> DataFrame:
+    """Lines, sizes and their totals per label and part of the first step, in one pass over the sizes."""
+    return sizes.groupBy("threat_label", _part(*STEPS[0]).alias("part")).agg(
+        F.sum("lines").alias("lines"),
+        F.count("*").alias("sizes"),
+        F.max("bytes_transferred").alias("max_bytes"),
+        F.min("bytes_transferred").alias("min_bytes"),
+        *_sums(F.col("bytes_transferred"), F.col("lines")),
+    )
+
+
+def label_totals(parts: DataFrame) -> DataFrame:
+    """Totals per label from those of its parts."""
+    return _total_and_average(
+        parts.groupBy("threat_label").agg(
+            F.sum("lines").alias("event_count"),
+            F.sum("sizes").alias("sizes"),
+            F.max("max_bytes").alias("max_bytes"),
+            F.min("min_bytes").alias("min_bytes"),
+            *[F.sum(name).cast("decimal(38,0)").alias(name) for name in ("_high", "_low")],
+        )
+    )
+
+
 def label_volume(sizes: DataFrame, quantile: Decimal) -> DataFrame:
     """Volume per label from its lines per distinct size.
 
     The quantile is the smallest size that at least that share of the lines does not exceed.
     """
-    totals = _total_and_average(
-        sizes.groupBy("threat_label").agg(
-            F.sum("lines").alias("event_count"),
-            F.max("bytes_transferred").alias("max_bytes"),
-            F.min("bytes_transferred").alias("min_bytes"),
-            *_sums(F.col("bytes_transferred"), F.col("lines")),
-        )
-    )
-    found = quantiles(sizes, totals, quantile).select("threat_label", F.col("low").alias("p95_bytes"))
+    parts = size_parts(sizes)
+    totals = label_totals(parts)
+    found = quantiles(sizes, parts, totals, quantile).select("threat_label", F.col("low").alias("p95_bytes"))
     return totals.join(found, "threat_label").select(
         "threat_label", "event_count", "total_bytes", "avg_bytes", "max_bytes", "min_bytes", "p95_bytes"
     )
 
 
-def quantiles(sizes: DataFrame, totals: DataFrame, quantile: Decimal) -> DataFrame:
-    """(threat_label, low): the exact quantile by four nested histograms, whatever the range.
+def quantiles(sizes: DataFrame, parts: DataFrame, totals: DataFrame, quantile: Decimal) -> DataFrame:
+    """(threat_label, low): the exact quantile of each label from its lines per distinct size.
+
+    Labels with more than one in LARGE of all sizes are fewer than LARGE by arithmetic, so what is known of them is broadcast and
+    their sizes are counted where they lie. Those of all other labels move once, to be ranked label by label; none has more
+    than that share.
+    """
+    ranked = totals.select(
+        "threat_label", "sizes", F.ceil(F.lit(quantile) * F.col("event_count")).cast("long").alias("rank")
+    )
+    marked = ranked.withColumn("large", F.col("sizes") * LARGE > totals.agg(F.sum("sizes")).scalar())
+    large = marked.filter("large").select("threat_label", "rank")
+    placed = sizes.join(F.broadcast(large.withColumn("large", F.lit(True))), "threat_label", "left")
+    ranks = marked.filter("NOT large").select("threat_label", "rank")
+    small = _ranked(placed.filter("large IS NULL").drop("large", "rank"), ranks)
+    return small.unionByName(_histograms(sizes, parts.select("threat_label", "part", "lines"), large))
+
+
+def _up_to(order: str) -> Column:
+    window = Window.partitionBy("threat_label").orderBy(order)
+    return F.sum("lines").over(window.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+
+
+def _holds_rank() -> Column:
+    return (F.col("up_to") >= F.col("rank")) & (F.col("up_to") - F.col("lines") < F.col("rank"))
 
-    A step cuts the range that still holds the quantile into 65,536 equal parts, counts the lines per
-    part, and goes on in the part where the rank falls. The range of a long is narrowed to one size by four steps, and
+
+def _ranked(sizes: DataFrame, ranks: DataFrame) -> DataFrame:
+    """The quantile by the running number of lines."""
+    running = sizes.withColumn("up_to", _up_to("bytes_transferred")).join(ranks, "threat_label")
+    return running.filter(_holds_rank()).select("threat_label", F.col("bytes_transferred").alias("low"))
+
+
+def _histograms(sizes: DataFrame, parts: DataFrame, ranks: DataFrame) -> DataFrame:
+    """The quantile of at most LARGE labels by nested histograms, whatever the range.
+
+    A step cuts the range that still holds the quantile into equal parts, counts the lines per
+    part, and goes on in the part where the rank falls. The steps narrow the range of a long to one size, and
     no task ever sees more than the parts of a step.
     """
-    rank = F.ceil(F.lit(quantile) * F.col("event_count")).cast("long")
-    whole = F.lit(-(1 << 63)).cast("long")
-    found = totals.select("threat_label", whole.alias("low"), rank.alias("rank"))
-    # Sizes are looked at without sign, as distances from the smallest long, 16 bits a step.
-    place = F.col("bytes_transferred").cast("long").bitwiseXOR(whole)
-    for shift in (48, 32, 16, 0):
-        part = F.shiftrightunsigned(place, shift).bitwiseAND(F.lit(_STEPS - 1).cast("long"))
-        same = (
-            F.lit(True)
-            if shift == 48
-            else F.shiftrightunsigned(place, shift + 16) == F.shiftrightunsigned(F.col("low").bitwiseXOR(whole), shift + 16)
-        )
-        counts = (
-            sizes.join(found, "threat_label")
-            .filter(same)
-            .groupBy("threat_label", "low", "rank", part.alias("part"))
-            .agg(F.sum("lines").alias("n"))
-        )
-        up_to = F.sum("n").over(
-            Window.partitionBy("threat_label").orderBy("part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        )
+    zero = F.lit(0).cast("long").alias("low")
+    counts, found = parts.join(F.broadcast(ranks), "threat_label").select("*", zero), None
+    for bits, shift in STEPS:
+        if found is not None:
+            above = bits + shift
+            counts = (
+                sizes.join(F.broadcast(found), "threat_label")
+                .filter(F.shiftrightunsigned(_place(), above) == F.shiftrightunsigned("low", above))
+                .groupBy("threat_label", "low", "rank", _part(bits, shift).alias("part"))
+                .agg(F.sum("lines").alias("lines"))
+            )
         found = (
-            counts.withColumn("up_to", up_to)
-            .filter((F.col("up_to") >= F.col("rank")) & (F.col("up_to") - F.col("n") < F.col("rank")))
+            counts.withColumn("up_to", _up_to("part"))
+            .filter(_holds_rank())
             .select(
                 "threat_label",
-                F.col("low").bitwiseOR(F.shiftleft("part", shift)).alias("low")
-                if shift < 48
-                else F.shiftleft("part", shift).bitwiseXOR(whole).alias("low"),
-                (F.col("rank") - (F.col("up_to") - F.col("n"))).alias("rank"),
+                (F.col("rank") - (F.col("up_to") - F.col("lines"))).alias("rank"),
+                F.col("low").bitwiseOR(F.shiftleft("part", shift)).alias("low"),
             )
         )
-    return found
+    return found.select("threat_label", F.col("low").bitwiseXOR(_smallest()).alias("low"))
 
 
 def volume_by_protocol(logs: DataFrame) -> DataFrame:

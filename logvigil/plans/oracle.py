@@ -285,6 +285,7 @@ FROM sized GROUP BY threat_label ORDER BY threat_label"""
     "attack_totals": _sql(
         " SELECT attack_type, count(*) AS hit_count FROM tagged GROUP BY attack_type"
     ),
+    "attack_patterns_of_samples": _sql(" SELECT * FROM hits"),
     "attack_patterns": _sql(" SELECT * FROM hits" + _SORTED_HITS),
     "attack_samples": _sql(
         """
@@ -360,6 +361,21 @@ FROM raw_days"""
 FROM (SELECT """
         + f'{_LOG_COLUMNS}, "year", "month", "day" FROM raw_days WHERE has_date)'
     ),
+    "ingest_rejects_per_run": f"""
+WITH runs AS (
+  SELECT 'all' AS ingest_id, * FROM ({_VIEW.format(clock="ts")})
+  UNION ALL SELECT 'odd', * FROM ({_VIEW.format(clock="ts")} WHERE event_id % 4 = 1))
+SELECT ingest_id, "timestamp", count(*) AS row_count FROM runs
+WHERE NOT coalesce(regexp_matches("timestamp", '{_DATE}'), false) GROUP BY "timestamp", ingest_id""",
+    "ingest_manifest": f"""
+WITH lines AS (
+  SELECT 1 AS run, * FROM ({_VIEW.format(clock="ts")})
+  UNION ALL SELECT 2, * FROM ({_VIEW.format(clock="ts")} WHERE event_id % 2 = 0 AND day(ts) <= 10)),
+counts AS (
+  SELECT regexp_extract("timestamp", '{_DATE}', 1) AS "year", regexp_extract("timestamp", '{_DATE}', 2) AS "month",
+         regexp_extract("timestamp", '{_DATE}', 3) AS "day", run, count(*) AS row_count
+  FROM lines WHERE regexp_matches("timestamp", '{_DATE}') GROUP BY ALL)
+SELECT "year", "month", "day", arg_max(row_count, run) AS row_count FROM counts GROUP BY ALL""",
     "result_roundtrip": _sql(" SELECT * FROM scans"),
     "result_saved_rows": _sql(" SELECT count(*) AS saved_rows FROM scans"),
     "quality_profile": _sql(" SELECT * FROM profile"),

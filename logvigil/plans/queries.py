@@ -11,6 +11,8 @@ from logvigil.operators.attacks import (
     attack_patterns,
     attack_samples,
     attack_totals,
+    patterns_of,
+    sample_counts,
     tag_attacks,
     top_per_type,
     with_path,
@@ -38,6 +40,7 @@ from logvigil.operators.volume import volume_by_label, volume_by_protocol
 from logvigil.plans.jobs import ingest
 from logvigil.sources import (
     read_logs,
+    read_rejects,
     read_result,
     saved_rows,
     scratch,
@@ -130,6 +133,31 @@ def _ingest_mixed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_logs(spark, f"{folder}/logs")
 
 
+def _written(spark: SparkSession, sf_dir: str, path: str, where: str) -> str:
+    event_logs_by_day(spark, sf_dir, where).write.options(**_TEXTS).csv(path)
+    return path
+
+
+_DATED = "event_id % 101 > 0 AND event_id % 97 > 0"
+
+
+def _rejects_per_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejected lines of three ingests and a rerun: all lines, lines with a date, odd lines, and every second of these again."""
+    folder = scratch_dir(spark)
+    runs = [("all", "true"), ("dated", _DATED), ("odd", "event_id % 2 = 1"), ("odd", "event_id % 4 = 1")]
+    for n, (ingest_id, where) in enumerate(runs):
+        ingest(spark, _written(spark, sf_dir, f"{folder}/raw-{n}", where), f"{folder}/logs", ingest_id=ingest_id)
+    return read_rejects(spark, f"{folder}/logs").groupBy("ingest_id", "timestamp").agg(F.count("*").alias("row_count"))
+
+
+def _manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The inventory of days after an ingest of all lines and one of the even lines of the first ten days of each month."""
+    folder = scratch_dir(spark)
+    for n, where in enumerate(("true", "event_id % 2 = 0 AND day(ts) <= 10")):
+        ingest(spark, _written(spark, sf_dir, f"{folder}/raw-{n}", where), f"{folder}/logs", reports_root=f"{folder}/reports")
+    return read_result(spark, f"{folder}/reports/days")
+
+
 def _result_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scan windows written as a result and read back."""
     folder = scratch_dir(spark)
@@ -169,6 +197,7 @@ QUERIES: dict[str, Query] = {
     "attack_patterns": _over_logs(
         lambda logs: report(attack_patterns(tag_attacks(logs)), "attack_patterns")
     ),
+    "attack_patterns_of_samples": _over_logs(lambda logs: patterns_of(sample_counts(tag_attacks(logs)))),
     "attack_samples": _over_logs(lambda logs: attack_samples(tag_attacks(logs))),
     "attack_signatures_in_urls": _over_texts("pages", "url"),
     "attack_signatures_in_texts": _over_texts("documents", "text"),
@@ -216,6 +245,8 @@ QUERIES: dict[str, Query] = {
     "ingest_summary": _over_days(ingest_summary),
     "ingest_roundtrip": _ingest_roundtrip,
     "ingest_mixed_files": _ingest_mixed_files,
+    "ingest_rejects_per_run": _rejects_per_run,
+    "ingest_manifest": _manifest,
     "result_roundtrip": _result_roundtrip,
     "result_saved_rows": _saved_rows,
     # Quality

@@ -22,12 +22,9 @@ SUSPICIOUS = "suspicious"
 MALICIOUS = "malicious"
 THREAT_LABELS = (SUSPICIOUS, MALICIOUS)
 TCP = "TCP"
-# The columns of the scan results.
-SCAN_COLUMNS = ("source_ip", "distinct_targets", "total_connections", "window_start", "window_end")
-SCANNER_COLUMNS = ("source_ip", "scan_windows", "total_distinct_targets", "last_seen")
 DAY_COLUMNS = ("year", "month", "day")
 
-# Year, month and day of lines that have none.
+# Year and month of lines that have none; their day is the id of their ingest.
 REJECTED = "rejected"
 
 # Kept as text, so that a folder named month=05 reads back as "05".

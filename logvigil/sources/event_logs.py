@@ -3,6 +3,8 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from logvigil.functions import ATTACK_SIGNATURES
+
 _EVENT_SCHEMA = (
     "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
 )
@@ -50,15 +52,16 @@ _LOG_COLUMNS = {
     WHEN 10 THEN '/nmap'
     WHEN 11 THEN NULL
     WHEN 12 THEN concat('/probe/', element_at(split(
-      "' or ;or 1=1;' --;union select;drop table;insert into;sqlmap;' and ;xp_cmdshell;information_schema;sleep(;benchmark(;1=1;' or '1'='1;<script>;javascript:;onerror=;onload=;alert(;<img src;document.cookie;eval(;<iframe;onmouseover=;</script>;nikto;../;/etc/passwd;cmd.exe;/bin/bash;wget ;curl ;base64_decode;nmap;.php?id=;../../",
-      ';'), CAST((event_id - 12) / 23 % 36 AS INT) + 1))
+      "{signatures}", ';'), CAST((event_id - 12) / 23 % 36 AS INT) + 1))
     ELSE concat('/static/', CAST(event_id AS STRING)) END""",
 }
 
 
 def _logs(spark: SparkSession, sf_dir: str, clock: str, where: str = "true") -> DataFrame:
     events = spark.read.schema(_EVENT_SCHEMA).parquet(f"{sf_dir}/events.parquet").filter(where)
+    signatures = ";".join(needle for needles in ATTACK_SIGNATURES.values() for needle in needles)
     columns = {"timestamp": _TIME_OF_LINE.format(clock=clock)} | _LOG_COLUMNS
+    columns["request_path"] = columns["request_path"].replace("{signatures}", signatures)
     return events.select(*[F.expr(text).alias(name) for name, text in columns.items()])
 
 
@@ -67,6 +70,6 @@ def event_logs(spark: SparkSession, sf_dir: str, where: str = "true") -> DataFra
     return _logs(spark, sf_dir, _PACKED_CLOCK, where)
 
 
-def event_logs_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+def event_logs_by_day(spark: SparkSession, sf_dir: str, where: str = "true") -> DataFrame:
     """The same lines at the times of the events, which cover many days."""
-    return _logs(spark, sf_dir, "ts")
+    return _logs(spark, sf_dir, "ts", where)

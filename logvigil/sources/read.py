@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from logvigil.schema import DAY_SCHEMA, LOG_SCHEMA, REJECTED
+from logvigil.sources.versions import current_version
 
 CSV_OPTIONS = {"header": True, "escape": '"'}
 
@@ -40,11 +41,19 @@ def read_logs(
 
 
 def read_rejects(
-    spark: SparkSession, root: str, fmt: str = "parquet", quoted_newlines: bool = False
+    spark: SparkSession,
+    root: str,
+    fmt: str = "parquet",
+    quoted_newlines: bool = False,
+    ingest_id: str | None = None,
 ) -> DataFrame:
-    """The lines that the last ingest below this root could not date."""
-    stored = read_stored(spark, root, fmt, quoted_newlines)
-    return stored.filter(F.col("year") == REJECTED).select(*LOG_SCHEMA.names)
+    """The lines that an ingest below this root could not date, with its id; those of all ingests if none is given.
+
+    The lines of an ingest are replaced only by a rerun of that ingest, also by one without such lines.
+    """
+    stored = read_stored(spark, root, fmt, quoted_newlines).filter(F.col("year") == REJECTED)
+    rejects = stored.select(*LOG_SCHEMA.names, F.col("day").alias("ingest_id"))
+    return rejects if ingest_id is None else rejects.filter(F.col("ingest_id") == ingest_id)
 
 
 def raw_files(spark: SparkSession, path: str) -> list[tuple[str, bool, list[str]]]:
@@ -114,5 +123,6 @@ def read_raw_csv(
 
 
 def read_result(spark: SparkSession, path: str) -> DataFrame:
-    """A stored result."""
-    return spark.read.parquet(path)
+    """A stored result, as last published."""
+    version = current_version(spark, path)
+    return spark.read.parquet(path if version is None else f"{path}/{version}")

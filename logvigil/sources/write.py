@@ -5,13 +5,14 @@ from pyspark.sql import DataFrame, SparkSession
 from logvigil.operators.ingest import typed
 from logvigil.schema import DAY_COLUMNS
 from logvigil.sources.read import CSV_OPTIONS, read_result
+from logvigil.sources.versions import publish, write_version
 
 ROWS_PER_FILE = 1_000_000
 
 
 def write_result(result: DataFrame, path: str) -> None:
-    """Stores a result as Parquet in place of an earlier one."""
-    result.write.mode("overwrite").parquet(path)
+    """Stores a result as Parquet in place of an earlier one, which stays readable until the new one is whole."""
+    publish(result.sparkSession, path, write_version(result, path))
 
 
 def write_days(

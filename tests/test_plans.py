@@ -20,6 +20,7 @@ from logvigil.operators.timeline import hourly_timeline
 from logvigil.operators.volume import volume_by_label, volume_by_protocol
 from logvigil.plans.queries import QUERIES
 from logvigil.sources import read_logs, write_days
+from logvigil.sources.event_logs import event_logs
 from tests.lines import log_lines
 
 
@@ -175,3 +176,20 @@ def test_large_csv_files_are_split(spark, tmp_path):
         assert read_logs(spark, str(tmp_path), "csv").rdd.getNumPartitions() > 5
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_sizes_move_once_however_small_the_broadcast_limit(spark, data_root):
+    """Sizes of large labels are counted where they lie: only their parts and those of small labels are shuffled again."""
+    limits = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "20480"}
+    for key, value in limits.items():
+        spark.conf.set(key, value)
+    try:
+        result = volume_by_label(event_logs(spark, f"{data_root}/sf0.1"))
+        result.collect()
+        plan = result._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    finally:
+        for key in limits:
+            spark.conf.unset(key)
+    moves = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "ReusedExchange" not in line]
+    assert sum("bytes_transferred" in line for line in moves) == 1
+    assert "SortMergeJoin" not in plan
