@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from logvigil.schema import DAY_SCHEMA, LOG_SCHEMA, REJECTED
+from logvigil.sources.records import read_records
 from logvigil.sources.versions import current_version
 
 CSV_OPTIONS = {"header": True, "escape": '"'}
@@ -96,9 +97,9 @@ def read_raw_csv(
     """Raw CSV files, each with a header of its own; all columns are text and joined by name.
 
     One pass over the text (``raw_files``, unless its result is given) finds the header of each file and whether quoted fields
-    hold newlines, which keep a file from being split. Files of one kind share a reader with the
+    hold newlines; such files are read by many tasks too (``read_records``). Files of one kind share a reader with the
     schema of their header. A caller who says ``quoted_newlines`` also says that all headers are
-    alike: that pass is left out, and another header is an error. Giving the ``line_end`` of files
+    alike: that pass is left out, another header is an error, and one task reads one file. Giving the ``line_end`` of files
     with quoted newlines keeps the same characters inside quotes as they are; otherwise they are read as one newline.
     """
 
@@ -110,10 +111,13 @@ def read_raw_csv(
         first = reader(quoted_newlines).csv(path)
         return reader(quoted_newlines).schema(first.schema).csv(path)
     kinds = raw_files(spark, path) if kinds is None else kinds
-    tables = [
-        reader(found).schema(header_schema(header)).csv(path if len(kinds) == 1 else files)
-        for header, found, files in kinds
-    ]
+    tables = []
+    for header, found, files in kinds:
+        paths, schema = path if len(kinds) == 1 else files, header_schema(header)
+        if found:
+            tables.append(read_records(spark, paths, schema, CSV_OPTIONS, line_end))
+        else:
+            tables.append(reader(False).schema(schema).csv(paths))
     if not tables:
         return spark.createDataFrame([], "timestamp string")
     out = tables[0]

@@ -192,4 +192,3 @@ def test_sizes_move_once_however_small_the_broadcast_limit(spark, data_root):
             spark.conf.unset(key)
     moves = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "ReusedExchange" not in line]
     assert sum("bytes_transferred" in line for line in moves) == 1
-    assert "SortMergeJoin" not in plan
