@@ -20,9 +20,9 @@ def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Lines with their number in the block, whether quotes are open before and after each, if none were at the start of the
     block, and how often they have been opened and closed by then."""
     block, nth, parity, up, down = None, 0, 0, 0, 0
-    for batch in batches:
-        files, starts = batch.column("file").to_pylist(), batch.column("start").to_pylist()
-        odd = (np.asarray(pc.count_substring(batch.column("value"), '"')) % 2).astype(np.int64)
+    for arrow in batches:
+        files, starts = arrow.column("file").to_pylist(), arrow.column("start").to_pylist()
+        odd = (np.asarray(pc.count_substring(arrow.column("value"), '"')) % 2).astype(np.int64)
         first = 0
         while first < len(files):
             last = first
@@ -34,7 +34,7 @@ def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             before = np.concatenate([[parity], after[:-1]])
             ups = up + np.cumsum((before == 0) & (after == 1))
             downs = down + np.cumsum((before == 1) & (after == 0))
-            part = batch.slice(first, last - first)
+            part = arrow.slice(first, last - first)
             columns = [nth + np.arange(last - first), before.astype(np.int32), after.astype(np.int32), ups, downs]
             numbers, *marks = [pa.array(c) for c in columns]
             yield pa.RecordBatch.from_arrays(
