@@ -3,6 +3,7 @@
 import html
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -12,8 +13,9 @@ from pyspark.sql import functions as F
 
 from logvigil.llm.common import slices
 
+# A tag ends at its ``>`` outside quotes, or, where it was cut off, at the next ``<``. No part is read twice: the quantifiers give nothing back.
 _TOKEN = re.compile(
-    r"""<!--.*?(?:--!?>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*'|["'])*?)>|<[!?][^>]*(?:>|\Z)|[^<]+|<""",
+    r"""<!--(?:(?!--!?>).)*+(?:--!?>)?|<(/?)([a-zA-Z][^\s/><]*+)((?:[^<>"']|(?<==)"[^"]*+"|(?<==)'[^']*+'|["'])*+)(?:>|(?=<)|\Z)|<[!?][^>]*+>?|(?:<(?![a-zA-Z/!?]))*+[^<]++|<++(?![a-zA-Z/!?])|<""",
     re.S,
 )
 _ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
@@ -28,7 +30,7 @@ BLOCK = frozenset(
 )
 NO_TEXT = frozenset(
     "script style head title template noscript nav footer aside form button select option textarea input label iframe"
-    " object embed svg math canvas audio video map dialog menu xmp noembed noframes".split()
+    " object embed svg canvas audio video map dialog menu xmp noembed noframes".split()
 )
 CLOSES = {
     "li": ({"li"}, {"ul", "ol", "menu"}),
@@ -39,7 +41,7 @@ CLOSES = {
     "th": ({"td", "th"}, {"tr", "table"}),
     "option": ({"option"}, {"select"}),
 }
-BESIDE = frozenset("h1 h2 h3 h4 h5 h6 hgroup p".split())
+BESIDE = frozenset("h1 h2 h3 h4 h5 h6 hgroup p ul ol dl blockquote pre table figure".split())
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar".split())
 NOISE_NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion cookie cookies"
@@ -47,6 +49,11 @@ NOISE_NAMES = frozenset(
     " footer masthead toolbar pagination pager comment comments commentlist respond disqus reply replies share sharing"
     " social related recommended newsletter subscribe subscription signup login search widget widgets skip".split()
 )
+#: What else a name may be made of that is noise inside an article.
+NEUTRAL_NAMES = frozenset(
+    "area bar block box btn button buttons container content form inner item items link links list outer panel post row section slot"
+    " thread top bottom left right unit user wrap wrapper".split()
+)
 NOISE_PHRASES = ("side-bar", "site-header", "page-header", "top-bar", "skip-link", "read-more", "user-comment")
 
 
@@ -87,15 +94,24 @@ def _noise(tag: str, attributes: str, parent: Node) -> tuple[bool, bool]:
     if tag in ("html", "body", "main") or (tag == "article" and not parent.inside):
         return False, False
     names = f"{values.get('class', '')} {values.get('id', '')}"
+    if parent.inside:
+        return False, any(_all_noise(name) for name in names.split())
     return False, any(p in names for p in NOISE_PHRASES) or any(
         not NOISE_NAMES.isdisjoint(re.split(r"[^a-z0-9]+", name)) and not name.startswith(("no-", "has-", "with-")) for name in names.split()
     )
 
 
+def _all_noise(name: str) -> bool:
+    """Whether a name is made of noise alone: "comment-list" is, "search-results" and "notice-of-motion" aren't."""
+    parts = [x for x in re.split(r"[^a-z]+", name) if x]
+    return any(x in NOISE_NAMES for x in parts) and all(x in NOISE_NAMES or x in NEUTRAL_NAMES for x in parts)
+
+
 def parse(page: str) -> Node:
     """The element tree of a page, lenient on missing and wrong end tags; noise has no content."""
     root = Node("html", None)
     top, at, n = root, 0, len(page)
+    started: Counter = Counter()  # tags that were opened: an end tag of any other has nothing to close
     while at < n:
         m = _TOKEN.match(page, at)
         at = m.end()
@@ -106,12 +122,14 @@ def parse(page: str) -> Node:
             continue
         tag = m[2].lower()
         if m[1]:
-            node = top
+            node = top if started[tag] else None
             while node is not None and node.tag != tag:
                 node = node.parent
             if node is not None and node.parent is not None:
                 top = node.parent
-            elif tag == "p":
+            elif node is None:
+                started[tag] = 0  # none is open
+            if tag == "p" and (node is None or node.parent is None):
                 top.items.append(Node("p", top))
             continue
         if tag == "html":
@@ -126,10 +144,11 @@ def parse(page: str) -> Node:
         node = Node(tag, top, top.noise or noise, maybe, top.inside or tag in ("article", "main"))
         top.items.append(node)
         if tag in RAW:
-            end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>|\Z", re.I).search(page, at)
+            end = re.compile(rf"</{tag}(?=[\s/>])[^<>]*+(?:>|(?=<)|\Z)|\Z", re.I).search(page, at)
             at = end.end()
         elif tag not in VOID and not m[3].endswith("/") or tag in BLOCK and tag not in VOID:
             top = node
+            started[tag] += 1
     _settle(root)
     return root
 
@@ -314,10 +333,10 @@ def main_text(page: str | None) -> str:
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches, "_html"):
-        texts = [main_text(x) for x in batch.column("_html").to_pylist()]
+    for arrow in slices(batches, "_html"):
+        texts = [main_text(x) for x in arrow.column("_html").to_pylist()]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("page"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
+            [arrow.column("page"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
             names=["page", "text", "n_chars"],
         )
 
