@@ -32,17 +32,13 @@ def windows_of(text: bytes, window: int) -> list[tuple[int, int, bytes]]:
     ]
 
 
-def removed_lines(n_lines: int, later: list[tuple[int, int]], first: list[tuple[int, int]]) -> list[int]:
-    """Lines that later occurrences cover, merged, without those of a first occurrence."""
-
-    def covered(spans: list[tuple[int, int]]) -> set[int]:
-        lines, end = set(), -1
-        for a, b in sorted(spans):
-            lines.update(range(max(a, end + 1), min(b, n_lines - 1) + 1))
-            end = max(end, b)
-        return lines
-
-    return sorted(covered(later) - covered(first))
+def removed_lines(n_lines: int, spans: list[tuple[int, int]]) -> list[int]:
+    """The lines of spans (first, last), merged."""
+    lines, end = [], -1
+    for a, b in sorted(spans):
+        lines += range(max(a, end + 1), min(b, n_lines - 1) + 1)
+        end = max(end, b)
+    return lines
 
 
 def _emit_windows(window: int):
@@ -51,11 +47,11 @@ def _emit_windows(window: int):
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for arrow in slices(batches, "text"):
             found = [
                 (row, doc_id, *w)
                 for row, doc_id, text in zip(
-                    batch.column("row").to_pylist(), batch.column("doc_id").to_pylist(), byte_texts(batch.column("text"))
+                    arrow.column("row").to_pylist(), arrow.column("doc_id").to_pylist(), byte_texts(arrow.column("text"))
                 )
                 for w in windows_of(text, window)
             ]
@@ -77,11 +73,7 @@ def _cut(texts: pd.Series, spans: pd.Series) -> pd.DataFrame:
             removed.append(None)
             continue
         lines = text.split("\n")
-        gone = removed_lines(
-            len(lines),
-            [(s["first"], s["last"]) for s in found if not s["kept"]],
-            [(s["first"], s["last"]) for s in found if s["kept"]],
-        )
+        gone = removed_lines(len(lines), [(s["first"], s["last"]) for s in found])
         drop = set(gone)
         left.append("\n".join(x for i, x in enumerate(lines) if i not in drop))
         removed.append(gone)
@@ -94,10 +86,10 @@ def line_dedup(
     """One row per document: doc (all its columns), text (what is left), n_lines, removed (line numbers).
 
     Every window of three consecutive lines that aren't blank is hashed, stripped of
-    outer blanks. A window that occurs again, in another text or further down, stays where it
+    outer blanks. A window that occurs again, in another text or further down, counts as first where it
     occurs first, by document id and then line; the lines that later occurrences cover are
-    merged and removed, with blank lines between them. A line that also lies in a first
-    occurrence stays, so one copy of each window is left whole.
+    merged and removed, with blank lines between them. Every line removed so has an earlier copy, in an earlier text or further up.
+    Where a later occurrence overlaps the first one of the same window in one text, as in a run of equal lines, the lines of the first stay.
 
     NULL text counts as empty and comes back empty. Texts of fewer lines than a window
     have no window and stay whole. A NULL id is the smallest; ties between rows of the same id
@@ -124,18 +116,15 @@ def line_dedup(
     )
     groups = (
         windows.groupBy("hash")
-        .agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "row", "first")).alias("top"))
+        .agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "row", "first", "last")).alias("top"))
         .filter("n > 1")
     )
-    repeated = join_groups(windows, stored(groups, folder, "groups"), "hash", "n", "inner").select(
-        "row",
-        "first",
-        "last",
-        ((F.col("row") == F.col("top.row")) & (F.col("first") == F.col("top.first"))).alias("kept"),
-    )
-    spans = repeated.groupBy("row").agg(
-        F.collect_list(F.struct("first", "last", "kept")).alias("_spans")
+    same_text = F.col("row") == F.col("top.row")
+    from_line = F.when(same_text, F.greatest("first", F.col("top.last") + 1)).otherwise(F.col("first"))
+    later = join_groups(windows, stored(groups, folder, "groups"), "hash", "n", "inner").filter(
+        ~(same_text & (F.col("first") == F.col("top.first")))
     )
+    spans = later.groupBy("row").agg(F.collect_list(F.struct(from_line.alias("first"), "last")).alias("_spans"))
     text = F.coalesce(F.col(f"doc.{text_col}").cast("string"), F.lit(""))
     # The spans grow with the input, so they are never broadcast: the plan is the same at every size.
     joined = kept.join(stored(spans, folder, "spans").hint("merge"), "row", "left").withColumn(

@@ -54,12 +54,12 @@ def brute_lines(rows, window=3):
             win = lines[k : k + window]
             key = (-1 if doc_id is None else doc_id, i, win[0][0])
             found[tuple(x for _, x in win)].append((key, i, win[0][0], win[-1][0]))
-    later, first = defaultdict(set), defaultdict(set)
+    gone = defaultdict(set)
     for places in found.values():
-        if len(places) > 1:
-            for rank, (_, i, a, b) in enumerate(sorted(places)):
-                (later if rank else first)[i].update(range(a, b + 1))
-    return {i: sorted(later[i] - first[i]) for i in range(len(rows))}
+        (_, first, a, b), *later = sorted(places)
+        for _, i, c, d in later:
+            gone[i].update(p for p in range(c, d + 1) if i != first or not a <= p <= b)
+    return {i: sorted(gone[i]) for i in range(len(rows))}
 
 
 def test_line_dedup_equals_brute_force(spark):
@@ -75,8 +75,17 @@ def test_line_dedup_equals_brute_force(spark):
 
 
 def test_one_copy_of_overlapping_lines_is_left():
-    assert removed_lines(4, [(1, 3)], [(0, 2)]) == [3]
-    assert removed_lines(9, [(1, 3), (2, 4), (7, 9)], []) == [1, 2, 3, 4, 7, 8]
+    assert removed_lines(4, [(3, 3)]) == [3]
+    assert removed_lines(9, [(1, 3), (2, 4), (7, 9), (6, 5)]) == [1, 2, 3, 4, 7, 8]
+
+
+def test_a_passage_goes_from_texts_that_are_first_of_their_copies(spark):
+    """A holds a passage, B holds it between other lines, and C copies B."""
+    passage = "\n".join(f"passage line {i}" for i in range(4))
+    b = f"one of b\n{passage}\ntwo of b"
+    rows = [(1, f"own a\n{passage}\nend a"), (2, b), (3, b), (4, "\n".join(["same"] * 6))]
+    left = {r.doc.doc_id: r.text for r in line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert left == {1: rows[0][1], 2: "one of b\ntwo of b", 3: "", 4: "same\nsame\nsame"}
 
 
 def brute_fingerprint(text):
