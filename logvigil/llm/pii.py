@@ -91,7 +91,7 @@ _CLASSES = bytes(
 def signature(word: str, known: frozenset) -> tuple[bytes, str]:
     """All that the features of a word depend on: its letters' classes, and the word if the table has it."""
     low = word.lower().strip(_TRIM)
-    return word[:40].encode("utf-8", "replace").translate(_CLASSES), low if low in known else ""
+    return word.encode("utf-8", "replace").translate(_CLASSES), low if low in known else ""
 
 
 @lru_cache(1 << 16)
@@ -131,10 +131,10 @@ class Crf:
 
 
 def viterbi(emissions: np.ndarray, lengths: np.ndarray, moves: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Best labels of a batch of sequences, (batch, time, labels) padded at the end."""
-    batch, time, labels = emissions.shape
+    """Best labels of a group of sequences, (sequence, time, labels) padded at the end."""
+    arrow, time, labels = emissions.shape
     best = starts + emissions[:, 0]
-    back = np.zeros((time, batch, labels), np.int8)
+    back = np.zeros((time, arrow, labels), np.int8)
     back[:] = np.arange(labels)
     for t in range(1, time):
         n = int(np.searchsorted(-lengths, -t, side="left"))  # sequences come longest first
@@ -142,11 +142,11 @@ def viterbi(emissions: np.ndarray, lengths: np.ndarray, moves: np.ndarray, start
         came = paths.argmax(1)
         back[t, :n] = came
         best[:n] = np.take_along_axis(paths, came[:, None], 1)[:, 0] + emissions[:n, t]
-    out = np.zeros((batch, time), np.int8)
+    out = np.zeros((arrow, time), np.int8)
     state = best.argmax(1)
     for t in reversed(range(time)):
         out[:, t] = state
-        state = back[t, np.arange(batch), state]
+        state = back[t, np.arange(arrow), state]
     return out
 
 
@@ -202,8 +202,8 @@ def train_crf(table: str = LABELLED_LINES, rounds: int = 250, rate: float = 0.1,
 class Tagger:
     """Finds spans with a trained field. Words are looked up once and decoded in batches of lines."""
 
-    def __init__(self, crf: Crf, batch: int = 1 << 16):
-        self.crf, self.batch = crf, batch
+    def __init__(self, crf: Crf, arrow: int = 1 << 16):
+        self.crf, self.arrow = crf, arrow
         self.forget()
 
     def forget(self) -> None:
@@ -235,7 +235,7 @@ class Tagger:
         own, right, left = self.tables
         while order:
             time = len(lines[order[0]])
-            take = max(1, self.batch // time)
+            take = max(1, self.arrow // time)
             part, order = order[:take], order[take:]
             lengths = np.array([len(lines[i]) for i in part])
             ids = self.kind_of[np.concatenate([numbers[i] for i in part])]
@@ -318,14 +318,14 @@ def redacted(text: str, spans: list[Span]) -> str:
 def _find(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tagger = Tagger(model.value)
-        for batch in slices(batches, "_text"):
-            texts = [t or "" for t in batch.column("_text").to_pylist()]
+        for arrow in slices(batches, "_text"):
+            texts = [t or "" for t in arrow.column("_text").to_pylist()]
             found = all_spans(texts, tagger)
             counts = [[sum(k == kind for k, _, _ in base) for base, _ in found] for kind in range(len(KINDS))]
-            names = [n for n in batch.schema.names if n != "_text"]
+            names = [n for n in arrow.schema.names if n != "_text"]
             yield pa.RecordBatch.from_arrays(
                 [
-                    *[batch.column(n) for n in names],
+                    *[arrow.column(n) for n in names],
                     *[pa.array(c, pa.int64()) for c in counts],
                     pa.array([spans_text(base) for base, _ in found], pa.string()),
                     pa.array([spans_text(every) for _, every in found], pa.string()),
