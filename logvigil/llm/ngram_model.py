@@ -19,8 +19,8 @@ from logvigil.llm.common import byte_texts, slices, stored, work_folder
 from logvigil.llm.elias_fano import EliasFano
 from logvigil.llm.shared_files import get, put
 
-DISCOUNT, LEAST_TRIGRAM = 0.75, 2
-#: Bytes of text per numpy batch; words per vocabulary part and tokens per trie, about.
+DISCOUNT, LEAST_TRIGRAM = 0.75, 1
+#: Bytes of text that numpy counts at once; words per vocabulary part and tokens per trie, about.
 BATCH, VOCABULARY_PART, TRIE_TOKENS = 8 << 20, 1 << 20, 3_000_000
 _END = b" "  # no word holds a space
 _HASH = (1 << 62) - 1
@@ -41,8 +41,8 @@ def numbered(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _unigram_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches, "text", BATCH):
-        tokens, hashes, _ = numbered(byte_texts(batch.column("text")))
+    for arrow in slices(batches, "text", BATCH):
+        tokens, hashes, _ = numbered(byte_texts(arrow.column("text")))
         counts = np.bincount(tokens, minlength=len(hashes))
         yield pa.RecordBatch.from_arrays([pa.array(hashes), pa.array(counts)], names=["h", "c"])
 
@@ -166,12 +166,12 @@ def contexts(tokens: np.ndarray, lengths: np.ndarray, start: int) -> tuple[np.nd
 
 
 def _ngram_rows(plan: Plan):
-    """Counts of pairs and triples of a batch, combined, sorted and squeezed, a row for each trie."""
+    """Counts of pairs and triples of one slice of texts, combined, sorted and squeezed, a row for each trie."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = Vocabulary(plan)
-        for batch in slices(batches, "text", BATCH):
-            tokens, hashes, lengths = numbered(byte_texts(batch.column("text")))
+        for arrow in slices(batches, "text", BATCH):
+            tokens, hashes, lengths = numbered(byte_texts(arrow.column("text")))
             tokens = vocabulary.look_up(hashes)[0][tokens]
             before, place, _ = contexts(tokens, lengths, plan.start)
             pairs, which, pair_counts = np.unique(before * plan.radix + tokens, return_inverse=True, return_counts=True)
@@ -374,7 +374,7 @@ def train(
 
     Probabilities are interpolated with absolute discounting: what triples seen fewer than
     ``least_trigram`` times, and the discount, leave goes to the level below. Counts are combined per
-    batch of text, and each trie and vocabulary part is built by one task from a share of hashed keys; their
+    slice of text, and each trie and vocabulary part is built by one task from a share of hashed keys; their
     number grows with the input, so no task grows. A frequent first word is spread over all tries by
     its pairs. The driver gets one row per vocabulary part.
 
@@ -420,10 +420,10 @@ def train(
 def _score(plan: Plan, discount: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model(plan, discount)
-        for batch in slices(batches, "_text", BATCH):
-            found = model.scores(byte_texts(batch.column("_text")))
+        for arrow in slices(batches, "_text", BATCH):
+            found = model.scores(byte_texts(arrow.column("_text")))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc"), *[pa.array(found[n]) for n in ("n_tokens", "n_known", "base_score", "score")]],
+                [arrow.column("doc"), *[pa.array(found[n]) for n in ("n_tokens", "n_known", "base_score", "score")]],
                 names=["doc", "n_tokens", "n_known", "base_score", "score"],
             )
 

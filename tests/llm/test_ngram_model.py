@@ -37,7 +37,7 @@ def test_quantised_steps_are_small():
 class Plain:
     """The same model with dictionaries and exact probabilities."""
 
-    def __init__(self, texts, d=0.75, least=2):
+    def __init__(self, texts, d=0.75, least=1):
         self.d = d
         seqs = [self.tokens(t) for t in texts]
         self.c1 = Counter(w for s in seqs for w in s)
