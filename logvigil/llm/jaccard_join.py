@@ -16,7 +16,7 @@ SHINGLE = 5
 #: Two texts link when 5 * |A and B| >= 4 * |A or B|.
 SHARE = (4, 5)
 #: Members that one tile compares before it is cut into cells, and shingles that one cell of the exact step holds.
-TILE, CELL = 4096, 1 << 20
+TILE, CELL = 4096, 1 << 21
 #: Counters of a task's sketch of frequent shingles, and frequent shingles that are put last in the common order.
 COUNTERS, FREQUENT = 4096, 1 << 16
 #: Bits of the shortest and the longest signature, and of the largest filter that is broadcast (16 MB).
@@ -39,27 +39,47 @@ BAND_BITS = np.clip(1 << np.ceil(np.log2(EDGES)).astype(np.int64), *BITS)
 
 
 class _Words(dict):
-    """64-bit hash of each word; emptied when it holds a million words."""
+    """Numbers of words and their hashes by number; emptied when it holds a million words."""
+
+    def __init__(self):
+        super().__init__()
+        self.hashes: list[int] = []
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 1_000_000:
+        self[word] = n = len(self.hashes)
+        self.hashes.append(xxhash.xxh64_intdigest(word))
+        return n
+
+    def hashed(self, texts: list[list[bytes]]) -> np.ndarray:
+        """The hashes of the words of all texts."""
+        if len(self.hashes) > 1_000_000:
             self.clear()
-        self[word] = h = xxhash.xxh64_intdigest(word)
+            self.hashes = []
+        ids: list[int] = []
+        for words in texts:
+            ids += map(self.__getitem__, words)
+        return np.array(self.hashes, np.uint64)[np.array(ids, np.int64)] if ids else np.empty(0, np.uint64)
+
+
+def shingle_sets(texts: list[bytes], words: _Words, size: int = SHINGLE) -> list[np.ndarray]:
+    """Per text, the sorted distinct hashes of its shingles; of all words if they are fewer; none without words."""
+    tokens = [t.lower().split() for t in texts]  # on bytes: A to Z only, and the ASCII white space only
+    w = words.hashed(tokens)
+    ends = np.cumsum([len(t) for t in tokens]).tolist()
+
+    def shingles(w: np.ndarray, k: int) -> np.ndarray:
+        h = np.full(len(w) - k + 1, k, np.uint64)
+        for j in range(k):
+            h = (h ^ w[j : len(w) - k + 1 + j]) * _MIX[j % len(_MIX)]
+            h ^= h >> np.uint64(29)
         return h
 
-
-def shingle_set(text: bytes, words: dict, size: int = SHINGLE) -> np.ndarray:
-    """Sorted distinct hashes of the shingles; of all words if they are fewer; none without words."""
-    tokens = text.lower().split()  # on bytes: A to Z only, and the ASCII white space only
-    if not tokens:
-        return np.empty(0, np.uint64)
-    w = np.array([words[t] for t in tokens], np.uint64)
-    k = min(size, len(w))
-    h = np.full(len(w) - k + 1, k, np.uint64)
-    for j in range(k):
-        h = (h ^ w[j : len(w) - k + 1 + j]) * _MIX[j % len(_MIX)]
-        h ^= h >> np.uint64(29)
-    return np.unique(h)
+    every = shingles(w, size) if len(w) >= size else w[:0]  # those across two texts are passed over
+    out = []
+    for start, end in zip([0, *ends], ends):
+        found = np.sort(every[start : end - size + 1] if end - start >= size else shingles(w[start:end], end - start))
+        out.append(found[np.flatnonzero(np.diff(found, prepend=~found[:1]))] if end > start else w[:0])
+    return out
 
 
 def signature(hashes: np.ndarray, bits: int) -> np.ndarray:
@@ -92,14 +112,14 @@ def prefix(hashes: np.ndarray, frequent: np.ndarray) -> np.ndarray:
 
 
 def spanning(
-    sizes: np.ndarray, sigs: np.ndarray, exact: Callable[[int, int], bool] | None = None
+    sizes: np.ndarray, sigs: np.ndarray, exact: Callable[[int, int], bool] | None = None, label: np.ndarray | None = None
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Links that connect all members within reach of each other; ``sizes`` ascend.
+    """Links that connect all members within reach of each other; ``sizes`` ascend. Members of one ``label`` are connected already.
 
     The differing bits of two signatures bound the overlap from above. Pairs that pass are linked, or those
     that ``exact`` then confirms. Members already connected aren't compared again.
     """
-    label = np.arange(len(sizes))
+    label = np.arange(len(sizes)) if label is None else label.copy()
     a, b = [], []
     for i in range(len(sizes) - 1):
         end = np.searchsorted(sizes, sizes[i] * SHARE[1] // SHARE[0], "right")
@@ -133,9 +153,9 @@ def _sketches(counters: int, size: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, keys, counts = _Words(), np.empty(0, np.uint64), np.empty(0, np.int64)
-        for batch in batches:
-            for part in slices(iter([batch]), "text"):
-                found = [shingle_set(t, words, size) for t in byte_texts(part.column("text"))]
+        for arrow in batches:
+            for part in slices(iter([arrow]), "text"):
+                found = shingle_sets(byte_texts(part.column("text")), words, size)
                 new, times = np.unique(np.concatenate([np.empty(0, np.uint64), *found]), return_counts=True)
                 keys, back = np.unique(np.concatenate([keys, new]), return_inverse=True)
                 total = np.zeros(len(keys), np.int64)
@@ -168,13 +188,13 @@ def _digest(hashes: np.ndarray) -> bytes:
 def _set_rows(frequent: np.ndarray, size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _Words()
-        for batch in slices(batches, "text"):
-            sets = [shingle_set(t, words, size) for t in byte_texts(batch.column("text"))]
+        for arrow in slices(batches, "text"):
+            sets = shingle_sets(byte_texts(arrow.column("text")), words, size)
             sizes = np.array([len(s) for s in sets], np.int64)
             bands = np.searchsorted(EDGES, sizes, "right") - 1
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id"),
+                    arrow.column("doc_id"),
                     pa.array([_digest(s) for s in sets], pa.binary()),
                     pa.array(sizes),
                     pa.array(bands.astype(np.int32)),
@@ -195,14 +215,15 @@ def _near(batches: Iterator[pa.RecordBatch], exact: bool) -> Iterator[pa.RecordB
         words = int(BAND_BITS[tile[1]]) // 64 if not exact else min(len(r[2]) for r in rows) // 8
         sigs = np.array([folded(np.frombuffer(r[2], np.uint64), words) for r in rows])
         sets = [np.frombuffer(r[3], np.uint64) for r in rows] if exact else None
-        a, b = spanning(np.array([r[1] for r in rows]), sigs, (lambda i, j: linked(sets[i], sets[j])) if exact else None)
+        test = (lambda i, j: linked(sets[i], sets[j])) if exact else None
+        a, b = spanning(np.array([r[1] for r in rows]), sigs, test, np.array([r[4] for r in rows]) if exact else None)
         ids = np.array([r[0] for r in rows])
         return pa.RecordBatch.from_arrays([pa.array(ids[a]), pa.array(ids[b])], names=["a", "b"])
 
-    columns = ["cid", "n", "sig", *(["set"] if exact else [])]
-    for batch in batches:
-        keys = zip(*(batch.column(c).to_pylist() for c in ("key", "band", "cell")))
-        for key, row in zip(keys, zip(*(batch.column(c).to_pylist() for c in columns))):
+    columns = ["cid", "n", "sig", *(["set", "label"] if exact else [])]
+    for arrow in batches:
+        keys = zip(*(arrow.column(c).to_pylist() for c in ("key", "band", "cell")))
+        for key, row in zip(keys, zip(*(arrow.column(c).to_pylist() for c in columns))):
             if key != tile:
                 if len(rows) > 1:
                     yield links()
@@ -275,10 +296,9 @@ def _wanted_sets(ones: np.ndarray, size: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _Words()
-        for batch in slices(batches, "text"):
+        for arrow in slices(batches, "text"):
             rows = []
-            for text in byte_texts(batch.column("text")):
-                hashes = shingle_set(text, words, size)
+            for hashes in shingle_sets(byte_texts(arrow.column("text")), words, size):
                 digest = _digest(hashes)
                 bit = xxhash.xxh64_intdigest(digest, 42) - (xxhash.xxh64_intdigest(digest, 42) >> 63 << 64)
                 bit %= len(ones) * 64
@@ -291,21 +311,62 @@ def _wanted_sets(ones: np.ndarray, size: int):
     return run
 
 
+def _each(n: Column) -> Column:
+    return F.sequence(F.lit(0).cast("long"), n - 1)
+
+
 def _confirmed(texts: DataFrame, candidates: DataFrame, classes: DataFrame, folder: str, size: int) -> DataFrame:
-    """(a, b): exact links that connect all classes within the groups that the candidates span."""
+    """(a, b): exact links that connect all classes within the groups that the candidates span.
+
+    A group of more than CELL shingles is cut into chunks. First each chunk is settled, with one leading class in all of them, which
+    connects most copies of one text. Then those that aren't connected to the largest part of their group meet all others.
+    """
     roots = components(candidates, f"{folder}/candidates").withColumnRenamed("node", "cid")
     wanted = stored(classes.join(roots, "cid").select("cid", "digest", "n", "sig", "root"), folder, "wanted")
-    totals = wanted.groupBy("root").agg(F.count("*").alias("members"), F.sum("n").alias("shingles"))
-    placed = join_groups(wanted, stored(totals, folder, "totals"), "root", "members", "inner")
+    totals = wanted.groupBy("root").agg(F.count("*").alias("members"), F.sum("n").alias("shingles"), F.min("cid").alias("leader"))
+    placed = stored(join_groups(wanted, stored(totals, folder, "totals"), "root", "members", "inner"), folder, "placed")
     ones = _filter_bits(wanted.select("digest"), wanted.count())
-    sets = texts.select("text").mapInArrow(_wanted_sets(ones, size), "digest binary, set binary")
-    sets = sets.groupBy("digest").agg(F.first("set").alias("set"))
-    cells = placed.select(
-        "cid", "digest", "n", "sig", F.col("root").alias("key"), F.lit(0).alias("band"), _cells(F.col("shingles"), CELL).alias("cells")
-    )
+    found = texts.select("text").mapInArrow(_wanted_sets(ones, size), "digest binary, set binary")
+    found = found.groupBy("digest").agg(F.first("set").alias("set"))
     # Sets grow with the input, so neither side is broadcast.
-    rows = cells.hint("merge").join(sets, "digest").withColumn("cell", F.explode("cells")).drop("cells", "digest")
-    return _dealt(rows, _exact)
+    sets = stored(placed.select("cid", "digest").hint("merge").join(found, "digest").select("cid", "set"), folder, "sets")
+
+    def links(rows: DataFrame) -> DataFrame:
+        rows = rows.select("cid", "n", "sig", F.col("root").alias("key"), F.lit(0).alias("band"), "cells", "label")
+        with_sets = rows.hint("merge").join(sets, "cid").withColumn("cell", F.explode("cells")).drop("cells")
+        return _dealt(with_sets, _exact)
+
+    def chunks(shingles: str) -> Column:
+        return F.greatest(F.ceil(F.col(shingles) / CELL), F.lit(1)).cast("long")
+
+    def chunk(of: Column) -> Column:
+        return F.pmod(F.xxhash64("cid"), of)
+
+    own = F.array(chunk(chunks("shingles")))
+    cells = F.when(F.col("cid") == F.col("leader"), _each(chunks("shingles"))).otherwise(own)
+    near = stored(links(placed.withColumns({"cells": cells, "label": F.col("cid")})), folder, "near")
+
+    parts = components(near, f"{folder}/near-parts").select(F.col("node").alias("cid"), F.col("root").alias("part"))
+    cut = placed.filter(chunks("shingles") > 1).join(parts, "cid", "left").withColumn("label", F.coalesce("part", "cid"))
+    cut = stored(cut.drop("part"), folder, "cut")
+    sizes = cut.groupBy("root", "label").agg(F.sum("n").alias("shingles_of"), F.count("*").alias("n_of"))
+    split = sizes.groupBy("root").agg(
+        F.max_by("label", F.struct("shingles_of", "label")).alias("main"),
+        F.max("shingles_of").alias("main_shingles"),
+        (F.sum("shingles_of") - F.max("shingles_of")).alias("rest_shingles"),
+        F.sum("n_of").alias("uses"),
+    )
+    split = stored(split.filter("rest_shingles > 0"), folder, "split")
+    rows = join_groups(cut, split, "root", "uses", "inner")
+    m, r = chunks("main_shingles"), chunks("rest_shingles")
+    rest = chunk(r)
+    cells = F.when(F.col("label") == F.col("main"), F.transform(_each(r), lambda j: chunk(m) * r + j)).otherwise(
+        F.concat(
+            F.transform(_each(m), lambda i: i * r + rest),
+            F.transform(_each(r), lambda j: m * r + F.least(j, rest) * r + F.greatest(j, rest)),
+        )
+    )
+    return near.unionByName(links(rows.withColumn("cells", cells)))
 
 
 def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
