@@ -17,7 +17,7 @@ SAMPLE, LOWERED = 8, 0.4
 #: Bits per phrase of a filter, and bits of the largest one, which is broadcast (16 MB).
 FILTER_RATE, FILTER_BITS = 16, 1 << 27
 #: Bytes of text that are counted at once.
-SLICE = 8 << 20
+SLICE = 4 << 20
 
 _END = b"\xff"
 #: A to Z in lower case, a tab as a blank, and one mark for all characters that end a piece.
@@ -62,95 +62,148 @@ def filter_of(phrases: DataFrame) -> np.ndarray:
     return out.view(np.uint64)
 
 
-def phrase_counts(
-    texts: list[bytes], lang: str, most: int, known: _Filter | None, fresh: _Filter | None
-) -> Iterator[tuple[int, list[str], np.ndarray, np.ndarray]]:
-    """For each length: phrases, their hashes and how often they occur, overlaps included. Length 0 has the number of all words.
+class _Index(dict):
+    """Numbers of words, from 1, and their hashes by number; 0 stands for the end of a piece."""
+
+    def __init__(self):
+        super().__init__({_END: 0})
+        self.names, self.hashes = [_END], [0]
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = n = len(self.names)
+        self.names.append(word)
+        self.hashes.append(xxhash.xxh64_intdigest(word))
+        return n
+
+    def numbers(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The words of all texts as numbers, and the hash of each number."""
+        if len(self.names) > 1_000_000:
+            self.clear()
+            self.__init__()
+        ids: list[int] = []
+        for text in texts:
+            ids += map(self.__getitem__, filter(None, words_of(text)))
+            ids.append(0)
+        return np.array(ids, np.int64), np.array(self.hashes, np.uint64)
+
+
+def _seed(lang: str) -> np.uint64:
+    return np.uint64(xxhash.xxh64_intdigest(lang.encode()))
+
+
+def _following(at: np.ndarray) -> np.ndarray:
+    """Places i of ``at`` whose next start is the next word: the phrases there make one that is longer by a word."""
+    return np.flatnonzero(at[1:] == at[:-1] + 1)
+
+
+def hash_counts(
+    texts: list[bytes], index: _Index, lang: str, lengths: range, known: _Filter | None, fresh: _Filter | None
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Hashes of the phrases of these lengths and how often they occur, overlaps included.
 
     Without filters, all phrases. With ``known``, all words, and longer phrases whose first k - 1 and last k - 1 words are
     both known: the known phrases and their negative border. With ``fresh`` too, only those of which one of both parts is fresh.
-    Phrases are told apart by whole numbers that stand for them, never by hash.
     """
-    index: dict[bytes, int] = {_END: 0}
-    ids = []
-    for text in texts:
-        ids += [index.setdefault(w, len(index)) for w in words_of(text) if w]
-        ids.append(0)
-    del texts
-    word = np.array(ids, np.int64)
-    names = list(index)
-    hashed = np.array([xxhash.xxh64_intdigest(w) for w in names], np.uint64)
-    seed = np.uint64(xxhash.xxh64_intdigest(lang.encode()))
+    word, hashed = index.numbers(texts)
     at = np.flatnonzero(word)  # where the phrases of this length start
-    if fresh is None and len(at):
-        yield 0, [""], np.zeros(1, np.uint64), np.array([len(at)])
-    phrase, size = word[at], len(names)  # the number of the phrase at each start
-    hashes = _mixed(np.full(size, seed, np.uint64), hashed)
-    first = np.zeros(size, np.int64)
-    first[phrase[::-1]] = at[::-1]
-    for k in range(1, most + 1):
+    h = _mixed(_seed(lang), hashed[word[at]])
+    show = np.full(len(at), fresh is None)
+    for k in range(1, lengths.stop):
         if k > 1:
-            # The phrase at i and the one at i + 1, both of k - 1 words, make the phrase of k words at i.
-            i = np.flatnonzero(at[1:] == at[:-1] + 1)
-            left, right = phrase[i], phrase[i + 1]
+            i = _following(at)
             if known is not None:
-                have = known.may_have(hashes)
-                keep = have[left] & have[right]
-                if fresh is not None:
-                    new = fresh.may_have(hashes)
-                    keep_fresh = keep & (new[left] | new[right])
-                    counted = keep_fresh[keep]
-                i, left = i[keep], left[keep]
-            at_new = at[i]
-            code = left * len(names) + word[at_new + k - 1]
-            _, where, phrase = np.unique(code, return_index=True, return_inverse=True)
-            phrase = phrase.reshape(-1)
-            hashes = _mixed(hashes[left[where]], hashed[word[at_new[where] + k - 1]])
-            at, size = at_new, len(where)
-            first = at[where]
+                have = known.may_have(h)
+                i = i[have[i] & have[i + 1]]
+            show = np.ones(len(i), bool)
+            if fresh is not None:
+                new = fresh.may_have(h)
+                show = new[i] | new[i + 1]
+            at = at[i]
+            h = _mixed(h[i], hashed[word[at + k - 1]])
+        if k in lengths and show.any():
+            yield np.unique(h[show], return_counts=True)
+
+
+def phrase_counts(
+    texts: list[bytes], index: _Index, lang: str, most: int, only: _Filter
+) -> Iterator[tuple[int, list[str], np.ndarray, np.ndarray]]:
+    """For each length: the phrases in the filter, their hashes and how often they occur. Length 0 has the number of all words.
+
+    Phrases are told apart by whole numbers that stand for them, never by hash. The parts of a phrase in the filter are in it too.
+    """
+    word, hashed = index.numbers(texts)
+    at = np.flatnonzero(word)
+    if not len(at):
+        return
+    yield 0, [""], np.zeros(1, np.uint64), np.array([len(at)])
+    phrase, base = word[at], len(hashed)  # the number of the phrase at each start
+    hashes = _mixed(np.full(base, _seed(lang)), hashed)
+    for k in range(1, most + 1):
+        have = only.may_have(hashes)
+        if k > 1:
+            i = _following(at)
+            i = i[have[phrase[i]] & have[phrase[i + 1]]]
+            left, at = phrase[i], at[i]
+            last = word[at + k - 1]
+            _, where, phrase = np.unique(left * base + last, return_index=True, return_inverse=True)
+            hashes = _mixed(hashes[left[where]], hashed[last[where]])
+            phrase, have = phrase.reshape(-1), only.may_have(hashes)
         if not len(at):
             return
-        times = np.bincount(phrase, minlength=size)
-        show = times > 0
-        if fresh is not None:
-            if k == 1:
-                show[:] = False
-            else:
-                show &= np.bincount(phrase[counted], minlength=size) > 0
-        shown = np.flatnonzero(show)
-        texts_of = [b" ".join([names[w] for w in word[p : p + k]]).decode() for p in first[shown].tolist()]
-        yield k, texts_of, hashes[shown], times[shown]
-
-
-def _count(most: int, known: np.ndarray | None, fresh: np.ndarray | None):
+        times = np.bincount(phrase, minlength=len(hashes))
+        first = np.zeros(len(hashes), np.int64)
+        first[phrase] = at
+        shown = np.flatnonzero(have & (times > 0))
+        names = [b" ".join([index.names[w] for w in word[p : p + k]]).decode() for p in first[shown].tolist()]
+        yield k, names, hashes[shown], times[shown]
+
+
+def _by_lang(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes]]]:
+    for arrow in slices(batches, "text", SLICE):
+        langs: dict[str, list[bytes]] = {}
+        for lang, text in zip(arrow.column("lang").to_pylist(), byte_texts(arrow.column("text"))):
+            langs.setdefault(lang, []).append(text)
+        yield from langs.items()
+
+
+def _hash_rows(lengths: range, known: np.ndarray | None, fresh: np.ndarray | None):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        filters, index = [None if f is None else _Filter(f) for f in (known, fresh)], _Index()
+        for lang, texts in _by_lang(batches):
+            for hashes, times in hash_counts(texts, index, lang, lengths, *filters):
+                yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(times.astype(np.int64))], names=["hash", "n"])
+
+    return run
+
+
+def _phrase_rows(most: int, only: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        filters = [None if f is None else _Filter(f) for f in (known, fresh)]
-        for batch in slices(batches, "text", SLICE):
-            langs: dict[str, list[bytes]] = {}
-            for lang, text in zip(batch.column("lang").to_pylist(), byte_texts(batch.column("text"))):
-                langs.setdefault(lang, []).append(text)
-            for lang, texts in langs.items():
-                for k, names, hashes, times in phrase_counts(texts, lang, most, *filters):
-                    n = len(names)
-                    if n:
-                        yield pa.RecordBatch.from_arrays(
-                            [
-                                pa.array([lang] * n, pa.string()),
-                                pa.array(names, pa.string()),
-                                pa.array(np.full(n, k, np.int32)),
-                                pa.array(hashes.view(np.int64)),
-                                pa.array(times.astype(np.int64)),
-                            ],
-                            names=["lang", "phrase", "k", "hash", "n"],
-                        )
+        index = _Index()
+        for lang, texts in _by_lang(batches):
+            for k, names, hashes, times in phrase_counts(texts, index, lang, most, _Filter(only)):
+                columns = [
+                    pa.array([lang] * len(names), pa.string()),
+                    pa.array(names, pa.string()),
+                    pa.array(np.full(len(names), k, np.int32)),
+                    pa.array(hashes.view(np.int64)),
+                    pa.array(times.astype(np.int64)),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=["lang", "phrase", "k", "hash", "n"])
 
     return run
 
 
-def _counted(
-    texts: DataFrame, most: int, least: int, known: np.ndarray | None = None, fresh: np.ndarray | None = None
+def _frequent_hashes(
+    texts: DataFrame, lengths: range, least: int, known: np.ndarray | None = None, fresh: np.ndarray | None = None
 ) -> DataFrame:
-    rows = texts.mapInArrow(_count(most, known, fresh), _COUNTS)
+    """(hash, n): hashes whose phrases occur that often. Two phrases of one hash add up, so no frequent one is lost."""
+    rows = texts.mapInArrow(_hash_rows(lengths, known, fresh), "hash long, n long")
+    return rows.groupBy("hash").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
+
+
+def _frequent(texts: DataFrame, hashes: DataFrame, least: int, most: int) -> DataFrame:
+    """(lang, phrase, k, hash, n): exact counts of the phrases with these hashes, as texts."""
+    rows = texts.mapInArrow(_phrase_rows(most, filter_of(hashes)), _COUNTS)
     return rows.groupBy("lang", "phrase", "k", "hash").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
 
 
@@ -173,16 +226,15 @@ def _open(counts: DataFrame, fresh: DataFrame, most: int) -> bool:
     return not made.isEmpty()
 
 
-def _closed(texts: DataFrame, counts: DataFrame, fresh: DataFrame, least: int, most: int, folder: str) -> DataFrame:
-    """Adds what frequent phrases of which some are fresh make up, in passes until nothing new is frequent."""
-    step = 0
-    while _open(counts, fresh, most):
-        more = _counted(texts, most, least, filter_of(counts), filter_of(fresh))
-        # A filter may let through what an earlier pass has counted; both counts are whole, so one is left out.
-        fresh = stored(more.join(counts.select("lang", "phrase"), ["lang", "phrase"], "left_anti"), folder, f"fresh-{step}")
-        counts = stored(counts.unionByName(fresh), folder, f"closed-{step}")
-        step += 1
-    return counts
+def _proposed(drawn: DataFrame, floor: int, most: int, folder: str) -> DataFrame:
+    """Hashes of the phrases that are frequent in the sample, length by length."""
+    found = stored(_frequent_hashes(drawn, range(1, 3), floor), folder, "sample-2")
+    for k in range(3, most + 1):
+        more = stored(_frequent_hashes(drawn, range(k, k + 1), floor, filter_of(found)), folder, f"sample-{k}")
+        if more.isEmpty():
+            break
+        found = found.unionByName(more)
+    return found
 
 
 def frequent_phrases(
@@ -193,14 +245,25 @@ def frequent_phrases(
     Rows with k = 0 hold the words of a language. The sample proposes phrases at a lowered threshold. One full pass counts them and
     their negative border, which are the phrases that aren't proposed but whose parts are. Border phrases that turn
     out frequent were missed by the sample: what they and others make up is counted in further passes until nothing is left.
+
+    A pass counts by hash, which finds all frequent phrases and few others; these are then counted once more as texts. Filters
+    only let more through than they should, so every count is whole and exact.
     """
     drawn = texts.filter(F.pmod(F.xxhash64("id", "text"), F.lit(sample)) == 0)
-    floor = max(2, int(lowered * least / sample))
-    short = stored(_counted(drawn, 2, floor), folder, "short")
-    proposed = _closed(drawn, short, short.filter("k = 2"), floor, most, f"{folder}/sample")
-    counts = stored(_counted(texts, most, least, filter_of(proposed)), folder, "counts")
-    missed = counts.filter("k > 0").join(proposed.select("lang", "phrase"), ["lang", "phrase"], "left_anti")
-    return _closed(texts, counts, stored(missed, folder, "missed"), least, most, f"{folder}/all")
+    proposed = _proposed(drawn, max(2, int(lowered * least / sample)), most, folder)
+    hashes = stored(_frequent_hashes(texts, range(1, most + 1), least, filter_of(proposed)), folder, "hashes")
+    counts = stored(_frequent(texts, hashes, least, most), folder, "counts")
+    fresh = stored(counts.filter("k > 0").join(proposed.select("hash"), "hash", "left_anti"), folder, "missed")
+    step = 0
+    while _open(counts, fresh, most):
+        more = _frequent_hashes(texts, range(2, most + 1), least, filter_of(counts), filter_of(fresh))
+        hashes = hashes.unionByName(stored(more, folder, f"hashes-{step}"))
+        # Those counted before come again, with the same counts.
+        again = _frequent(texts, hashes, least, most)
+        fresh = stored(again.join(counts.select("lang", "phrase"), ["lang", "phrase"], "left_anti"), folder, f"fresh-{step}")
+        counts = stored(counts.unionByName(fresh.select(*counts.columns)), folder, f"counts-{step}")
+        step += 1
+    return counts
 
 
 def phrase_scores(counts: DataFrame) -> DataFrame:
