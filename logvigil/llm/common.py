@@ -60,13 +60,13 @@ def byte_texts(column: pa.Array) -> list[bytes]:
 
 def slices(batches: Iterator[pa.RecordBatch], text: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in slices of about ``most`` bytes of text, so that memory stays bounded."""
-    for batch in batches:
-        sizes = [x or 0 for x in pa.compute.binary_length(batch.column(text)).to_pylist()]
+    for arrow in batches:
+        sizes = [x or 0 for x in pa.compute.binary_length(arrow.column(text)).to_pylist()]
         start = held = 0
         for i, size in enumerate(sizes):
             if held and held + size > most:
-                yield batch.slice(start, i - start)
+                yield arrow.slice(start, i - start)
                 start, held = i, 0
             held += size
         if start < len(sizes):
-            yield batch.slice(start)
+            yield arrow.slice(start)

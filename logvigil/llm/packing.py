@@ -144,8 +144,8 @@ def _pack(path: str, window: int, end_id: int):
                 columns[5] = pa.compute.add(columns[5], pa.scalar(first, pa.int64()))
                 yield pa.RecordBatch.from_arrays(columns, schema=_SCHEMA)
 
-        for batch in slices(batches, "text"):
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+        for arrow in slices(batches, "text"):
+            for doc_id, text in zip(arrow.column("doc_id").to_pylist(), arrow.column("text").to_pylist()):
                 packer.add(doc_id, np.concatenate([encode(text), end]))
             yield from rows()
         packer.close()

@@ -76,12 +76,12 @@ def fit(terms: np.ndarray, labels: np.ndarray, rank: int = RANK, neighbours: int
 
 
 def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches, "text"):
-        found = [terms_of(t) for t in byte_texts(batch.column("text"))]
+    for arrow in slices(batches, "text"):
+        found = [terms_of(t) for t in byte_texts(arrow.column("text"))]
         at = [np.flatnonzero(x) for x in found]
         yield pa.RecordBatch.from_arrays(
             [
-                batch.column("y"),
+                arrow.column("y"),
                 pa.array([x.astype(np.int32) for x in at], pa.list_(pa.int32())),
                 pa.array([x[i] for x, i in zip(found, at)], pa.list_(pa.float32())),
             ],
@@ -126,14 +126,14 @@ def train(
 
 def _score(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "_text"):
+        for arrow in slices(batches, "_text"):
             found = []
-            texts = byte_texts(batch.column("_text"))
+            texts = byte_texts(arrow.column("_text"))
             for a in range(0, len(texts), 512):
                 found.append(model.value.scores(np.stack([terms_of(t) for t in texts[a : a + 512]])))
-            names = [n for n in batch.schema.names if n != "_text"]
+            names = [n for n in arrow.schema.names if n != "_text"]
             yield pa.RecordBatch.from_arrays(
-                [*[batch.column(n) for n in names], pa.array(np.concatenate(found))], names=[*names, "score"]
+                [*[arrow.column(n) for n in names], pa.array(np.concatenate(found))], names=[*names, "score"]
             )
 
     return run

@@ -40,7 +40,7 @@ def op3_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log probabilities of all documents under a model of those outside the held-out fold."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = fold("doc_id", 7) == 2
-    plan = train_ngrams(docs.filter(~held_out), least_trigram=1)
+    plan = train_ngrams(docs.filter(~held_out))
     return lm_scores(docs.withColumn("held_out", held_out), plan).select(
         "doc.doc_id",
         "doc.held_out",
@@ -166,12 +166,12 @@ w AS (
          concat(line, chr(10), lead(line, 1) OVER v, chr(10), lead(line, 2) OVER v) AS win
   FROM l WHERE line <> '' WINDOW v AS (PARTITION BY doc_id ORDER BY pos)),
 r AS (
-  SELECT *, row_number() OVER (PARTITION BY win ORDER BY doc_id, first) AS nth
-  FROM w WHERE last IS NOT NULL),
+  SELECT doc_id, last, row_number() OVER v AS nth,
+         CASE WHEN first_value(doc_id) OVER v = doc_id THEN greatest(first, first_value(last) OVER v + 1) ELSE first END AS start
+  FROM w WHERE last IS NOT NULL WINDOW v AS (PARTITION BY win ORDER BY doc_id, first)),
 marked AS (
-  SELECT l.doc_id, l.pos,
-         bool_or(r.nth > 1) AND NOT bool_or(r.nth = 1 AND r.win IN (SELECT win FROM r WHERE nth = 2)) AS gone
-  FROM l JOIN r ON r.doc_id = l.doc_id AND l.pos BETWEEN r.first AND r.last GROUP BY ALL)
+  SELECT l.doc_id, l.pos, bool_or(r.nth > 1) AS gone
+  FROM l JOIN r ON r.doc_id = l.doc_id AND l.pos BETWEEN r.start AND r.last GROUP BY ALL)
 SELECT d.doc_id, len(d.lines) AS n_lines,
        (SELECT count(*) FROM marked m WHERE m.doc_id = d.doc_id AND gone) AS n_removed,
        coalesce((SELECT string_agg(CAST(pos AS VARCHAR), ',' ORDER BY pos) FROM marked m WHERE m.doc_id = d.doc_id AND gone), '') AS removed,

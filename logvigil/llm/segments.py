@@ -253,14 +253,14 @@ def segmenter(path: str, n: int) -> Segmenter:
 def _segment(path: str, n: int, place: int):
     def texts_beside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The documents cross over once; their text is looked up here."""
-        for batch in batches:
-            doc = batch.column("doc")
+        for arrow in batches:
+            doc = arrow.column("doc")
             yield pa.RecordBatch.from_arrays([doc, pc.struct_field(doc, [place]).cast(pa.string())], names=["doc", "_text"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, raw = segmenter(path, n), piece_bytes(path)
-        for batch in slices(texts_beside(batches), "_text", 2 << 20):
-            texts = [t or "" for t in batch.column("_text").to_pylist()]
+        for arrow in slices(texts_beside(batches), "_text", 2 << 20):
+            texts = [t or "" for t in arrow.column("_text").to_pylist()]
             found = held.segment(texts)
             same = pa.array([text_of(raw, one[0][1]) == t for t, one in zip(texts, found)], pa.bool_())
             every = [x for one in found for x in one]
@@ -269,7 +269,7 @@ def _segment(path: str, n: int, place: int):
             outer = pa.array(np.cumsum([0, *map(len, found)]), pa.int32())
             scores = pa.array([s for s, _ in every], pa.float64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc"), pa.ListArray.from_arrays(outer, lists), pa.ListArray.from_arrays(outer, scores), same],
+                [arrow.column("doc"), pa.ListArray.from_arrays(outer, lists), pa.ListArray.from_arrays(outer, scores), same],
                 names=["doc", "ids", "scores", "round_trip"],
             )
 

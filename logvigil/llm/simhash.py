@@ -46,10 +46,10 @@ def fingerprints(hashes: list[np.ndarray]) -> np.ndarray:
 
 def _fingerprint_rows(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
-            fps = fingerprints([shingle_hashes(t, words) for t in byte_texts(batch.column("text"))])
+        for arrow in slices(batches, "text"):
+            fps = fingerprints([shingle_hashes(t, words) for t in byte_texts(arrow.column("text"))])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("row"), pa.array(fps.view(np.int64))],
+                [arrow.column("doc_id"), arrow.column("row"), pa.array(fps.view(np.int64))],
                 names=["doc_id", "row", "fp"],
             )
 
@@ -182,10 +182,10 @@ def _compare(radius: int, most: int = 1 << 18):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, fps = np.empty((0, 2), np.int64), np.empty(0, np.uint64)
-        for batch in batches:
-            new = np.column_stack([batch.column("bucket").to_numpy(), batch.column("cell").to_numpy()])
+        for arrow in batches:
+            new = np.column_stack([arrow.column("bucket").to_numpy(), arrow.column("cell").to_numpy()])
             keys = np.concatenate([keys, new])
-            fps = np.concatenate([fps, batch.column("fp").to_numpy().view(np.uint64)])
+            fps = np.concatenate([fps, arrow.column("fp").to_numpy().view(np.uint64)])
             if len(keys) > most:
                 cut = int(np.flatnonzero((keys != keys[-1]).any(axis=1))[-1:].sum()) + 1
                 if (keys[0] != keys[-1]).any():
