@@ -20,7 +20,7 @@ TILE, CELL = 4096, 1 << 21
 #: Counters of a task's sketch of frequent shingles, and frequent shingles that are put last in the common order.
 COUNTERS, FREQUENT = 4096, 1 << 16
 #: Bits of the shortest and the longest signature, and of the largest filter that is broadcast (16 MB).
-BITS, FILTER_BITS = (64, 2048), 1 << 27
+BITS, FILTER_BITS = (64, 1 << 15), 1 << 27
 
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 

@@ -100,6 +100,6 @@ def test_bounds_never_lose_a_link():
             assert bands[1] - bands[0] <= 1
             assert set(J.prefix(base, frequent)) & set(J.prefix(other, frequent))
             bits = int(J.BAND_BITS[bands[0]])
-            sigs = np.array([J.folded(J.signature(x, 2048), bits // 64) for x in sorted([base, other], key=len)])
+            sigs = np.array([J.folded(J.signature(x, 1 << 15), bits // 64) for x in sorted([base, other], key=len)])
             assert (sigs[0] == J.signature(min(base, other, key=len), bits)).all()
             assert len(J.spanning(sizes, sigs)[0]) == 1
