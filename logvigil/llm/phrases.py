@@ -4,6 +4,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -14,21 +15,26 @@ from logvigil.llm.common import byte_texts, slices, stored, work_folder
 LEAST, WORDS, TOP = 100, 5, 2000
 #: One document in SAMPLE is in the sample, where a phrase needs this share of the occurrences that its part of LEAST would be.
 SAMPLE, LOWERED = 8, 0.4
-#: Bits per phrase of a filter, and bits of the largest one, which is broadcast (16 MB).
-FILTER_RATE, FILTER_BITS = 16, 1 << 27
-#: Bytes of text that are counted at once.
-SLICE = 4 << 20
+#: Bits per phrase of a filter, and bits of the smallest and the largest one (16 MB), which tasks get with their code.
+FILTER_RATE, LEAST_BITS, FILTER_BITS = 16, 1 << 20, 1 << 27
+#: Bytes of text that are counted at once, and phrases that a task adds up before it passes them on.
+SLICE, HELD = 4 << 20, 300_000
 
 _END = b"\xff"
 #: A to Z in lower case, a tab as a blank, and one mark for all characters that end a piece.
 _MARKS = bytes(b + 32 if 65 <= b <= 90 else 32 if b == 9 else 10 if 10 <= b <= 13 or b in b".,;:!?" else b for b in range(256))
 _ODD = np.uint64(0x9E3779B97F4A7C15)
-_COUNTS = "lang string, phrase string, k int, hash long, n long"
+_COUNTS = "lang string, phrase string, k int, n long"
 
 
-def words_of(text: bytes) -> list[bytes]:
-    """Words in order; a byte that no text holds stands where a piece ends."""
-    return text.translate(_MARKS).replace(b"\n", b" \xff ").split(b" ")
+def numbered(texts: list[bytes]) -> tuple[np.ndarray, list[bytes], np.ndarray]:
+    """Words of all texts as numbers, 0 where a piece ends (no text holds the byte that stands there); names and hashes of the numbers."""
+    ends = b" " + _END + b" "
+    marked = _END + b" " + b"\n".join(texts).translate(_MARKS).replace(b"\n", ends) + ends
+    found = pc.split_pattern(pa.array([marked], pa.large_binary()), b" ").values.dictionary_encode()
+    names, ids = found.dictionary.to_pylist(), found.indices.to_numpy()
+    hashes = np.fromiter(map(xxhash.xxh64_intdigest, names), np.uint64, len(names))
+    return ids[ids != names.index(b"")].astype(np.int64), names, hashes
 
 
 def _mixed(h: np.ndarray, w: np.ndarray) -> np.ndarray:
@@ -49,7 +55,7 @@ class _Filter:
 
 def filter_of(phrases: DataFrame) -> np.ndarray:
     """Bits of the hashes of a table of phrases, at most FILTER_BITS of them: 16 MB. A full filter costs time, not results."""
-    bits = min(FILTER_BITS, max(1 << 12, 1 << (FILTER_RATE * phrases.count()).bit_length()))
+    bits = min(FILTER_BITS, max(LEAST_BITS, 1 << (FILTER_RATE * phrases.count()).bit_length()))
     bit = F.col("hash").bitwiseAND(F.lit(bits - 1).cast("long"))
     words = (
         phrases.select(F.shiftright(bit, 6).alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), (bit % 64).cast("int")).alias("one"))
@@ -62,31 +68,6 @@ def filter_of(phrases: DataFrame) -> np.ndarray:
     return out.view(np.uint64)
 
 
-class _Index(dict):
-    """Numbers of words, from 1, and their hashes by number; 0 stands for the end of a piece."""
-
-    def __init__(self):
-        super().__init__({_END: 0})
-        self.names, self.hashes = [_END], [0]
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = n = len(self.names)
-        self.names.append(word)
-        self.hashes.append(xxhash.xxh64_intdigest(word))
-        return n
-
-    def numbers(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """The words of all texts as numbers, and the hash of each number."""
-        if len(self.names) > 1_000_000:
-            self.clear()
-            self.__init__()
-        ids: list[int] = []
-        for text in texts:
-            ids += map(self.__getitem__, filter(None, words_of(text)))
-            ids.append(0)
-        return np.array(ids, np.int64), np.array(self.hashes, np.uint64)
-
-
 def _seed(lang: str) -> np.uint64:
     return np.uint64(xxhash.xxh64_intdigest(lang.encode()))
 
@@ -97,14 +78,15 @@ def _following(at: np.ndarray) -> np.ndarray:
 
 
 def hash_counts(
-    texts: list[bytes], index: _Index, lang: str, lengths: range, known: _Filter | None, fresh: _Filter | None
+    texts: list[bytes], lang: str, lengths: range, known: _Filter | None, fresh: _Filter | None
 ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Hashes of the phrases of these lengths and how often they occur, overlaps included.
 
     Without filters, all phrases. With ``known``, all words, and longer phrases whose first k - 1 and last k - 1 words are
-    both known: the known phrases and their negative border. With ``fresh`` too, only those of which one of both parts is fresh.
+    both known: the known phrases and their negative border. With ``fresh`` too, only what holds a fresh phrase, at any distance: a part
+    counts as known if it is shown here itself.
     """
-    word, hashed = index.numbers(texts)
+    word, _, hashed = numbered(texts)
     at = np.flatnonzero(word)  # where the phrases of this length start
     h = _mixed(_seed(lang), hashed[word[at]])
     show = np.full(len(at), fresh is None)
@@ -113,29 +95,27 @@ def hash_counts(
             i = _following(at)
             if known is not None:
                 have = known.may_have(h)
+                if fresh is not None:
+                    new = show | (have & fresh.may_have(h))
+                    have |= show
                 i = i[have[i] & have[i + 1]]
-            show = np.ones(len(i), bool)
-            if fresh is not None:
-                new = fresh.may_have(h)
-                show = new[i] | new[i + 1]
+            show = np.ones(len(i), bool) if fresh is None else new[i] | new[i + 1]
             at = at[i]
             h = _mixed(h[i], hashed[word[at + k - 1]])
         if k in lengths and show.any():
             yield np.unique(h[show], return_counts=True)
 
 
-def phrase_counts(
-    texts: list[bytes], index: _Index, lang: str, most: int, only: _Filter
-) -> Iterator[tuple[int, list[str], np.ndarray, np.ndarray]]:
-    """For each length: the phrases in the filter, their hashes and how often they occur. Length 0 has the number of all words.
+def phrase_counts(texts: list[bytes], lang: str, most: int, only: _Filter) -> Iterator[tuple[list[bytes], np.ndarray]]:
+    """For each length: the phrases in the filter and how often they occur. The empty phrase has the number of all words.
 
     Phrases are told apart by whole numbers that stand for them, never by hash. The parts of a phrase in the filter are in it too.
     """
-    word, hashed = index.numbers(texts)
+    word, terms, hashed = numbered(texts)
     at = np.flatnonzero(word)
     if not len(at):
         return
-    yield 0, [""], np.zeros(1, np.uint64), np.array([len(at)])
+    yield [b""], np.array([len(at)])
     phrase, base = word[at], len(hashed)  # the number of the phrase at each start
     hashes = _mixed(np.full(base, _seed(lang)), hashed)
     for k in range(1, most + 1):
@@ -154,8 +134,8 @@ def phrase_counts(
         first = np.zeros(len(hashes), np.int64)
         first[phrase] = at
         shown = np.flatnonzero(have & (times > 0))
-        names = [b" ".join([index.names[w] for w in word[p : p + k]]).decode() for p in first[shown].tolist()]
-        yield k, names, hashes[shown], times[shown]
+        columns = [word[first[shown] + j].tolist() for j in range(k)]
+        yield [b" ".join([terms[w] for w in words]) for words in zip(*columns)], times[shown]
 
 
 def _by_lang(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes]]]:
@@ -168,27 +148,36 @@ def _by_lang(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[byte
 
 def _hash_rows(lengths: range, known: np.ndarray | None, fresh: np.ndarray | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        filters, index = [None if f is None else _Filter(f) for f in (known, fresh)], _Index()
+        filters = [None if f is None else _Filter(f) for f in (known, fresh)]
         for lang, texts in _by_lang(batches):
-            for hashes, times in hash_counts(texts, index, lang, lengths, *filters):
+            for hashes, times in hash_counts(texts, lang, lengths, *filters):
                 yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(times.astype(np.int64))], names=["hash", "n"])
 
     return run
 
 
 def _phrase_rows(most: int, only: np.ndarray):
+    def rows_of(held: dict[str, dict[bytes, int]]) -> Iterator[pa.RecordBatch]:
+        for lang, counts in held.items():
+            columns = [
+                pa.array([lang] * len(counts), pa.string()),
+                pa.array(list(counts), pa.binary()).cast(pa.string()),
+                pa.array([p.count(b" ") + 1 if p else 0 for p in counts], pa.int32()),
+                pa.array(list(counts.values()), pa.int64()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["lang", "phrase", "k", "n"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = _Index()
+        held: dict[str, dict[bytes, int]] = {}
         for lang, texts in _by_lang(batches):
-            for k, names, hashes, times in phrase_counts(texts, index, lang, most, _Filter(only)):
-                columns = [
-                    pa.array([lang] * len(names), pa.string()),
-                    pa.array(names, pa.string()),
-                    pa.array(np.full(len(names), k, np.int32)),
-                    pa.array(hashes.view(np.int64)),
-                    pa.array(times.astype(np.int64)),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, names=["lang", "phrase", "k", "hash", "n"])
+            counts = held.setdefault(lang, {})
+            for names, times in phrase_counts(texts, lang, most, _Filter(only)):
+                for name, n in zip(names, times.tolist()):
+                    counts[name] = counts.get(name, 0) + n
+            if sum(map(len, held.values())) > HELD:
+                yield from rows_of(held)
+                held = {}
+        yield from rows_of(held)
 
     return run
 
@@ -202,9 +191,9 @@ def _frequent_hashes(
 
 
 def _frequent(texts: DataFrame, hashes: DataFrame, least: int, most: int) -> DataFrame:
-    """(lang, phrase, k, hash, n): exact counts of the phrases with these hashes, as texts."""
+    """(lang, phrase, k, n): exact counts of the phrases with these hashes, as texts."""
     rows = texts.mapInArrow(_phrase_rows(most, filter_of(hashes)), _COUNTS)
-    return rows.groupBy("lang", "phrase", "k", "hash").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
+    return rows.groupBy("lang", "phrase", "k").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
 
 
 def _first_words(words: Column) -> Column:
@@ -215,17 +204,6 @@ def _last_words(words: Column) -> Column:
     return _first_words(-words)
 
 
-def _open(counts: DataFrame, fresh: DataFrame, most: int) -> bool:
-    """Whether two frequent phrases overlap to a longer one of which a part is fresh, so that it isn't counted yet."""
-    inner = F.col("k") - 1
-    key = ["lang", "k", "core"]
-    starts, ends = (phrases_of.select("lang", "k", _first_words(inner).alias("core")) for phrases_of in (counts, fresh))
-    after, before = (phrases_of.select("lang", "k", _last_words(inner).alias("core")) for phrases_of in (fresh, counts))
-    short = F.col("k").between(1, most - 1)
-    made = after.filter(short).join(starts, key, "left_semi").unionByName(ends.filter(short).join(before, key, "left_semi"))
-    return not made.isEmpty()
-
-
 def _proposed(drawn: DataFrame, floor: int, most: int, folder: str) -> DataFrame:
     """Hashes of the phrases that are frequent in the sample, length by length."""
     found = stored(_frequent_hashes(drawn, range(1, 3), floor), folder, "sample-2")
@@ -240,30 +218,26 @@ def _proposed(drawn: DataFrame, floor: int, most: int, folder: str) -> DataFrame
 def frequent_phrases(
     texts: DataFrame, folder: str, least: int = LEAST, most: int = WORDS, sample: int = SAMPLE, lowered: float = LOWERED
 ) -> DataFrame:
-    """(lang, phrase, k, hash, n): phrases of up to ``most`` words that occur ``least`` times or more in all texts (id, lang, text).
+    """(lang, phrase, k, n): phrases of up to ``most`` words that occur ``least`` times or more in all texts (id, lang, text).
 
     Rows with k = 0 hold the words of a language. The sample proposes phrases at a lowered threshold. One full pass counts them and
     their negative border, which are the phrases that aren't proposed but whose parts are. Border phrases that turn
-    out frequent were missed by the sample: what they and others make up is counted in further passes until nothing is left.
+    out frequent were missed by the sample, and a further pass counts what they make up, through all lengths at once. That closes the set: a
+    frequent phrase without a missed one inside has parts that are all proposed, so the first pass counted it; one with a missed one
+    inside is counted here, since each part of it is frequent and so either known or counted here too.
 
-    A pass counts by hash, which finds all frequent phrases and few others; these are then counted once more as texts. Filters
+    Passes count by hash, which finds all frequent phrases and few others; these are then counted once more as texts. Filters
     only let more through than they should, so every count is whole and exact.
     """
-    drawn = texts.filter(F.pmod(F.xxhash64("id", "text"), F.lit(sample)) == 0)
-    proposed = _proposed(drawn, max(2, int(lowered * least / sample)), most, folder)
-    hashes = stored(_frequent_hashes(texts, range(1, most + 1), least, filter_of(proposed)), folder, "hashes")
-    counts = stored(_frequent(texts, hashes, least, most), folder, "counts")
-    fresh = stored(counts.filter("k > 0").join(proposed.select("hash"), "hash", "left_anti"), folder, "missed")
-    step = 0
-    while _open(counts, fresh, most):
-        more = _frequent_hashes(texts, range(2, most + 1), least, filter_of(counts), filter_of(fresh))
-        hashes = hashes.unionByName(stored(more, folder, f"hashes-{step}"))
-        # Those counted before come again, with the same counts.
-        again = _frequent(texts, hashes, least, most)
-        fresh = stored(again.join(counts.select("lang", "phrase"), ["lang", "phrase"], "left_anti"), folder, f"fresh-{step}")
-        counts = stored(counts.unionByName(fresh.select(*counts.columns)), folder, f"counts-{step}")
-        step += 1
-    return counts
+    drawn = texts.filter(F.pmod(F.xxhash64("id", "text"), F.lit(sample)) == 0).select("lang", "text")
+    texts = texts.select("lang", "text")
+    proposed = _proposed(stored(drawn, folder, "sample"), max(2, int(lowered * least / sample)), most, folder)
+    known = stored(_frequent_hashes(texts, range(1, most + 1), least, filter_of(proposed)), folder, "known")
+    missed = stored(known.join(proposed.select("hash"), "hash", "left_anti"), folder, "missed")
+    if not missed.isEmpty():
+        more = _frequent_hashes(texts, range(2, most + 1), least, filter_of(known), filter_of(missed))
+        known = known.unionByName(stored(more, folder, "expanded"))
+    return stored(_frequent(texts, known, least, most), folder, "counts")
 
 
 def phrase_scores(counts: DataFrame) -> DataFrame:
