@@ -2,9 +2,11 @@
 
 import gc
 import heapq
+import sys
 from bisect import insort
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import batched, groupby
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +20,8 @@ from logvigil.llm.common import slices
 BEST, SPACE = 3, "▁"
 #: Distinct chunks that a worker remembers, and ids of theirs; beyond, it keeps those met most often.
 CHUNKS_KEPT, IDS_KEPT = 1 << 18, 1 << 22
+#: The lattices of so many chunks are made together; longer chunks than SHORT characters are done one by one.
+TOGETHER, SHORT = 4096, 64
 #: Added to the lowest score for a character that no piece covers.
 UNKNOWN = -10.0
 
@@ -46,6 +50,35 @@ def piece_bytes(path: str) -> np.ndarray:
     return out
 
 
+class Trie:
+    """The pieces as a trie: nodes are numbered, and a child is found by its parent and character."""
+
+    def __init__(self, ids: dict[str, int]):
+        numbers: dict[str, int] = {}
+        for piece in ids:
+            for k in range(1, len(piece) + 1):
+                numbers.setdefault(piece[:k], len(numbers))
+        self.depth = max(map(len, ids))
+        self.pieces = np.array([ids.get(p, -1) for p in numbers], np.int64)
+        self._ones = np.full(sys.maxunicode + 1, -1, np.int32)
+        roots = [(ord(p), i) for p, i in numbers.items() if len(p) == 1]
+        self._ones[[c for c, _ in roots]] = [i for _, i in roots]
+        children = {numbers[p[:-1]] << 21 | ord(p[-1]): i for p, i in numbers.items() if len(p) > 1}
+        keys, child = np.array(list(children), np.int64), np.array(list(children.values()), np.int64)
+        order = np.argsort(keys)
+        self._keys, self._child = keys[order], child[order]
+
+    def ones(self, points: np.ndarray) -> np.ndarray:
+        """The nodes of single characters, -1 where there is none."""
+        return self._ones[points]
+
+    def next(self, nodes: np.ndarray, points: np.ndarray) -> np.ndarray:
+        """The children of nodes by these characters, -1 where there is none."""
+        keys = nodes.astype(np.int64) << 21 | points
+        at = np.minimum(np.searchsorted(self._keys, keys), len(self._keys) - 1)
+        return np.where(self._keys[at] == keys, self._child[at], -1)
+
+
 class Pieces:
     """Pieces and scores of a model file, and the lattice that they span over a text."""
 
@@ -56,66 +89,201 @@ class Pieces:
         ids = range(model.get_piece_size())
         special = [model.is_byte(i) or model.is_control(i) or model.is_unknown(i) or model.is_unused(i) for i in ids]
         self.scores = {model.id_to_piece(i): (i, model.get_score(i)) for i in ids if not special[i]}
-        self.prefixes: dict = {p[:k]: () for p in self.scores for k in range(1, len(p))}
-        self.prefixes |= {p: ((i,), s) for p, (i, s) in self.scores.items()}
+        self.trie = Trie({p: i for p, (i, _) in self.scores.items()})
+        self.score_of = np.array([model.get_score(i) for i in ids])
         self.unknown = min(s for _, s in self.scores.values()) + UNKNOWN
         self.bytes = {i: model.piece_to_id(f"<0x{i:02X}>") for i in range(256)}
         if any(SPACE in p.lstrip(SPACE) for p in self.scores):
             raise ValueError("pieces that hold a space after another character aren't supported")
 
-    def lattice(self, text: str) -> tuple[list[list[tuple[int, tuple[int, ...], float]]], list[float]]:
-        """For each place, the pieces that end there (start, ids, score), and the best score up to it."""
-        ending: list[list] = [[] for _ in range(len(text) + 1)]
-        forward = [0.0] + [-np.inf] * len(text)
-        prefixes, longest = self.prefixes, len(text)
-        for a in range(longest):
-            so_far, single = forward[a], False
-            for b in range(a + 1, longest + 1):
-                found = prefixes.get(text[a:b])
-                if found is None:
-                    break
-                if found:
-                    ids, score = found
-                    ending[b].append((a, ids, score))
-                    if so_far + score > forward[b]:
-                        forward[b] = so_far + score
-                    single = single or b == a + 1
-            if not single:
-                ending[a + 1].append((a, tuple(self.bytes[x] for x in text[a].encode()), self.unknown))
-                forward[a + 1] = max(forward[a + 1], so_far + self.unknown)
-        return ending, forward
-
-    def best(self, text: str, n: int) -> list[tuple[float, tuple[int, ...]]]:
-        """The n segmentations of largest score, best first.
-
-        A forward pass gives the best score up to every place. From the end, A* extends paths backward; the forward
+    def lattices(self, texts: list[str]) -> tuple[np.ndarray, ...]:
+        """The lattices of many texts, one after the other, a text having one place more than characters.
+
+        ``first`` tells for each place, and the one past the last, where the edges that end there begin. An edge has the place it starts at, a
+        score, and a code: the id of its piece, or ~c for a character c that no piece covers. ``forward`` is the best
+        score up to a place. The edges are found by walking the trie of the pieces from all characters at once, the forward
+        scores for the k-th places of all texts at once, or place by place where a text is long.
+        """
+        sizes = np.array([len(t) for t in texts], np.int64)
+        base = np.cumsum(sizes + 1) - (sizes + 1)
+        points = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32).astype(np.int64)
+        n = len(points)
+        place = np.arange(n) + np.repeat(np.arange(len(texts)), sizes)
+        last = np.repeat(base + sizes, sizes)
+        here, node = np.arange(n), self.trie.ones(points)
+        alone = np.ones(n, bool)
+        begin, end, code = [], [], []
+        for length in range(1, self.trie.depth + 1):
+            alive = node >= 0
+            here, node = here[alive], node[alive]
+            piece = self.trie.pieces[node]
+            whole = piece >= 0
+            at = here[whole]
+            begin.append(place[at])
+            end.append(place[at] + length)
+            code.append(piece[whole])
+            if length == 1:
+                alone[at] = False
+            inside = place[here] + length < last[here]
+            here, node = here[inside], node[inside]
+            if not len(here):
+                break
+            node = self.trie.next(node, points[here + length])
+        at = np.flatnonzero(alone)
+        begin, end = np.concatenate([*begin, place[at]]), np.concatenate([*end, place[at] + 1])
+        code = np.concatenate([*code, ~points[at]])
+        order = np.lexsort((begin, end))
+        begin, end, code = begin[order], end[order], code[order]
+        score = np.where(code >= 0, self.score_of[np.maximum(code, 0)], self.unknown)
+        places = int(base[-1] + sizes[-1] + 1) if len(texts) else 0
+        first = np.searchsorted(end, np.arange(places + 1))
+        if sizes.max(initial=0) > SHORT:
+            forward = self._forward(first.tolist(), begin.tolist(), score.tolist(), set(base.tolist()))
+            return first, begin, score, code, np.array(forward)
+        forward = np.full(places, -np.inf)
+        forward[base] = 0.0
+        step = end - np.repeat(base, sizes + 1)[end]
+        by_step = np.argsort(step, kind="stable")
+        cuts = np.searchsorted(step[by_step], np.arange(1, int(sizes.max(initial=0)) + 2))
+        for a, b in zip(cuts.tolist(), cuts[1:].tolist()):
+            edges = by_step[a:b]
+            ends = end[edges]
+            runs = np.flatnonzero(np.concatenate([[True], ends[1:] != ends[:-1]]))
+            forward[ends[runs]] = np.maximum.reduceat(forward[begin[edges]] + score[edges], runs)
+        return first, begin, score, code, forward
+
+    def _forward(self, first: list[int], starts: list[int], scores: list[float], base: set[int]) -> list[float]:
+        out: list = []
+        for place, (a, b) in enumerate(zip(first, first[1:])):
+            out.append(0.0 if place in base else max(out[starts[i]] + scores[i] for i in range(a, b)))
+        return out
+
+    def best(self, text: str, n: int) -> list[tuple[float, list[int]]]:
+        """The n segmentations of a text of largest score, best first."""
+        return self._backward(*[x.tolist() for x in self.lattices([text])], len(text), n)
+
+    def best_of_all(self, texts: list[str], n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The same for many texts that aren't empty: scores and numbers of ids, n a text, and all ids in one row.
+
+        Texts without n segmentations have scores of -inf. Short texts are searched together, long ones one by one.
+        """
+        scores, sizes, flat = [np.zeros((0, n))], [np.zeros((0, n), np.int64)], [np.zeros(0, np.int64)]
+        for long, together in groupby(texts, lambda t: len(t) > SHORT):
+            for some in batched(together, 1 if long else TOGETHER):
+                if long:
+                    found = self.best(some[0], n)
+                    pad = n - len(found)
+                    scores.append(np.array([[s for s, _ in found] + [-np.inf] * pad]))
+                    sizes.append(np.array([[len(ids) for _, ids in found] + [0] * pad]))
+                    flat += [np.array(ids, np.int64) for _, ids in found]
+                else:
+                    for to, made in zip((scores, sizes, flat), self._all_backward(list(some), n)):
+                        to.append(made)
+        return np.concatenate(scores), np.concatenate(sizes), np.concatenate(flat)
+
+    def _all_backward(self, texts: list[str], n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``_backward`` for many texts in step.
+
+        As the estimate is exact, one extension of the open path of least estimate has the same estimate, so it is the next to be extended,
+        down to the start. A round takes the best open path of each text all the way there; the other
+        extensions stay open, as many as can still matter.
+        """
+        first, begin, score, code, forward = self.lattices(texts)
+        lengths = np.array([len(t) for t in texts], np.int64)
+        base = np.cumsum(lengths + 1) - (lengths + 1)
+        ends = np.repeat(np.arange(len(first) - 1), np.diff(first))
+        top = np.flatnonzero(forward[begin] + score == forward[ends])
+        follow = np.zeros(len(forward), np.int64)
+        follow[ends[top[::-1]]] = top[::-1]  # of equals the first, which starts nearest to the start
+        scores, last = np.full((len(texts), n), -np.inf), np.full((len(texts), n), -1, np.int64)
+        codes, parents, made = [], [], 0
+        who = np.arange(len(texts))
+        still = (who, -forward[base + lengths], base + lengths, np.zeros(len(texts)), np.full(len(texts), -1, np.int64))
+        for r in range(n):
+            lead = np.concatenate([[True], still[0][1:] != still[0][:-1]]) if len(still[0]) else np.zeros(0, bool)
+            kept = [tuple(x[~lead] for x in still)]
+            who, _, place, gained, node = (x[lead] for x in still)
+            while len(who):
+                there = place == base[who]
+                if there.any():
+                    scores[who[there], r], last[who[there], r] = gained[there], node[there]
+                    who, place, gained, node = (x[~there] for x in (who, place, gained, node))
+                at, many = first[place], first[place + 1] - first[place]
+                to = np.cumsum(many) - many
+                row = np.repeat(np.arange(len(who)), many)
+                edge = np.arange(len(row)) + (at - to)[row]
+                start, sums, new = begin[edge], score[edge] + gained[row], made + np.arange(len(row))
+                codes.append(code[edge])
+                parents.append(node[row])
+                made += len(row)
+                go = to + follow[place] - at
+                other = np.ones(len(row), bool)
+                other[go] = False
+                kept.append((who[row[other]], (-sums - forward[start])[other], start[other], sums[other], new[other]))
+                place, gained, node = start[go], sums[go], new[go]
+            if r == n - 1:
+                break
+            still = tuple(map(np.concatenate, zip(*kept)))
+            order = np.lexsort((still[2], still[1], still[0]))
+            owner = still[0][order]
+            rank = np.arange(len(order)) - np.searchsorted(owner, owner)
+            still = tuple(x[order[rank < n - 1 - r]] for x in still)
+        codes, parents = np.concatenate([np.zeros(0, np.int64), *codes]), np.concatenate([np.zeros(0, np.int64), *parents])
+        node = last[np.isfinite(scores)]
+        path, paths, pieces = np.arange(len(node)), [], []
+        while len(node):
+            paths.append(path)
+            pieces.append(codes[node])
+            node = parents[node]
+            path, node = path[node >= 0], node[node >= 0]
+        paths, flat = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (paths, pieces))
+        order = np.argsort(paths, kind="stable")
+        paths, flat = paths[order], flat[order]
+        if (flat < 0).any():
+            rare, at = np.unique(flat[flat < 0], return_inverse=True)
+            spelt = [self._spelt(c) for c in rare.tolist()]
+            many = np.ones(len(flat), np.int64)
+            many[flat < 0] = np.array(list(map(len, spelt)))[at]
+            paths, unknown, flat = np.repeat(paths, many), np.repeat(flat < 0, many), np.repeat(flat, many)
+            flat[unknown] = [i for k in at.tolist() for i in spelt[k]]
+        sizes = np.zeros(scores.shape, np.int64)
+        sizes[np.isfinite(scores)] = np.bincount(paths, minlength=int(np.isfinite(scores).sum()))
+        return scores, sizes, flat
+
+    def _spelt(self, code: int) -> list[int]:
+        """The ids of the bytes of a character that no piece covers."""
+        return [self.bytes[x] for x in chr(~code).encode()]
+
+    def _backward(self, first, starts, scores, codes, forward, end: int, n: int) -> list[tuple[float, list[int]]]:
+        """The n best paths of the lattice of one text.
+
+        The forward pass gives the best score up to every place. From the end, A* extends paths backward; the forward
         score of the place a path has reached is exactly what it can still gain, so paths come out in
         order. As each open path is sure to reach its estimate, the n best open ones are all that
         can matter, and the queue holds no more. Of equals the path nearest to the start goes on.
         """
-        ending, forward = self.lattice(text)
         out: list = []
-        queue: list = [(-forward[-1], len(text), 0, 0.0, None)]
+        queue: list = [(-forward[end], end, 0, 0.0, None)]
         made, room = 0, n
         while queue and room:
             _, place, _, gained, path = queue.pop(0)
             if place == 0:
                 ids: list = []
                 while path is not None:
-                    ids += path[0]
-                    path = path[1]
-                out.append((gained, tuple(ids)))
+                    code, path = path
+                    ids += [code] if code >= 0 else self._spelt(code)
+                out.append((gained, ids))
                 room -= 1
                 continue
-            for a, ids, score in ending[place]:
-                score += gained
+            for i in range(first[place], first[place + 1]):
+                a, score = starts[i], scores[i] + gained
                 estimate = -score - forward[a]
                 if len(queue) >= room:
                     if estimate >= queue[-1][0]:
                         continue
                     queue.pop()
                 made += 1
-                insort(queue, (estimate, a, made, score, (ids, path)))
+                insort(queue, (estimate, a, made, score, (codes[i], path)))
         return out
 
 
@@ -179,25 +347,17 @@ class Segmenter:
         if self.known and (len(self.known) + len(new) > CHUNKS_KEPT or len(self.flat) > IDS_KEPT):
             self._shrink()
             new = {c for parts in texts for c in parts if c not in self.known}
-        starts, sizes, scores, flat, at = [], [], [], [], len(self.flat)
-        for chunk in sorted(new):
-            self.known[chunk] = len(self.known)
-            found = self.pieces.best(chunk, self.n)
-            pad = self.n - len(found)
-            scores.append([s for s, _ in found] + [-np.inf] * pad)
-            row = []
-            for _, ids in found:
-                row.append(at)
-                flat += ids
-                at += len(ids)
-            starts.append(row + [0] * pad)
-            sizes.append([len(ids) for _, ids in found] + [0] * pad)
-        if new:
-            self.starts = np.concatenate([self.starts, np.array(starts, np.int64)])
-            self.sizes = np.concatenate([self.sizes, np.array(sizes, np.int64)])
-            self.scores = np.concatenate([self.scores, np.array(scores)])
-            self.flat = np.concatenate([self.flat, np.array(flat, np.int32)])
-            self.used = np.concatenate([self.used, np.zeros(len(new), np.int64)])
+        if not new:
+            return
+        in_order = sorted(new)
+        scores, sizes, flat = self.pieces.best_of_all(in_order, self.n)
+        starts = (np.cumsum(sizes) - sizes.ravel()).reshape(sizes.shape) + len(self.flat)
+        self.known.update(zip(in_order, range(len(self.known), len(self.known) + len(in_order))))
+        self.starts = np.concatenate([self.starts, starts])
+        self.sizes = np.concatenate([self.sizes, sizes])
+        self.scores = np.concatenate([self.scores, scores])
+        self.flat = np.concatenate([self.flat, flat.astype(np.int32)])
+        self.used = np.concatenate([self.used, np.zeros(len(new), np.int64)])
 
     def segment(self, texts: list[str]) -> list[list[tuple[float, np.ndarray]]]:
         """Per text its n best: score and ids."""

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from sentencepiece import SentencePieceProcessor
@@ -44,6 +45,26 @@ def test_n_best_equals_all_paths(pieces, text, n):
         assert len({tuple(i) for _, i in got}) == len(got) and all(known[tuple(int(x) for x in i)] == s for s, i in got)
 
 
+@pytest.mark.parametrize("n", [1, 2, 5])
+def test_texts_searched_together_equal_those_searched_alone(pieces, n):
+    rng = random.Random(n)
+    texts = ["▁" + "".join(rng.choice("theandofuü漢\n1.") for _ in range(rng.randrange(90))) for _ in range(300)]
+    scores, sizes, flat = pieces.best_of_all(texts, n)
+    cost = {i: s for i, s in pieces.scores.values()}
+    spelt = {i for i in pieces.bytes.values()}
+    ends = np.cumsum(sizes).reshape(sizes.shape)
+    for i, text in enumerate(texts):
+        alone = pieces.best(text, n)
+        assert scores[i, : len(alone)].tolist() == [s for s, _ in alone] and np.isinf(scores[i, len(alone) :]).all()
+        found = [flat[b - a : b].tolist() for a, b in zip(sizes[i], ends[i])][: len(alone)]
+        assert len(set(map(tuple, found))) == len(found)
+        for ids, score in zip(found, scores[i].tolist()):
+            unknown = sum(c not in pieces.scores for c in text)
+            assert sum(cost[x] for x in ids if x not in spelt) + unknown * pieces.unknown == pytest.approx(score)
+    assert ends[-1, -1] == len(flat)
+    assert [x.shape for x in pieces.best_of_all([], n)] == [(0, n), (0, n), (0,)]
+
+
 def test_chunks_join_to_the_normal_text():
     rng = random.Random(4)
     for _ in range(300):
