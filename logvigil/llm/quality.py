@@ -1,5 +1,7 @@
 """Quality votes of the nearest labelled documents in a latent-semantic space."""
 
+import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from operator import eq
@@ -13,12 +15,16 @@ from logvigil.llm.common import byte_texts, fold, slices
 
 #: At most so many labelled documents are fitted on and broadcast, with RANK numbers each.
 LABELLED, RANK, NEIGHBOURS, THRESHOLD = 4000, 48, 25, 0.3
+ITERATIONS = 6
+#: Words are terms too, in lower case and hashed to so many columns, whose share in a vector is WORD_SHARE that of the other terms.
+WORDS, WORD_SHARE = 4096, 0.25
 #: Classes of bytes; a term is three classes in a row.
 CLASSES = ("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", " \t\r\x0b\x0c", "\n", ".,;:", "!?", "|", "'\"()-/")
 _OTHER, _NOT_ASCII = len(CLASSES), 0
 K = len(CLASSES) + 1
 _REPEATS = 8  # further terms: how often a word is the word before, or known from the text
-TERMS = K**3 + 2 * _REPEATS
+_FIRST_WORD = K**3 + 2 * _REPEATS
+TERMS = _FIRST_WORD + WORDS
 _TABLE = np.full(256, _OTHER, np.int64)
 _TABLE[128:] = _NOT_ASCII
 for _i, _chars in enumerate(CLASSES):
@@ -37,6 +43,9 @@ def terms_of(text: bytes) -> np.ndarray:
         for at, share in ((0, sum(map(eq, words, words[1:])) / len(words)), (1, 1 - len(set(words)) / len(words) ** 0.9)):
             a = K**3 + at * _REPEATS
             counts[a : a + int(np.clip(share, 0, 1) * _REPEATS)] = 100
+        many = Counter(text.lower().split())
+        at = np.fromiter((zlib.crc32(w) % WORDS for w in many), np.int64, len(many)) + _FIRST_WORD
+        np.add.at(counts, at, np.fromiter(many.values(), np.float32, len(many)) * (1000 / len(words)))
     return np.log1p(counts)
 
 
@@ -66,11 +75,25 @@ class Model:
         return np.clip(np.divide(votes, total, out=np.full(len(total), self.labels.mean()), where=total > 0), 0, 1)
 
 
-def fit(terms: np.ndarray, labels: np.ndarray, rank: int = RANK, neighbours: int = NEIGHBOURS) -> Model:
-    """Singular vectors of the weighted term table of the labelled documents."""
-    weight = np.log((1 + len(terms)) / (1 + (terms > 0).sum(0))).astype(np.float32) + 1
+def fit(
+    terms: np.ndarray, labels: np.ndarray, rank: int = RANK, neighbours: int = NEIGHBOURS,
+    frequencies: np.ndarray | None = None, documents: int = 0,
+) -> Model:
+    """Singular vectors of the weighted term table of the labelled documents.
+
+    ``frequencies`` tells in how many of so many ``documents`` each term occurs; by default the labelled ones are counted. The vectors are found by iterating on a
+    random start of twice the rank, which is drawn from a fixed seed.
+    """
+    if frequencies is None:
+        frequencies, documents = (terms > 0).sum(0), len(terms)
+    weight = np.log((1 + documents) / (1 + frequencies)).astype(np.float32) + 1
+    weight[_FIRST_WORD:] *= WORD_SHARE
     weighted = terms * weight
-    basis = np.linalg.eigh(weighted.T @ weighted)[1][:, ::-1][:, : min(rank, TERMS)].astype(np.float32)
+    start = np.random.default_rng(0).normal(size=(TERMS, 2 * rank)).astype(np.float32)
+    for _ in range(ITERATIONS):
+        start = np.linalg.qr(weighted.T @ (weighted @ start))[0]
+    inner = weighted @ start
+    basis = (start @ np.linalg.eigh(inner.T @ inner)[1][:, ::-1][:, :rank]).astype(np.float32)
     empty = Model(weight, basis, np.empty((0, basis.shape[1]), np.float32), labels, neighbours)
     return Model(weight, basis, empty.vectors_of(terms), labels.astype(np.float64), neighbours)
 
@@ -89,6 +112,25 @@ def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The documents of a task, and in how many of them each term occurs."""
+    counts, n = np.zeros(TERMS, np.int64), 0
+    for arrow in slices(batches, "text"):
+        for text in byte_texts(arrow.column("text")):
+            counts += terms_of(text) > 0
+            n += 1
+    yield pa.RecordBatch.from_arrays([pa.array([[n, *counts.tolist()]], pa.list_(pa.int64()))], names=["counts"])
+
+
+def document_frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
+    """In how many of all ``texts`` (one column, text) each term occurs, and their number. A task sends one count per term."""
+    counts = texts.mapInArrow(_frequencies, "counts array<long>").select(F.posexplode("counts").alias("at", "n"))
+    found = counts.groupBy("at").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(TERMS + 1, np.int64)
+    out[found["at"].to_numpy()] = found["n"].to_numpy()
+    return out[1:], int(out[0])
+
+
 def train(
     docs: DataFrame, labels: DataFrame, label_col: str, id_col: str = "doc_id", text_col: str = "text",
     labelled: int = LABELLED, held_out_of: int = 5,
@@ -97,7 +139,7 @@ def train(
 
     Documents whose crc32(id) is divisible by ``held_out_of`` are left out. NULL labels and ids take no part; of labels that
     repeat an id the largest counts. The chosen ids are bounded by the parameter and broadcast; the driver gets their
-    terms, not their texts.
+    terms, not their texts. Document frequencies of the terms are counted over all documents.
     """
     order = F.xxhash64(F.col("id").cast("string"))
     chosen = (
@@ -121,7 +163,8 @@ def train(
     terms, at, x = np.zeros((rows.num_rows, TERMS), np.float32), rows["at"].to_pylist(), rows["x"].to_pylist()
     for i in range(rows.num_rows):
         terms[i, at[i]] = x[i]
-    return fit(terms, np.array(rows["y"].to_pylist(), np.float64))
+    frequencies, documents = document_frequencies(docs.select(F.col(text_col).cast("string").alias("text")))
+    return fit(terms, np.array(rows["y"].to_pylist(), np.float64), frequencies=frequencies, documents=documents)
 
 
 def _score(model):
@@ -142,7 +185,7 @@ def _score(model):
 def quality_scores(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """One row per document: doc (all its columns) and score, 0 to 1, higher if label 1 is likelier.
 
-    A text is a vector of class trigrams of its bytes and of how much it repeats itself, reduced to the latent
+    A text is a vector of its words, of class trigrams of its bytes and of how much it repeats itself, reduced to the latent
     space; its cosine with every labelled vector is computed in blocks, and the nearest vote with their cosine as
     weight. Only the text is looked at. NULL and empty texts, and texts near to none, get the mean label; without any
     labelled document every score is 0.5. Repeated rows get equal scores. No rows give no rows.

@@ -11,7 +11,7 @@ from logvigil.llm.html_text import extract_main_text, main_text
 from logvigil.llm.neighbours import nearest
 from logvigil.llm.packing import encoder, pack, tokenizer_file
 from logvigil.llm.pii import _EMAIL, _IP, _IP_RUN, LABELS, all_spans, base_spans, emails, personal_data, redacted, Tagger, train_crf, viterbi
-from logvigil.llm.quality import fit, quality_scores, terms_of, train
+from logvigil.llm.quality import document_frequencies, fit, quality_scores, terms_of, train
 from tests.llm.cases import no_documents, odd_documents
 
 
@@ -58,6 +58,37 @@ def test_quality_on_held_out_documents(spark, data_root):
     assert {r.score for r in quality_scores(odd_documents(spark), train(docs, labels.limit(0), "quality")).collect()} == {0.5}
 
 
+def test_words_are_inputs_of_the_vectors():
+    a, b = terms_of(b"The quick brown fox jumps."), terms_of(b"Xqz zzzzz qqqqq xyx zzzzz.")
+    model = fit(np.stack([a, b]), np.array([1.0, 0.0]), neighbours=1)
+    assert not np.array_equal(a, b) and model.scores(np.stack([a, b])).tolist() == [1.0, 0.0]
+    assert np.array_equal(terms_of("über Éa".encode())[-4096:], terms_of("über  Éa".encode())[-4096:])
+
+
+def test_document_frequencies_cover_all_documents(spark):
+    docs = odd_documents(spark).repartition(3)
+    counts, n = document_frequencies(docs.select("text"))
+    texts = [(r.text or "").encode() for r in docs.collect()]
+    assert n == len(texts) and counts.tolist() == sum((terms_of(t) > 0).astype(int) for t in texts).tolist()
+    counts, n = document_frequencies(no_documents(spark).select("text"))
+    assert n == 0 and not counts.any()
+
+
+def test_basis_holds_the_largest_singular_vectors():
+    rng = np.random.default_rng(5)
+    words = [b"alpha", b"beta", b"gamma", b"x1", b"7", b"Yes!", b"|", b"omega"]
+    terms = np.stack([terms_of(b" ".join(words[i] for i in rng.integers(0, 8, 20))) for _ in range(50)])
+    model = fit(terms, np.ones(50), rank=5)
+    weighted = (terms * model.weight).astype(float)
+    kept = np.linalg.norm(weighted @ model.basis) ** 2
+    assert kept == pytest.approx((np.linalg.svd(weighted, compute_uv=False)[:5] ** 2).sum(), rel=1e-3)
+
+
+def test_quality_of_no_documents(spark, data_root):
+    labels = spark.read.parquet(f"{data_root}/sf0.01/labels.parquet")
+    assert quality_scores(no_documents(spark), train(no_documents(spark), labels, "quality")).count() == 0
+
+
 def test_votes_equal_brute_force():
     rng = np.random.default_rng(1)
     texts = [bytes(rng.choice(list(b"abAB !|*\n9"), rng.integers(1, 60)).tolist()) for _ in range(60)]
