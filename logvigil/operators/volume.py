@@ -10,6 +10,8 @@ QUANTILE = Decimal("0.95")
 
 # Labels with more than one in LARGE of all distinct sizes are searched by histograms.
 LARGE = 4096
+# Parts that the sizes of a label are dealt over where broadcasts are switched off.
+DEALT = 256
 # Bits of a size that each step of the quantile search settles, and those below them: at most four million parts.
 STEPS = ((22, 42), (21, 21), (21, 0))
 _LOW = (1 << 32) - 1
@@ -123,8 +125,8 @@ def label_volume(sizes: DataFrame, quantile: Decimal) -> DataFrame:
 def quantiles(sizes: DataFrame, parts: DataFrame, totals: DataFrame, quantile: Decimal) -> DataFrame:
     """(threat_label, low): the exact quantile of each label from its lines per distinct size.
 
-    Labels with more than one in LARGE of all sizes are fewer than LARGE by arithmetic, so what is known of them is broadcast and
-    their sizes are counted where they lie. Those of all other labels move once, to be ranked label by label; none has more
+    Labels with more than one in LARGE of all sizes are fewer than LARGE by arithmetic, so what is known of them is broadcast (unless
+    the session switches broadcasts off) and their sizes are counted where they lie. Those of all other labels move once, to be ranked label by label; none has more
     than that share.
     """
     ranked = totals.select(
@@ -132,12 +134,27 @@ def quantiles(sizes: DataFrame, parts: DataFrame, totals: DataFrame, quantile: D
     )
     marked = ranked.withColumn("large", F.col("sizes") * LARGE > totals.agg(F.sum("sizes")).scalar())
     large = marked.filter("large").select("threat_label", "rank")
-    placed = sizes.join(F.broadcast(large.withColumn("large", F.lit(True))), "threat_label", "left")
+    placed = _join_few(sizes, large.withColumn("large", F.lit(True)), "bytes_transferred", "left")
     ranks = marked.filter("NOT large").select("threat_label", "rank")
     small = _ranked(placed.filter("large IS NULL").drop("large", "rank"), ranks)
     return small.unionByName(_histograms(sizes, parts.select("threat_label", "part", "lines"), large))
 
 
+def _join_few(rows: DataFrame, few: DataFrame, deal_by: str, how: str = "inner") -> DataFrame:
+    """Joins rows with what is known of the large labels, which is broadcast, so that the rows don't move.
+
+    A session that switches broadcasts off, the adaptive ones too, gets a sort-merge join. In it the rows of a label are
+    dealt over DEALT parts by ``deal_by``, so that they don't all go to one task.
+    """
+    conf, limit = rows.sparkSession.conf, "autoBroadcastJoinThreshold"
+    limits = conf.get(f"spark.sql.{limit}"), conf.get(f"spark.sql.adaptive.{limit}", "-1")
+    if not all(value.startswith("-") for value in limits):
+        return rows.join(F.broadcast(few), "threat_label", how)
+    copies = few.withColumn("dealt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(DEALT - 1).cast("long"))))
+    dealt = rows.withColumn("dealt", F.pmod(F.xxhash64(deal_by), F.lit(DEALT).cast("long")))
+    return dealt.join(copies, ["threat_label", "dealt"], how).drop("dealt")
+
+
 def _up_to(order: str) -> Column:
     window = Window.partitionBy("threat_label").orderBy(order)
     return F.sum("lines").over(window.rowsBetween(Window.unboundedPreceding, Window.currentRow))
@@ -161,12 +178,12 @@ def _histograms(sizes: DataFrame, parts: DataFrame, ranks: DataFrame) -> DataFra
     no task ever sees more than the parts of a step.
     """
     zero = F.lit(0).cast("long").alias("low")
-    counts, found = parts.join(F.broadcast(ranks), "threat_label").select("*", zero), None
+    counts, found = _join_few(parts, ranks, "part").select("*", zero), None
     for bits, shift in STEPS:
         if found is not None:
             above = bits + shift
             counts = (
-                sizes.join(F.broadcast(found), "threat_label")
+                _join_few(sizes, found, "bytes_transferred")
                 .filter(F.shiftrightunsigned(_place(), above) == F.shiftrightunsigned("low", above))
                 .groupBy("threat_label", "low", "rank", _part(bits, shift).alias("part"))
                 .agg(F.sum("lines").alias("lines"))

@@ -78,6 +78,21 @@ def test_quantile_of_any_range(spark):
         assert found.first()["low"] == sorted(sizes)[math.ceil(quantile * len(sizes)) - 1]
 
 
+def test_switched_off_broadcasts_are_obeyed_and_a_label_is_dealt(spark):
+    x = spark.range(1, 5001).select(F.lit("x").alias("threat_label"), F.col("id").alias("bytes_transferred"))
+    few = spark.createDataFrame([("rare", 7), ("rare", 7)], x.schema)
+    counts = x.unionByName(few).groupBy("threat_label", "bytes_transferred").agg(F.count("*").alias("lines"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        result = label_volume_of(counts)
+        plan = result._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastExchange" not in plan
+        assert "hashpartitioning(threat_label" in plan and "dealt" in plan
+        assert rows_of(result.select("threat_label", "event_count", "p95_bytes")) == [("rare", 2, 7), ("x", 5000, 4750)]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_one_size_for_a_third_of_the_lines(spark):
     sizes = [7] * 100 + list(range(1000, 1200))
     assert volume_by_label(_sizes(spark, sizes)).first()["p95_bytes"] == sorted(sizes)[284]
